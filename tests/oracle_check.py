@@ -1,6 +1,5 @@
 """Run registered queries beside their SQL and compare: `python tests/oracle_check.py [sf] [name...]`."""
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -26,83 +25,45 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def cell(x):
-    if x is None:
-        return None
-    if isinstance(x, float):
-        return "nan" if math.isnan(x) else x + 0.0
-    return x
-
-
-def rows_of(columns, rows):
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    out = [tuple(cell(r[i]) for i in order) for r in rows]
-    return [columns[i] for i in order], out
+SAME = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
 def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     started = time.time()
     df = entry.queries()[name](spark, sf_dir)
-    got = df.toPandas()
+    got = df.toArrow()
     spark_s = time.time() - started
-    got_cols, got_rows = rows_of(
-        list(got.columns), [tuple(_py(x) for x in r) for r in got.itertuples(index=False, name=None)]
-    )
-    started = time.time()
     sql = entry.oracle_sql().get(name)
     if sql is None:
-        return True, f"{len(got_rows)} rows, no SQL, spark {spark_s:.1f}s"
-    rel = con.sql(sql)
-    want = rel.df()
+        return True, f"{got.num_rows} rows, no SQL, spark {spark_s:.1f}s"
+    started = time.time()
+    want = con.sql(sql).to_arrow_table()
     duck_s = time.time() - started
-    want_cols, want_rows = rows_of(
-        list(want.columns), [tuple(_py(x) for x in r) for r in want.itertuples(index=False, name=None)]
-    )
-    note = f"{len(got_rows)} rows, spark {spark_s:.1f}s duckdb {duck_s:.1f}s"
-    if got_cols != want_cols:
-        return False, f"columns {got_cols} != {want_cols}"
-    types = {c: t for c, t in zip(rel.columns, rel.types)}
+    note = f"{got.num_rows} rows, spark {spark_s:.1f}s duckdb {duck_s:.1f}s"
+    if sorted(got.column_names) != sorted(want.column_names):
+        return False, f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"
+    con.register("got_raw", got)
+    con.register("want_raw", want)
+    types = dict(con.sql("SELECT column_name, column_type FROM (DESCRIBE want_raw)").fetchall())
     odd = [
         f"{f.name}: {f.dataType.simpleString()} vs {types[f.name]}"
         for f in df.schema
-        if SAME.get(f.dataType.simpleString()) not in (None, str(types[f.name]))
+        if SAME.get(f.dataType.simpleString(), types[f.name]) != types[f.name]
     ]
+    cols = ", ".join(
+        f'"{c}"' if types[c] != "DOUBLE" else f'"{c}" + 0.0::DOUBLE AS "{c}"' for c in sorted(types)
+    )
+    extra = con.sql(f"SELECT {cols} FROM got_raw EXCEPT ALL SELECT {cols} FROM want_raw").fetchall()
+    lost = con.sql(f"SELECT {cols} FROM want_raw EXCEPT ALL SELECT {cols} FROM got_raw").fetchall()
     if odd:
         note += f"; types differ: {odd}"
-    key = lambda r: tuple((x is not None, str(x)) for x in r)
-    a, b = sorted(got_rows, key=key), sorted(want_rows, key=key)
-    if a != b:
-        from collections import Counter
-
-        ca, cb = Counter(a), Counter(b)
-        left, right = list((ca - cb).elements()), list((cb - ca).elements())
-        return False, (
-            f"{note}; {len(left)} only in spark, {len(right)} only in sql of {len(b)}\n  {got_cols}"
-            + "".join(f"\n   spark {x}" for x in sorted(left, key=key)[:4])
-            + "".join(f"\n   sql   {x}" for x in sorted(right, key=key)[:4])
-        )
-    return not odd, note
-
-
-SAME = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
-
-
-def _py(x):
-    import pandas as pd
-
-    if x is None or x is pd.NaT:
-        return None
-    if isinstance(x, float) and math.isnan(x):
-        return None
-    if hasattr(x, "item"):
-        x = x.item()
-    if isinstance(x, pd.Timestamp):
-        x = x.to_pydatetime()
-    if hasattr(x, "hour") and (x.hour, x.minute, x.second, x.microsecond) == (0, 0, 0, 0):
-        return str(x.date())
-    if isinstance(x, int):
-        return float(x)
-    return x if isinstance(x, float) else str(x)
+    if extra or lost:
+        note += f"; {len(extra)} only in spark, {len(lost)} only in sql of {want.num_rows}"
+        note += f"\n  {sorted(types)}"
+        for side, rows in (("spark", extra), ("sql  ", lost)):
+            for r in sorted(rows, key=str)[:4]:
+                note += f"\n   {side} {tuple(str(x) if hasattr(x, 'year') else x for x in r)}"
+    return not (odd or extra or lost), note
 
 
 def main() -> None:

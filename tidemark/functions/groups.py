@@ -59,6 +59,13 @@ def descending(c: Column) -> Column:
     return -c
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys where null equals null; the left's keys are kept."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(renamed, on=on).drop(*[f"_r_{k}" for k in keys])
+
+
 def grouped_median(
     df: DataFrame, keys: Sequence[str], value: str, out: str, slices: int = 64
 ) -> DataFrame:
@@ -80,9 +87,8 @@ def grouped_median(
         F.percentile_approx("_x", [i / slices for i in range(1, slices)], 20 * slices).alias("_cut"),
         F.sum("_n").alias("_total"),
     )
-    same = [counted[k].eqNullSafe(cuts[k]) for k in keys]
-    placed = counted.join(cuts, on=same).select(
-        *[counted[k] for k in keys],
+    placed = _join_keys(counted, cuts, keys).select(
+        *keys,
         "_x",
         "_n",
         "_total",
@@ -97,13 +103,11 @@ def grouped_median(
         .withColumn("_end", F.sum("_rows").over(by_slice.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_begin", F.col("_end") - F.col("_rows"))
         .where((F.col("_end") >= low) & (F.col("_begin") < high))
-        .select(*keys, "_slice", "_begin")
+        .select(*keys, "_slice", "_total", "_begin")
     )
-    same = [placed[k].eqNullSafe(spans[k]) for k in keys] + [placed["_slice"] == spans["_slice"]]
     inside = Window.partitionBy(*keys, "_slice").orderBy("_x")
     middle = (
-        placed.join(spans, on=same)
-        .select(*[placed[k] for k in keys], placed["_slice"], "_x", "_n", "_total", "_begin")
+        _join_keys(placed, spans.drop("_total"), [*keys, "_slice"])
         .withColumn(
             "_to",
             F.col("_begin") + F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)),

@@ -42,8 +42,8 @@ def normal_pdf(x: Column) -> Column:
     return F.exp(-x * x / F.lit(2.0)) / F.lit(math.sqrt(2.0 * math.pi))
 
 
-def normal_cdf(x: Column) -> Column:
-    """P(Z <= x), to about 1e-15."""
+def upper_tail(x: Column) -> Column:
+    """P(Z > |x|), to about 1e-15. `x` appears many times, so pass a plain column."""
     size = F.abs(x)
     weight = F.exp(-size * size / F.lit(2.0))
     near = weight * _polynomial(size, TAIL_TOP) / _polynomial(size, TAIL_BOTTOM)
@@ -53,7 +53,9 @@ def normal_cdf(x: Column) -> Column:
         chain = size + F.lit(step) / chain
     chain = size + F.lit(1.0) / chain
     far = weight / (chain * F.lit(math.sqrt(2.0 * math.pi)))
-    tail = (
-        F.when(size > F.lit(CUTOFF), F.lit(0.0)).when(size < F.lit(SWITCH), near).otherwise(far)
-    )
-    return F.when(x > 0, F.lit(1.0) - tail).otherwise(tail)
+    return F.when(size > F.lit(CUTOFF), F.lit(0.0)).when(size < F.lit(SWITCH), near).otherwise(far)
+
+
+def normal_cdf(x: Column) -> Column:
+    """P(Z <= x)."""
+    return F.when(x > 0, F.lit(1.0) - upper_tail(x)).otherwise(upper_tail(x))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DAYS_PER_YEAR, dtype_of, market_date, ratio
 from tidemark.functions.groups import first_row
-from tidemark.operators.pricing import Contract
+from tidemark.operators.pricing import vol_point_move
 from tidemark.sources.tables import CONTRACT_KEYS, OPTION_EXTRAS, STOCK_EXTRAS
 
 IV_ERROR_TOLERANCE = 1.0
@@ -62,17 +62,15 @@ def vega_scale(
     order = Window.partitionBy(*keys).orderBy("date", "expires", "strike", "right")
     sample = clean.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
 
-    def price(bump: float) -> Column:
-        return Contract(
-            spot=F.col("underlying_price"),
-            strike=F.col("strike"),
-            tau=F.col("dte") / F.lit(DAYS_PER_YEAR),
-            rate=F.lit(rate),
-            sigma=F.col("implied_vol") + F.lit(bump),
-            is_call=F.col("right") == "CALL",
-        ).price()
-
-    moved = sample.select(*keys, "vega", (price(0.01) - price(0.0)).alias("move"))
+    moved = vol_point_move(
+        sample,
+        "underlying_price",
+        "strike",
+        F.col("dte") / F.lit(DAYS_PER_YEAR),
+        rate,
+        "implied_vol",
+        F.col("right") == "CALL",
+    ).select(*keys, "vega", "move")
     per_unit = F.abs(F.col("move") - F.col("vega") * F.lit(0.01)) < F.abs(
         F.col("move") - F.col("vega")
     )
@@ -170,17 +168,17 @@ def canonical_stock(raw: DataFrame) -> DataFrame:
 
 
 def vega_residuals(chain: DataFrame, rate: float = 0.04) -> DataFrame:
-    """Each clean row's price move for one vol point beside the vega it quotes."""
+    """Each live row's price move for one vol point beside the vega it quotes."""
     tau = F.datediff("expiration", "date") / F.lit(DAYS_PER_YEAR)
-    at = lambda bump: Contract(
-        F.col("underlying"), F.col("strike"), tau, F.lit(rate), F.col("iv") + F.lit(bump),
-        F.col("right") == "C",
-    ).price()
-    return chain.where((F.col("iv") > 0) & (tau > 0)).select(
+    live = chain.where((F.col("iv") > 0) & (tau > 0))
+    moved = vol_point_move(
+        live, "underlying", "strike", tau, rate, "iv", F.col("right") == "C"
+    )
+    return moved.select(
         *CONTRACT_KEYS,
         "vega",
-        (at(0.01) - at(0.0)).alias("move"),
-        ratio(at(0.01) - at(0.0), F.col("vega")).alias("move_per_vega"),
+        "move",
+        ratio(F.col("move"), F.col("vega")).alias("move_per_vega"),
     )
 
 

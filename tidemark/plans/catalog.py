@@ -117,7 +117,7 @@ def near_money_chain(v: Views) -> DataFrame:
     near = straddle.near_money(v.chain)
     return near.select(
         "date", "symbol", "expiration", "strike", "right",
-        F.datediff("expiration", "date").alias("dte"), F.round("mid", 6).alias("mid"),
+        F.datediff("expiration", "date").alias("dte"), "mid",
     )
 
 
@@ -141,13 +141,15 @@ def straddle_exits(v: Views) -> DataFrame:
     picks = straddle.select_units(near)
     exits = straddle.unit_exits(straddle.mark_units(near), numbered)
     return exits.join(picks, ["date", *straddle.UNIT], "left_semi").select(
-        "symbol", "date", "expiration", "strike", "pos", "exit_pos", "exit_kind"
+        "symbol", "date", "expiration", "strike", "pos",
+        F.col("exit_pos").cast("double").alias("exit_pos"), "exit_kind",
     )
 
 
 @query
 def straddle_path(v: Views) -> DataFrame:
-    return rounded(straddle.reference_path(v.chain, v.sessions))
+    path = straddle.reference_path(v.chain, v.sessions)
+    return rounded(path.withColumn("dte", F.col("dte").cast("double")))
 
 
 # --- pricing and canonical rows ----------------------------------------------------------------
@@ -175,7 +177,7 @@ def vega_residuals(v: Views) -> DataFrame:
 @query
 def canonical_chain(v: Views) -> DataFrame:
     rows = canonical.canonical_chain(v.vendor_chain)
-    return rounded(rows.drop("timestamp", "underlying_timestamp"))
+    return rows.drop("timestamp", "underlying_timestamp")
 
 
 @query
@@ -255,7 +257,7 @@ def _universe(v: Views) -> DataFrame:
 
 @query
 def earnings(v: Views) -> DataFrame:
-    return rounded(reference_data.earnings_table(v.announcements), 6, skip=("eps_estimate", "reported_eps"))
+    return reference_data.earnings_table(v.announcements)
 
 
 @query
@@ -265,24 +267,24 @@ def session_classes(v: Views) -> DataFrame:
 
 @query
 def corporate_actions(v: Views) -> DataFrame:
-    return rounded(v.actions.select("symbol", "date", "action", "value"))
+    return v.actions.select("symbol", "date", "action", "value")
 
 
 @query
 def tidy_prices(v: Views) -> DataFrame:
     wide = v.wide_prices
     tickers = sorted({c.split("|")[1] for c in wide.columns if "|" in c})
-    return rounded(reference_data.tidy_prices(wide, FIELDS, tickers))
+    return reference_data.tidy_prices(wide, FIELDS, tickers)
 
 
 @query
 def rates(v: Views) -> DataFrame:
-    return rounded(reference_data.tidy_rates(v.rate_rows))
+    return reference_data.tidy_rates(v.rate_rows)
 
 
 @query
 def yields(v: Views) -> DataFrame:
-    return rounded(reference_data.tidy_yields(v.yield_rows))
+    return reference_data.tidy_yields(v.yield_rows)
 
 
 @query
@@ -300,7 +302,8 @@ def sectors(v: Views) -> DataFrame:
 
 def _checks(v: Views) -> DataFrame:
     spots = v.spot.select("symbol", "date", F.col("close").alias("theta_spot"))
-    return quality.symbology_check(spots, v.quotes, v.names)
+    checks = quality.symbology_check(spots, v.quotes, v.names)
+    return checks.withColumn("action_gap_days", F.col("action_gap_days").cast("double"))
 
 
 QUERIES["symbology_check"] = lambda spark, sf: rounded(_checks(Views(spark, sf)))
@@ -326,13 +329,9 @@ def repair_tasks(v: Views) -> DataFrame:
 @query
 def repair_patch(v: Views) -> DataFrame:
     patch = repair.build_patch(repair.last_bars(v.bars))
-    return rounded(
-        patch.select(
-            "date", "symbol", "expiration", "strike", "right",
-            "bid_new", "ask_new", "iv_new", "vega_new", "underlying_new", "underlying_timestamp_new",
-        ),
-        6,
-        skip=("bid_new", "ask_new", "underlying_new"),
+    return patch.select(
+        "date", "symbol", "expiration", "strike", "right",
+        "bid_new", "ask_new", "iv_new", "vega_new", "underlying_new", "underlying_timestamp_new",
     )
 
 
@@ -340,11 +339,8 @@ def repair_patch(v: Views) -> DataFrame:
 def repaired_chain(v: Views) -> DataFrame:
     patch = repair.build_patch(repair.last_bars(v.bars))
     fixed = repair.apply_patch(v.chain, patch)
-    return rounded(
-        fixed.select(
-            "date", "symbol", "expiration", "strike", "right", "bid", "ask", "mid", "iv", "gamma", "vega"
-        ),
-        6,
+    return fixed.select(
+        "date", "symbol", "expiration", "strike", "right", "bid", "ask", "mid", "iv", "gamma", "vega"
     )
 
 
@@ -489,7 +485,9 @@ def store_round_trip(v: Views) -> DataFrame:
     store.write("underlying", v.spot.withColumn("close", F.lit(0.0)))
     store.write("underlying", v.spot)
     years = list(range(1990, 2010))
-    return store.scan("underlying", years=years).select("date", "symbol", "close", "year", "volume")
+    return store.scan("underlying", years=years).select(
+        "date", "symbol", "close", "year", F.col("volume").cast("double").alias("volume")
+    )
 
 
 @query

@@ -60,7 +60,7 @@ SELECT DISTINCT ticker, ticker AS stock_symbol, replace(ticker, '.', '') AS opti
 """)
 cte("v_quotes", """
 SELECT replace(ticker, '.', '-') AS yahoo_symbol, date,
-  CAST(CAST(sum(CAST(l_extendedprice / l_quantity AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS DOUBLE) / count(*) AS yahoo_close,
+  (min(l_extendedprice / l_quantity) + max(l_extendedprice / l_quantity)) / 2.0::DOUBLE AS yahoo_close,
   coalesce(max(CASE WHEN l_returnflag = 'R' AND l_discount >= 0.09::DOUBLE THEN l_discount END), 0.0::DOUBLE) AS dividend,
   coalesce(max(CASE WHEN l_returnflag = 'A' AND l_quantity >= 49.0::DOUBLE AND l_tax >= 0.07::DOUBLE
     THEN 1.0::DOUBLE + l_discount * 10.0::DOUBLE END), 0.0::DOUBLE) AS split
@@ -101,12 +101,12 @@ SELECT *, date_diff('day', date, expiration) AS dte FROM (
 WHERE expiration > date
 """)
 cte("v_priced", """
-SELECT *, round(0.02::DOUBLE * fair + 0.01::DOUBLE, 4) AS half,
+SELECT *, 0.02::DOUBLE * fair + 0.01::DOUBLE AS half,
   underlying - floor(underlying) >= 0.06::DOUBLE AS quoted
 FROM (
   SELECT *, 0.5::DOUBLE + 0.5::DOUBLE * x / (1.0::DOUBLE + abs(x)) AS dc,
-    round(greatest(CASE WHEN "right" = 'C' THEN underlying - strike ELSE strike - underlying END, 0.0::DOUBLE)
-      + 0.4::DOUBLE * underlying * width / (1.0::DOUBLE + abs(x)), 4) AS fair
+    greatest(CASE WHEN "right" = 'C' THEN underlying - strike ELSE strike - underlying END, 0.0::DOUBLE)
+      + 0.4::DOUBLE * underlying * width / (1.0::DOUBLE + abs(x)) AS fair
   FROM (
     SELECT *, (underlying / strike - 1.0::DOUBLE) / width AS x FROM (
       SELECT *, vol * root AS width FROM (
@@ -137,8 +137,8 @@ FROM v_chain
 cte("v_bars", """
 SELECT symbol, CAST(stamp AS DATE) AS date, expiration, strike, "right", volume, delta, theta, vega,
   implied_vol, iv_error, underlying_price, n,
-  round(fair * (0.9::DOUBLE + 0.02::DOUBLE * n::DOUBLE), 4) AS bid,
-  round(fair * (1.0::DOUBLE + 0.02::DOUBLE * n::DOUBLE), 4) AS ask,
+  fair * (0.9::DOUBLE + 0.02::DOUBLE * n::DOUBLE) AS bid,
+  fair * (1.0::DOUBLE + 0.02::DOUBLE * n::DOUBLE) AS ask,
   stamp - INTERVAL 3 MINUTE + n * INTERVAL 1 MINUTE AS bar_stamp,
   stamp - INTERVAL 1 MINUTE AS spot_stamp
 FROM (SELECT *, abs(theta) * 2.0::DOUBLE * date_diff('day', CAST(stamp AS DATE), CAST(expiration AS DATE))::DOUBLE AS fair
@@ -296,10 +296,10 @@ WHERE dte <= 130 AND abs(strike / underlying - 1.0::DOUBLE) <= 0.30::DOUBLE
 cte("v_picks", """
 SELECT date, symbol, expiration, strike FROM (
   SELECT *, row_number() OVER (PARTITION BY date, symbol ORDER BY abs(dte - 60), dte DESC, gap, strike) AS rn
-  FROM (SELECT date, symbol, expiration, strike, dte, count(DISTINCT "right") AS rights,
-          abs(strike / arg_min(underlying, "right") - 1.0::DOUBLE) AS gap
+  FROM (SELECT *, abs(strike / spot - 1.0::DOUBLE) AS gap FROM (
+        SELECT date, symbol, expiration, strike, dte, count(DISTINCT "right") AS rights, arg_min(underlying, "right") AS spot
         FROM v_near WHERE bid > 0 AND ask > bid AND dte BETWEEN 25 AND 120
-          AND day(expiration) BETWEEN 15 AND 21 AND isodow(expiration) IN (4, 5) GROUP BY ALL)
+          AND day(expiration) BETWEEN 15 AND 21 AND isodow(expiration) IN (4, 5) GROUP BY ALL))
   WHERE rights = 2 AND gap <= 0.10::DOUBLE)
 WHERE rn = 1
 """)
@@ -401,17 +401,17 @@ SELECT date, symbol, expiration, strike, round(mid, 6) AS mid, round(bid, 6) AS
   round(0.5 * (ask - bid) * 100, 6) AS half_spread FROM v_marks
 """)
 oracle("straddle_exits", """
-SELECT e.symbol, e.date, e.expiration, e.strike, e.pos::INTEGER AS pos, x.exit_pos::INTEGER AS exit_pos, x.exit_kind
+SELECT e.symbol, e.date, e.expiration, e.strike, e.pos::INTEGER AS pos, x.exit_pos::DOUBLE AS exit_pos, x.exit_kind
 FROM v_entries e LEFT JOIN v_exits x ON x.symbol = e.symbol AND x.entry_pos = e.pos
 """)
 oracle("straddle_path", """
 SELECT date, symbol, round(pnl_per_vega, 6) AS pnl_per_vega, round(cost_per_vega, 6) AS cost_per_vega,
   round(exit_cost_per_vega, 6) AS exit_cost_per_vega, round(dollar_vega, 6) AS dollar_vega,
   round(entry_vega, 6) AS entry_vega, round(dollar_theta, 6) AS dollar_theta, round(mid, 6) AS mid,
-  round(underlying, 6) AS underlying, dte, event FROM v_path
+  round(underlying, 6) AS underlying, dte::DOUBLE AS dte, event FROM v_path
 """)
 oracle("near_money_chain", """
-SELECT date, symbol, expiration, strike, "right", dte::INTEGER AS dte, round(mid, 6) AS mid FROM v_near
+SELECT date, symbol, expiration, strike, "right", dte::INTEGER AS dte, mid AS mid FROM v_near
 """)
 
 # --- normal distribution and pricing ----------------------------------------------------------
@@ -477,11 +477,11 @@ JOIN v_chain c USING (date, symbol, expiration, strike, "right")
 
 oracle("canonical_chain", """
 SELECT CAST(stamp AS DATE) AS date, symbol, CAST(expiration AS DATE) AS expiration, strike,
-  CASE WHEN "right" = 'CALL' THEN 'C' ELSE 'P' END AS "right", round(bid, 6) AS bid, round(ask, 6) AS ask,
-  round((bid + ask) / 2.0::DOUBLE, 6) AS mid,
-  round(CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END, 6) AS iv,
-  round(delta, 6) AS delta, round(gamma, 6) AS gamma, round(theta, 6) AS theta, round(vega * 0.01::DOUBLE, 6) AS vega,
-  underlying_price AS underlying, volume, round(implied_vol, 6) AS implied_vol, iv_error,
+  CASE WHEN "right" = 'CALL' THEN 'C' ELSE 'P' END AS "right", bid AS bid, ask AS ask,
+  (bid + ask) / 2.0::DOUBLE AS mid,
+  CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END AS iv,
+  delta AS delta, gamma AS gamma, theta AS theta, vega * 0.01::DOUBLE AS vega,
+  underlying_price AS underlying, volume, implied_vol AS implied_vol, iv_error,
   0.1::DOUBLE AS rho, 0.2::DOUBLE AS epsilon, 0.3::DOUBLE AS lambda, 0::BIGINT AS bid_size
 FROM v_vendor
 """)
@@ -569,7 +569,7 @@ WHERE CASE WHEN k.action IS NULL THEN g.ticker IN (SELECT ticker FROM v_today) E
 cte("v_earnings", """
 SELECT symbol, CAST(ts AS DATE) AS date,
   CASE WHEN hour(ts) + minute(ts) / 60.0::DOUBLE >= 16 THEN 'amc' WHEN hour(ts) + minute(ts) / 60.0::DOUBLE < 9.5::DOUBLE THEN 'bmo' ELSE 'unknown' END AS session,
-  ts AS announced_at, round(value, 1) AS eps_estimate, value AS reported_eps, round(value - round(value, 1), 6) AS surprise_pct
+  ts AS announced_at, floor(value)::DOUBLE AS eps_estimate, value AS reported_eps, value - floor(value) AS surprise_pct
 FROM (SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, ts, value,
         row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM events)
 WHERE rn = 1
@@ -580,16 +580,16 @@ SELECT session, count(*) AS n FROM (
   SELECT CASE WHEN hour(ts) + minute(ts) / 60.0::DOUBLE >= 16 THEN 'amc' WHEN hour(ts) + minute(ts) / 60.0::DOUBLE < 9.5::DOUBLE THEN 'bmo' ELSE 'unknown' END AS session
   FROM events) GROUP BY session
 """)
-oracle("corporate_actions", "SELECT symbol, date, action, round(value, 6) AS value FROM v_actions")
+oracle("corporate_actions", "SELECT symbol, date, action, value FROM v_actions")
 oracle("tidy_prices", """
-SELECT yahoo_symbol, date, round(yahoo_close, 6) AS yahoo_close, round(dividend, 6) AS dividend, round(split, 6) AS split FROM v_quotes
+SELECT yahoo_symbol, date, yahoo_close, dividend, split FROM v_quotes
 """)
 oracle("rates", """
-SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol, round(min(o_totalprice / 100.0::DOUBLE), 6) AS rate
+SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol, min(o_totalprice / 100.0::DOUBLE) AS rate
 FROM orders GROUP BY ALL
 """)
 oracle("yields", """
-SELECT date, tenor, round(min(close / 100.0::DOUBLE), 6) AS "yield" FROM (
+SELECT date, tenor, min(close / 100.0::DOUBLE) AS "yield" FROM (
   SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS close,
     CASE o_orderpriority WHEN '1-URGENT' THEN '13w' WHEN '2-HIGH' THEN '5y' WHEN '3-MEDIUM' THEN '10y' WHEN '5-LOW' THEN '30y' END AS tenor
   FROM orders WHERE o_orderstatus <> 'P')
@@ -606,7 +606,7 @@ oracle("sectors", "SELECT ticker, replace(ticker, '.', '') AS symbol, sector, su
 cte("v_checks", """
 SELECT n.year::INTEGER AS year, n.symbol, n.theta_days, coalesce(c.overlap_days, 0) AS overlap_days,
   round(c.return_correlation, 6) AS return_correlation, round(c.median_return_difference, 6) AS median_return_difference,
-  c.action_gap_days::BIGINT AS action_gap_days,
+  c.action_gap_days::DOUBLE AS action_gap_days,
   CASE WHEN coalesce(c.overlap_days, 0) < 20 THEN 'thin_overlap' WHEN c.median_return_difference <= 0.001::DOUBLE THEN 'ok'
     WHEN c.median_return_difference >= 0.005::DOUBLE THEN 'wrong_instrument' ELSE 'suspect' END AS status
 FROM (SELECT year(date) AS year, symbol, count(*) AS theta_days FROM v_spot GROUP BY ALL) n
@@ -643,16 +643,16 @@ WHERE rn = 1 AND ask > 0
 """)
 oracle("repair_patch", """
 SELECT date, symbol, CAST(expiration AS DATE) AS expiration, strike, CASE WHEN "right" = 'CALL' THEN 'C' ELSE 'P' END AS "right",
-  bid AS bid_new, ask AS ask_new, round(CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END, 6) AS iv_new,
-  round(vega * 0.01::DOUBLE, 6) AS vega_new, underlying_price AS underlying_new, spot_stamp AS underlying_timestamp_new
+  bid AS bid_new, ask AS ask_new, CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END AS iv_new,
+  vega * 0.01::DOUBLE AS vega_new, underlying_price AS underlying_new, spot_stamp AS underlying_timestamp_new
 FROM v_patch
 """)
 oracle("repaired_chain", """
-SELECT c.date, c.symbol, c.expiration, c.strike, c."right", round(CASE WHEN p.ask IS NOT NULL THEN p.bid ELSE c.bid END, 6) AS bid,
-  round(CASE WHEN p.ask IS NOT NULL THEN p.ask ELSE c.ask END, 6) AS ask,
-  round((CASE WHEN p.ask IS NOT NULL THEN p.bid ELSE c.bid END + CASE WHEN p.ask IS NOT NULL THEN p.ask ELSE c.ask END) / 2, 6) AS mid,
-  round(CASE WHEN p.ask IS NOT NULL THEN CASE WHEN abs(p.iv_error) <= 1 AND p.implied_vol > 0 THEN p.implied_vol END ELSE c.iv END, 6) AS iv,
-  round(CASE WHEN p.ask IS NULL THEN c.gamma END, 6) AS gamma, round(CASE WHEN p.ask IS NOT NULL THEN p.vega * 0.01::DOUBLE ELSE c.vega END, 6) AS vega
+SELECT c.date, c.symbol, c.expiration, c.strike, c."right", CASE WHEN p.ask IS NOT NULL THEN p.bid ELSE c.bid END AS bid,
+  CASE WHEN p.ask IS NOT NULL THEN p.ask ELSE c.ask END AS ask,
+  (CASE WHEN p.ask IS NOT NULL THEN p.bid ELSE c.bid END + CASE WHEN p.ask IS NOT NULL THEN p.ask ELSE c.ask END) / 2 AS mid,
+  CASE WHEN p.ask IS NOT NULL THEN CASE WHEN abs(p.iv_error) <= 1 AND p.implied_vol > 0 THEN p.implied_vol END ELSE c.iv END AS iv,
+  CASE WHEN p.ask IS NULL THEN c.gamma END AS gamma, CASE WHEN p.ask IS NOT NULL THEN p.vega * 0.01::DOUBLE ELSE c.vega END AS vega
 FROM v_chain c LEFT JOIN v_patch p ON p.symbol = c.symbol AND p.date = c.date AND CAST(p.expiration AS DATE) = c.expiration
   AND p.strike = c.strike AND p."right" = CASE WHEN c."right" = 'C' THEN 'CALL' ELSE 'PUT' END
 """)
@@ -864,7 +864,7 @@ SELECT signal, count(*) AS rows, min(date) AS first, max(date) AS last FROM v_si
 # --- the store -----------------------------------------------------------------------------------------
 
 oracle("store_round_trip", """
-SELECT date, symbol, close, year(date)::INTEGER AS year, NULL::BIGINT AS volume FROM v_spot
+SELECT date, symbol, close, year(date)::INTEGER AS year, NULL::DOUBLE AS volume FROM v_spot
 """)
 oracle("store_pending", """
 SELECT y::INTEGER AS year FROM v_bounds, range(year(start_date) - 1, year(end_date) + 3) t(y)

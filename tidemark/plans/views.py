@@ -81,12 +81,11 @@ class Views:
             (F.col("l_returnflag") == "A") & (F.col("l_quantity") >= 49.0) & (F.col("l_tax") >= 0.07),
             F.lit(1.0) + F.col("l_discount") * F.lit(10.0),
         )
-        unit = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,4)")
-        mean_price = F.sum(unit).cast("double") / F.count("*")
+        unit = F.col("l_extendedprice") / F.col("l_quantity")
         return self.lines.groupBy(
             F.replace("ticker", F.lit("."), F.lit("-")).alias("yahoo_symbol"), "date"
         ).agg(
-            mean_price.alias("yahoo_close"),
+            ((F.min(unit) + F.max(unit)) / 2.0).alias("yahoo_close"),
             F.coalesce(F.max(dividend), F.lit(0.0)).alias("dividend"),
             F.coalesce(F.max(split), F.lit(0.0)).alias("split"),
         )
@@ -148,10 +147,8 @@ class Views:
             )
             .withColumn("dte", F.datediff("expiration", "date"))
             .where(F.col("dte") > 0)
-            .withColumn(
-                "strike",
-                (F.floor(s / 5.0) * 5 + 5 * F.explode(F.sequence(F.lit(-4), F.lit(4)))).cast("double"),
-            )
+            .withColumn("k", F.explode(F.sequence(F.lit(-4), F.lit(4))))
+            .withColumn("strike", (F.floor(s / 5.0) * 5 + 5 * F.col("k")).cast("double"))
             .withColumn("right", F.explode(F.array(F.lit("C"), F.lit("P"))))
         )
         call = F.col("right") == "C"
@@ -164,13 +161,10 @@ class Views:
             .withColumn("dc", F.lit(0.5) + 0.5 * F.col("x") / (F.lit(1.0) + F.abs("x")))
             .withColumn(
                 "fair",
-                F.round(
-                    F.greatest(F.when(call, s - k).otherwise(k - s), F.lit(0.0))
-                    + 0.4 * s * F.col("width") / (F.lit(1.0) + F.abs("x")),
-                    4,
-                ),
+                F.greatest(F.when(call, s - k).otherwise(k - s), F.lit(0.0))
+                + 0.4 * s * F.col("width") / (F.lit(1.0) + F.abs("x")),
             )
-            .withColumn("half", F.round(0.02 * F.col("fair") + 0.01, 4))
+            .withColumn("half", 0.02 * F.col("fair") + 0.01)
             .withColumn("quoted", s - F.floor(s) >= 0.06)
         )
         zero = F.lit(0.0)
@@ -236,8 +230,8 @@ class Views:
             .withColumn("n", late)
             .withColumns(
                 {
-                    "bid": F.round(fair * (0.9 + 0.02 * F.col("n")), 4),
-                    "ask": F.round(fair * (1.0 + 0.02 * F.col("n")), 4),
+                    "bid": fair * (0.9 + 0.02 * F.col("n")),
+                    "ask": fair * (1.0 + 0.02 * F.col("n")),
                     "timestamp": F.col("timestamp") - F.expr("INTERVAL '3' MINUTE")
                     + F.col("n") * F.expr("INTERVAL '1' MINUTE"),
                     "underlying_timestamp": F.col("timestamp") - F.expr("INTERVAL '1' MINUTE"),
@@ -333,9 +327,9 @@ class Views:
         return self.table("events").select(
             F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
             F.col("ts").alias("announced_at"),
-            F.round("value", 1).alias("eps_estimate"),
+            F.floor("value").cast("double").alias("eps_estimate"),
             F.col("value").alias("reported_eps"),
-            (F.col("value") - F.round("value", 1)).alias("surprise_pct"),
+            (F.col("value") - F.floor("value")).alias("surprise_pct"),
         )
 
     @cached_property
