@@ -8,12 +8,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, ratio
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash `df` by `keys` into the session's full number of shuffle partitions.
+
+    A chain of windows over the same keys then runs on this one exchange. A panel is small
+    in bytes but a rolling window costs its length per row, so letting the planner pack
+    partitions by size would leave most cores idle.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
+
+
 @dataclass(frozen=True)
 class Trailing:
     """The last `rows` rows of each key, null until `floor` of them carry a value.

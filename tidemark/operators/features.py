@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR
-from tidemark.functions.frames import Trailing, previous
+from tidemark.functions.frames import Trailing, previous, spread
 from tidemark.functions.groups import broadcast_daily
 from tidemark.operators.realized_vol import split_adjusted_return
 
@@ -31,10 +31,12 @@ def stock_features(
     the windows run on the joined rows; every stage keeps the partitioning by symbol, so
     the whole chain of windows costs one shuffle.
     """
-    returns = closes.select("date", "symbol", split_adjusted_return().alias("ret"))
+    returns = spread(closes, "symbol").select(
+        "date", "symbol", split_adjusted_return().alias("ret")
+    )
     joined = returns.join(broadcast_daily(market), "date", "inner")
     with_beta = joined.withColumn("beta", Trailing(config.beta_window).beta("ret", "market_return"))
-    spread = with_beta.select(
+    parts = with_beta.select(
         "date",
         "symbol",
         "ret",
@@ -43,7 +45,7 @@ def stock_features(
         Trailing(config.gap_sigma_window).std("ret").alias("sigma"),
     )
     gap = F.abs("ret") > F.lit(config.gap_threshold) * previous("sigma")
-    flagged = spread.select(
+    flagged = parts.select(
         "date",
         "symbol",
         "ret",

@@ -55,7 +55,8 @@ def with_greeks(
             / (c("vol") * c("root"))
         },
         {"_d2": c("d1") - c("vol") * c("root"), "_density": normal_pdf(c("d1"))},
-        {"_t1": upper_tail(c("d1")), "_t2": upper_tail(c("d2"))},
+        {"_s1": F.abs(c("d1")), "_s2": F.abs(c("d2"))},
+        {"_t1": upper_tail(c("s1")), "_t2": upper_tail(c("s2"))},
         {
             "_n1": F.when(c("d1") > 0, F.lit(1.0) - c("t1")).otherwise(c("t1")),
             "_n2": F.when(c("d2") > 0, F.lit(1.0) - c("t2")).otherwise(c("t2")),

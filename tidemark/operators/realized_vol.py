@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR, ratio
-from tidemark.functions.frames import Trailing, leading, previous
+from tidemark.functions.frames import Trailing, leading, previous, spread
 from tidemark.functions.groups import first_row
 
 
@@ -63,7 +63,8 @@ def realized_vol(
     Prices under `min_price` leave before the lag, so a return bridges the gap.
     `rv_fwd` covers the next `forward_window` rows and is null until they all exist.
     """
-    squared = closes.where(F.col("close") >= config.min_price).select(
+    kept = closes.where(F.col("close") >= config.min_price)
+    squared = spread(kept, "symbol").select(
         "date", "symbol", F.pow(split_adjusted_return(), F.lit(2.0)).alias("squared")
     )
     annual = lambda c: F.sqrt(c * F.lit(SESSIONS_PER_YEAR))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, winsorize
-from tidemark.functions.frames import Trailing
+from tidemark.functions.frames import Trailing, spread
 from tidemark.functions.groups import attach_daily, broadcast_daily, grouped_median
 from tidemark.functions.least_squares import fit, gram_columns
 from tidemark.operators.risk import one_sector
@@ -160,6 +160,7 @@ def iv_zscore_signal(surface: DataFrame, config: SignalConfig = SignalConfig())
     return (
         surface.where((F.col("symbol") != MARKET_ROOT) & (F.col(iv) > 0))
         .select("date", "symbol", F.ln(iv).alias("level"))
+        .transform(spread, "symbol")
         .select(
             "date",
             "symbol",
@@ -183,6 +184,7 @@ def momentum_signal(reference: DataFrame, config: SignalConfig = SignalConfig())
     )
     past = materialize(
         reference.where(F.col("symbol") != MARKET_ROOT)
+        .transform(spread, "symbol")
         .select("date", "symbol", trail.sum("pnl_per_vega").alias("past"))
         .where(F.col("past").isNotNull())
     )

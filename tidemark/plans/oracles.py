@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.functions.normal import CUTOFF, FRACTION, SWITCH, TAIL_BOTTOM, TAIL_TOP
+from tidemark.functions.normal import TAIL_BOTTOM, TAIL_TOP
 
 CTES: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
@@ -427,13 +427,7 @@ def polynomial_sql(x: str, coefficients: tuple[float, ...]) -> str:
 def cdf_sql(x: str) -> str:
     a = f"abs({x})"
     weight = f"exp(-{a} * {a} / 2.0::DOUBLE)"
-    first, *rest = FRACTION
-    chain = f"({a} + {first!r}::DOUBLE)"
-    for step in [*rest, 1.0]:
-        chain = f"({a} + {step!r}::DOUBLE / {chain})"
-    near = f"{weight} * {polynomial_sql(a, TAIL_TOP)} / {polynomial_sql(a, TAIL_BOTTOM)}"
-    far = f"{weight} / ({chain} * sqrt(2.0::DOUBLE * pi()))"
-    tail = f"CASE WHEN {a} > {CUTOFF!r} THEN 0.0::DOUBLE WHEN {a} < {SWITCH!r}::DOUBLE THEN {near} ELSE {far} END"
+    tail = f"{weight} * {polynomial_sql(a, TAIL_TOP)} / {polynomial_sql(a, TAIL_BOTTOM)}"
     return f"(CASE WHEN {x} > 0 THEN 1.0::DOUBLE - {tail} ELSE {tail} END)"
 
 

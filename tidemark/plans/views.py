@@ -130,7 +130,7 @@ class Views:
 
     @cached_property
     def chain(self) -> DataFrame:
-        """A canonical chain by rational formulas over `chain_spot`.
+        """A canonical chain by rational formulas over `chain_spot`, written down as one is stored.
 
         Third-Friday expirations of five months, nine strikes, both rights. Sessions whose
         spot sits just above a whole number carry empty quotes; far strikes fail inversion.
@@ -175,7 +175,7 @@ class Views:
                 "ask": F.when(F.col("quoted"), F.col("fair") + F.col("half")).otherwise(zero),
             }
         )
-        return quotes.select(
+        return materialize(quotes.select(
             "date",
             "symbol",
             "expiration",
@@ -191,7 +191,7 @@ class Views:
             (0.4 * s * root * (F.lit(1.0) - tilt * tilt) / 100.0).alias("vega"),
             "underlying",
             (F.col("dte") * 10).cast("long").alias("volume"),
-        )
+        ))
 
     @cached_property
     def vendor_chain(self) -> DataFrame:
