@@ -51,5 +51,18 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tidemark-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what `materialize` wrote in this process; frames built on it are done with."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    while _written:
+        path = hadoop.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
