@@ -14,7 +14,7 @@ from tidemark.operators import straddle, surface, symbols, universe
 from tidemark.operators.features import stock_features
 from tidemark.operators.forecast import HARConfig, har_coefficients, har_forecast, har_rows, refit_dates
 from tidemark.operators.pricing import reprice_chain
-from tidemark.operators.realized_vol import market_return, realized_vol, spot_panel, with_splits
+from tidemark.operators.realized_vol import market_return, realized_vol, spot_panel
 from tidemark.functions.groups import grouped_median
 from tidemark.plans.views import FIELDS, MARKET, Views
 from tidemark.session import materialize, scratch_dir
@@ -51,12 +51,8 @@ def rounded(df: DataFrame, digits: int = 6, skip: tuple[str, ...] = ()) -> DataF
 # --- realized vol and features ---------------------------------------------------------------
 
 
-def _closes(v: Views) -> DataFrame:
-    return with_splits(v.spot, v.actions)
-
-
 def _rv(v: Views) -> tuple[DataFrame, DataFrame]:
-    return realized_vol(_closes(v)), realized_vol(v.market.withColumn("split_ratio", F.lit(1.0)))
+    return realized_vol(v.closes), realized_vol(v.market_closes)
 
 
 @query
@@ -70,7 +66,7 @@ QUERIES["realized_vol"] = QUERIES.pop("realized_vol_panel")
 
 @query
 def stock_feature_panel(v: Views) -> DataFrame:
-    return rounded(stock_features(_closes(v), market_return(v.market)))
+    return rounded(_features(v))
 
 
 QUERIES["stock_features"] = QUERIES.pop("stock_feature_panel")
@@ -406,7 +402,7 @@ QUERIES["har_coefficients"] = QUERIES.pop("coefficients")
 
 def _forecast(v: Views) -> DataFrame:
     names, market = _rv(v)
-    return har_forecast(materialize(names), market, HAR)[0]
+    return har_forecast(materialize(names), materialize(market), HAR)[0]
 
 
 QUERIES["har_forecast"] = lambda spark, sf: rounded(_forecast(Views(spark, sf)))
@@ -429,7 +425,7 @@ def sector_medians(v: Views) -> DataFrame:
 
 
 def _features(v: Views) -> DataFrame:
-    return stock_features(_closes(v), market_return(v.market))
+    return stock_features(v.closes, market_return(v.market_closes))
 
 
 @query

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.realized_vol import with_splits
 from tidemark.operators.reference_data import build_actions
 from tidemark.operators.symbols import symbol_map
 from tidemark.session import materialize
@@ -94,6 +95,15 @@ class Views:
     def actions(self) -> DataFrame:
         return build_actions(self.quotes, self.names)
 
+    @cached_property
+    def closes(self) -> DataFrame:
+        """Brand prices with split ratios, written down: several panels start from them."""
+        return materialize(with_splits(self.spot, self.actions))
+
+    @cached_property
+    def market_closes(self) -> DataFrame:
+        return materialize(self.market.withColumn("split_ratio", F.lit(1.0)))
+
     @cached_property
     def constituents(self) -> DataFrame:
         """A brand's sector is its commonest part type; the PROMO ones have none listed."""
@@ -121,9 +131,9 @@ class Views:
         level = (
             F.lit(100.0) * F.avg("close").over(w) / F.avg("close").over(Window.partitionBy("symbol"))
         )
+        prices = self.closes.unionByName(self.market_closes).select("symbol", "date", "close")
         return (
-            self.spot.unionByName(self.market)
-            .select("symbol", "date", F.round(level, 2).alias("underlying"), F.count("*").over(w).alias("n"))
+            prices.select("symbol", "date", F.round(level, 2).alias("underlying"), F.count("*").over(w).alias("n"))
             .where((F.col("n") == SMOOTHING_ROWS) & (F.abs(F.col("underlying") - 100.0) >= 0.5))
             .drop("n")
         )
@@ -244,18 +254,20 @@ class Views:
 
     @cached_property
     def returns(self) -> DataFrame:
-        """`(symbol, date, pnl_per_vega, dollar_vega)` per supplier."""
+        """`(symbol, date, pnl_per_vega, dollar_vega)` per supplier, written down as one is stored."""
         daily = (
             self.table("lineitem")
             .groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.to_date("l_shipdate").alias("date"))
             .agg(_unit_price().alias("close"), F.sum("l_quantity").alias("dollar_vega"))
         )
         w = Window.partitionBy("symbol").orderBy("date")
-        return daily.select(
-            "symbol",
-            "date",
-            F.ln(F.col("close") / F.lag("close").over(w)).alias("pnl_per_vega"),
-            "dollar_vega",
+        return materialize(
+            daily.select(
+                "symbol",
+                "date",
+                F.ln(F.col("close") / F.lag("close").over(w)).alias("pnl_per_vega"),
+                "dollar_vega",
+            )
         )
 
     @cached_property
