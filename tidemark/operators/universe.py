@@ -57,18 +57,13 @@ def membership_spans(
     or falls on a session. On one day an addition is undone before a removal, so a day
     with both leaves the ticker a member before it.
     """
-    dated = changes.select("ticker", F.col("effective_date").alias("date"), "action").join(
-        broadcast_daily(numbered), "date", "left"
-    )
-    last_day = numbered.agg(F.max("date").alias("last_day"), F.max("pos").alias("last_pos"))
-    # the last session rides along on today's list, a single row joined by key
-    flat = last_day.select(F.lit(1).alias("one"), "last_day", "last_pos")
+    last_day = numbered.agg(F.max("date")).scalar()
+    last_pos = numbered.agg(F.max("pos")).scalar()
     kept = (
-        dated.drop("last_pos")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(flat), "one")  # one row
-        .where(F.col("pos").isNotNull() | (F.col("date") > F.col("last_day")))
-        .groupBy("ticker", F.coalesce("pos", F.col("last_pos") + 1).alias("until"), "date")
+        changes.select("ticker", F.col("effective_date").alias("date"), "action")
+        .join(broadcast_daily(numbered.select("date", "pos")), "date", "left")
+        .where(F.col("pos").isNotNull() | (F.col("date") > last_day))
+        .groupBy("ticker", F.coalesce("pos", last_pos + 1).alias("until"), "date")
         .agg(F.max("action").alias("action"))  # "Removed" sorts after "Added"
     )
     by_ticker = Window.partitionBy("ticker").orderBy("date")
@@ -83,12 +78,10 @@ def membership_spans(
         current.select("ticker")
         .distinct()
         .join(last_change, "ticker", "left")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(flat), "one")  # one row
         .select(
             "ticker",
             F.coalesce("first_pos", F.lit(1)).alias("first_pos"),
-            (F.col("last_pos") + 1).alias("end_pos"),
+            (last_pos + 1).alias("end_pos"),
         )
     )
     spans = before_change.drop("action").unionByName(since)
