@@ -76,6 +76,11 @@ def har_coefficients(rows: DataFrame, config: HARConfig = HARConfig()) -> DataFr
     )
 
 
+def latest_fit(coefficients: DataFrame) -> DataFrame:
+    """The most recent row of the coefficient history."""
+    return coefficients.orderBy(F.desc("date")).limit(1)
+
+
 def har_forecast(
     panel: DataFrame, apply: DataFrame | None = None, config: HARConfig = HARConfig()
 ) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of each landed vendor table.
+LANDED: dict[str, str] = {
+    "chain": (
+        "symbol string, expiration string, strike double, right string, bid double, ask double,"
+        " volume long, delta double, gamma double, theta double, vega double, implied_vol double,"
+        " iv_error double, underlying_timestamp timestamp, timestamp timestamp,"
+        " underlying_price double, rho double, epsilon double, lambda double"
+    ),
+    "open_interest": (
+        "timestamp timestamp, symbol string, expiration string, strike double, right string,"
+        " open_interest long"
+    ),
+    "stock": (
+        "created timestamp, last_trade timestamp, symbol string, open double, high double,"
+        " low double, close double, volume long, count long, bid double, ask double"
+    ),
+    "index": (
+        "created timestamp, symbol string, open double, high double, low double, close double"
+    ),
+    "rates": "created string, symbol string, rate double",
+    "yields": "date string, ticker string, close double",
+    "quotes": "yahoo_symbol string, date date, yahoo_close double, dividend double, split double",
+    "earnings": (
+        "symbol string, announced_at timestamp, eps_estimate double, reported_eps double,"
+        " surprise_pct double"
+    ),
+    "constituents": "`Symbol` string, `GICS Sector` string, `GICS Sub-Industry` string",
+    "changes": (
+        "effective_date string, added_ticker string, added_security string,"
+        " removed_ticker string, removed_security string, reason string"
+    ),
+    "closures": "date string, type string",
+}
+
+
+def read_vendor(
+    spark: SparkSession, kind: str, paths: Sequence[str], fmt: str = "parquet"
+) -> DataFrame:
+    """Landed files of a vendor table under its own schema; other columns are not read."""
+    return read_landed(spark, paths, T.StructType.fromDDL(LANDED[kind]), fmt)
+
+
 # Fixed value: the year of a chain directory whose name carries none.
 SAMPLE_YEAR = 2025
 
