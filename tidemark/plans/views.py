@@ -50,16 +50,43 @@ class Views:
             .withColumn("symbol", F.replace("ticker", F.lit("."), F.lit("")))
         )
 
+    @cached_property
+    def daily(self) -> DataFrame:
+        """Per brand and ship date: traded value and quantity, price range, dividend and split.
+
+        One pass over the order lines, written down; both price sources and the market start here.
+        """
+        unit = F.col("l_extendedprice") / F.col("l_quantity")
+        dividend = F.when(
+            (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), F.col("l_discount")
+        )
+        split = F.when(
+            (F.col("l_returnflag") == "A") & (F.col("l_quantity") >= 49.0) & (F.col("l_tax") >= 0.07),
+            F.lit(1.0) + F.col("l_discount") * F.lit(10.0),
+        )
+        return materialize(
+            self.lines.groupBy("ticker", "symbol", "date").agg(
+                F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"),
+                F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+                F.min(unit).alias("low"),
+                F.max(unit).alias("high"),
+                F.coalesce(F.max(dividend), F.lit(0.0)).alias("dividend"),
+                F.coalesce(F.max(split), F.lit(0.0)).alias("split"),
+            )
+        )
+
     @cached_property
     def spot(self) -> DataFrame:
         """`(symbol, date, close)`: a brand's unit price on each ship date."""
-        return self.lines.groupBy("symbol", "date").agg(_unit_price().alias("close"))
+        price = F.col("value").cast("double") / F.col("quantity").cast("double")
+        return self.daily.select("symbol", "date", price.alias("close"))
 
     @cached_property
     def market(self) -> DataFrame:
         """The same over all brands."""
-        days = self.table("lineitem").groupBy(F.to_date("l_shipdate").alias("date"))
-        return days.agg(_unit_price().alias("close")).select(F.lit(MARKET).alias("symbol"), "date", "close")
+        price = F.sum("value").cast("double") / F.sum("quantity").cast("double")
+        days = self.daily.groupBy("date").agg(price.alias("close"))
+        return days.select(F.lit(MARKET).alias("symbol"), "date", "close")
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -68,7 +95,7 @@ class Views:
     @cached_property
     def universe(self) -> DataFrame:
         """`(date, ticker)`: a brand is a member on the days it ships."""
-        return self.lines.select("date", "ticker").distinct()
+        return self.daily.select("date", "ticker")
 
     @cached_property
     def names(self) -> DataFrame:
@@ -77,18 +104,12 @@ class Views:
     @cached_property
     def quotes(self) -> DataFrame:
         """`(yahoo_symbol, date, yahoo_close, dividend, split)`: a second price source."""
-        dividend = F.when((F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), F.col("l_discount"))
-        split = F.when(
-            (F.col("l_returnflag") == "A") & (F.col("l_quantity") >= 49.0) & (F.col("l_tax") >= 0.07),
-            F.lit(1.0) + F.col("l_discount") * F.lit(10.0),
-        )
-        unit = F.col("l_extendedprice") / F.col("l_quantity")
-        return self.lines.groupBy(
-            F.replace("ticker", F.lit("."), F.lit("-")).alias("yahoo_symbol"), "date"
-        ).agg(
-            ((F.min(unit) + F.max(unit)) / 2.0).alias("yahoo_close"),
-            F.coalesce(F.max(dividend), F.lit(0.0)).alias("dividend"),
-            F.coalesce(F.max(split), F.lit(0.0)).alias("split"),
+        return self.daily.select(
+            F.replace("ticker", F.lit("."), F.lit("-")).alias("yahoo_symbol"),
+            "date",
+            ((F.col("low") + F.col("high")) / 2.0).alias("yahoo_close"),
+            "dividend",
+            "split",
         )
 
     @cached_property
