@@ -39,8 +39,8 @@ def compose(sql: str) -> str:
 # --- panels --------------------------------------------------------------------------------
 
 UNIT_PRICE = (
-    "CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)"
-    " / CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)"
+    "CAST(SUM(CAST(floor(l_extendedprice * 100.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)) AS DOUBLE)"
+    " / 100.0::DOUBLE / SUM(l_quantity)"
 )
 
 cte("v_lines", """

@@ -23,9 +23,13 @@ MARKET = "SPX"
 FIELDS = {"Close": "yahoo_close", "Dividends": "dividend", "Stock Splits": "split"}
 
 
-def _unit_price() -> Column:
-    total = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
-    return total / F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double")
+def _cents() -> Column:
+    """Traded value in whole cents: integers add up alike in any order."""
+    return F.sum(F.floor(F.col("l_extendedprice") * 100.0 + 0.5))
+
+
+def _price(cents: Column, quantity: Column) -> Column:
+    return cents.cast("double") / 100.0 / quantity
 
 
 @dataclass(frozen=True)
@@ -52,7 +56,7 @@ class Views:
 
     @cached_property
     def daily(self) -> DataFrame:
-        """Per brand and ship date: traded value and quantity, price range, dividend and split.
+        """Per brand and ship date: traded cents and quantity, price range, dividend and split.
 
         One pass over the order lines, written down; both price sources and the market start here.
         """
@@ -66,8 +70,8 @@ class Views:
         )
         return materialize(
             self.lines.groupBy("ticker", "symbol", "date").agg(
-                F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"),
-                F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"),
+                _cents().alias("cents"),
+                F.sum("l_quantity").alias("quantity"),
                 F.min(unit).alias("low"),
                 F.max(unit).alias("high"),
                 F.coalesce(F.max(dividend), F.lit(0.0)).alias("dividend"),
@@ -78,13 +82,13 @@ class Views:
     @cached_property
     def spot(self) -> DataFrame:
         """`(symbol, date, close)`: a brand's unit price on each ship date."""
-        price = F.col("value").cast("double") / F.col("quantity").cast("double")
+        price = _price(F.col("cents"), F.col("quantity"))
         return self.daily.select("symbol", "date", price.alias("close"))
 
     @cached_property
     def market(self) -> DataFrame:
         """The same over all brands."""
-        price = F.sum("value").cast("double") / F.sum("quantity").cast("double")
+        price = _price(F.sum("cents"), F.sum("quantity"))
         days = self.daily.groupBy("date").agg(price.alias("close"))
         return days.select(F.lit(MARKET).alias("symbol"), "date", "close")
 
@@ -279,7 +283,10 @@ class Views:
         daily = (
             self.table("lineitem")
             .groupBy(F.col("l_suppkey").cast("string").alias("symbol"), F.to_date("l_shipdate").alias("date"))
-            .agg(_unit_price().alias("close"), F.sum("l_quantity").alias("dollar_vega"))
+            .agg(
+                _price(_cents(), F.sum("l_quantity")).alias("close"),
+                F.sum("l_quantity").alias("dollar_vega"),
+            )
         )
         w = Window.partitionBy("symbol").orderBy("date")
         return materialize(
