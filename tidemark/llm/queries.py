@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, quality_rules, sharding
-from tidemark.session import materialize
+from tidemark.llm import bpe, chat_format, quality_rules, sharding, token_store
+from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
+BYTE_LEVEL, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
+END_ID = 0
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,9 +59,32 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    root = f"{scratch_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    ids = token_store.encoded(docs, BYTE_LEVEL, END_ID)
+    manifest = token_store.write_store(ids, docs.select("doc_id"), root)
+    parts = token_store.write_index(manifest, root)
+    read = token_store.read_digests(token_store.look_up(manifest, root, parts), root)
+    return token_store.with_starts(read, manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode_documents(docs, WORDS)
+    return ids.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), WORDS), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op6_chat_format": op6_chat_format,
         "op7_quality_rules": op7_quality_rules,
+        "op9_token_store": op9_token_store,
+        "op10_bpe": op10_bpe,
     }
