@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, quality_rules, sharding, token_store
+from tidemark.llm import bpe, chat_format, near_dedup, quality_rules, sharding, token_store
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
@@ -34,6 +34,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return near_dedup.near_duplicates(docs, near_dedup.NearConfig(words=4))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = r"\### Assistant: </turn> ok"
@@ -83,6 +88,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op4_near_dedup": op4_near_dedup,
         "op6_chat_format": op6_chat_format,
         "op7_quality_rules": op7_quality_rules,
         "op9_token_store": op9_token_store,
