@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, near_dedup, quality_rules, sharding, token_store
+from tidemark.llm import bpe, chat_format, near_dedup, quality_model, quality_rules, sharding, token_store
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
 BYTE_LEVEL, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 0
+KEPT_SCORE = 0.3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,17 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(docs, near_dedup.NearConfig(words=4))
 
 
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    machine = quality_model.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_model.scored(docs, machine).select(
+        "doc_id",
+        quality_model.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= KEPT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     says = r"\### Assistant: </turn> ok"
@@ -89,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op4_near_dedup": op4_near_dedup,
+        "op5_quality_model": op5_quality_model,
         "op6_chat_format": op6_chat_format,
         "op7_quality_rules": op7_quality_rules,
         "op9_token_store": op9_token_store,
