@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, near_dedup, quality_model, quality_rules, sharding, token_store
+from tidemark.llm import bpe, chat_format, line_dedup, near_dedup, quality_model, quality_rules, sharding, token_store
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
@@ -35,6 +35,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = line_dedup.without_repeats(docs)
+    return cleaned.select("doc_id", "text", "removed_lines", "removed_runs")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, near_dedup.NearConfig(words=4))
@@ -100,6 +106,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_line_dedup": op2_line_dedup,
         "op4_near_dedup": op4_near_dedup,
         "op5_quality_model": op5_quality_model,
         "op6_chat_format": op6_chat_format,
