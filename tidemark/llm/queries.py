@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, line_dedup, near_dedup, quality_model, quality_rules, sharding, token_store
+from tidemark.llm import bpe, chat_format, decontaminate, line_dedup, near_dedup, quality_model, quality_rules, sharding, token_store
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
@@ -82,6 +82,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.copies(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     root = f"{scratch_dir(spark)}/token-store-{uuid.uuid4().hex}"
@@ -111,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_model": op5_quality_model,
         "op6_chat_format": op6_chat_format,
         "op7_quality_rules": op7_quality_rules,
+        "op8_decontaminate": op8_decontaminate,
         "op9_token_store": op9_token_store,
         "op10_bpe": op10_bpe,
     }
