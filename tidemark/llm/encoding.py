@@ -14,7 +14,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Units a worker remembers; at this many it forgets them all and starts again.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 #: Units longer than this are encoded and not remembered.
 LONGEST_UNIT = 48
 
@@ -28,11 +28,24 @@ def load(vocabulary: str) -> Tokenizer:
     return tokenizer
 
 
+def _byte_letters() -> str:
+    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves, the others
+    follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return "".join(chr(b) if b in set(shown) else chr(256 + hidden.index(b)) for b in range(256))
+
+
+_LETTERS = str.maketrans(dict(enumerate(_byte_letters())))
+
+
 class UnitEncoder:
     """Encodes lists of units to little-endian ids of the width of `dtype`."""
 
     def __init__(self, vocabulary: str, dtype: str) -> None:
         self.tokenizer = load(vocabulary)
+        self.model = self.tokenizer.model
+        self.lower = self.tokenizer.normalizer is not None
         self.dtype = np.dtype(dtype)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > np.iinfo(self.dtype).max:
             raise ValueError(f"ids of {vocabulary} do not fit {dtype}")
@@ -40,9 +53,26 @@ class UnitEncoder:
         #: A special token: text is encoded separately on its two sides.
         self.fence = next(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special)
         self.fence_id = self.tokenizer.token_to_id(self.fence)
-
-    def learn(self, units: list[str]) -> dict[str, bytes]:
-        """The ids of units, asked for in one call: a call costs more than a unit."""
+        self.marks = {c: self._whole([c])[c] for c in ",."}
+
+    def _word(self, unit: str) -> bytes | None:
+        """Ids of a unit of Latin letters, with the space before and one mark after it if it has them, which
+        are pieces for certain and go to the model at once; None for any other unit."""
+        mark = unit[-1]
+        tail = self.marks.get(mark)
+        core = unit[:-1] if tail is not None else unit
+        letters = core[1:] if core[:1] == " " else core
+        # Latin letters compose and change case one by one, but for the dotted capital I
+        if not letters.isalpha() or not (letters.isascii() or max(letters) <= "\u024f" and "\u0130" not in letters):
+            return None
+        ids = self.known.get(core)
+        if ids is None:
+            name = (letters.lower() if self.lower else core).encode().decode("latin-1").translate(_LETTERS)
+            ids = np.array([t.id for t in self.model.tokenize(name)], self.dtype).tobytes()
+        return ids if tail is None else ids + tail
+
+    def _whole(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of any units, asked for in one call: a call costs more than a unit."""
         fenced = [u for u in units if self.fence in u]
         plain = [u for u in units if self.fence not in u]
         made = {}
@@ -58,12 +88,23 @@ class UnitEncoder:
                 at = end + 1
         return made
 
+    def learn(self, units: list[str]) -> dict[str, bytes]:
+        made, others = {}, []
+        for unit in units:
+            ids = self._word(unit)
+            if ids is None:
+                others.append(unit)
+            else:
+                made[unit] = ids
+        return made | self._whole(others)
+
     def encode(self, units: list[str]) -> bytes:
         known = self.known
         found = list(map(known.get, units))
-        if None not in found:
+        try:
             return b"".join(found)
-        missing = list({u for u, x in zip(units, found, strict=True) if x is None})
+        except TypeError:  # some are not known yet
+            missing = list({u for u, x in zip(units, found, strict=True) if x is None})
         made = self.learn(missing)
         if len(known) + len(made) > REMEMBERED:
             known.clear()
@@ -71,7 +112,7 @@ class UnitEncoder:
         return b"".join([made[u] if x is None else x for u, x in zip(units, found, strict=True)])
 
 
-_TIED = re.compile(r"\s\s")
+_TIED = re.compile(r"\s\s|\x00")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -79,16 +120,15 @@ def byte_level_units(text: str) -> list[str]:
     """Units for a byte-level vocabulary, whose pieces take the single space before them.
 
     A cut before a single space that stands between other characters is a piece boundary, whatever
-    else is around. A text that may hold a special token is one unit.
+    else is around; a single line feed between them is a piece. A text that may hold a special token is one unit.
     """
     if not text:
         return []
     if "<|" in text:
         return [text]
-    if _TIED.search(text) or text[0] == " ":
+    if _TIED.search(text) or text[0].isspace() or text[-1].isspace():
         return _SAFE.split(text)
-    first, *rest = text.split(" ")
-    return [first, *[" " + part for part in rest]]
+    return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
 
 
 def word_units(text: str) -> list[str]:

@@ -17,17 +17,17 @@ from __future__ import annotations
 import io
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.encoding import byte_level_units, encoder
+from tidemark.llm.shared_files import opened, put
 from tidemark.session import materialize
 
 #: Documents of a shard and keys of an index file, about; bits per key of a level; ids of one read.
@@ -133,20 +133,6 @@ class Index:
         return entries, (at >= 0) & (entries["fingerprint"] == fingerprints(keys))
 
 
-def _open(root: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(root)
-
-
-def put(root: str, name: str, write: Callable) -> None:
-    """Write a file through `write(stream)` under a name of this attempt, then give it its own."""
-    files, base = _open(root)
-    files.create_dir(base, recursive=True)
-    attempt = f"{base}/.{name}.{uuid.uuid4().hex}"
-    with files.open_output_stream(attempt) as stream:
-        write(stream)
-    files.move(attempt, f"{base}/{name}")
-
-
 def encoded(docs: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): each whole text's ids and the end id, as 16-bit integers; null is the empty text."""
 
@@ -181,7 +167,7 @@ def write_store(ids: DataFrame, keys: DataFrame, root: str) -> DataFrame:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come in the order of (shard, doc_id); a partition may hold several shards
-        files, base = _open(root)
+        files, base = opened(root)
         files.create_dir(base, recursive=True)
         now, stream, attempt, at, last, copy = None, None, "", 0, None, 0
 
@@ -260,7 +246,7 @@ def look_up(keys: DataFrame, root: str, parts: int) -> DataFrame:
     """(doc_id, copy, shard, offset, length) of keys (doc_id, copy) through the index; keys that are not stored are left out."""
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, base = _open(root)
+        files, base = opened(root)
         now, index = None, None
         for batch in batches:
             for part, group in batch.groupby("part", sort=True):
@@ -285,7 +271,7 @@ def read_digests(places: DataFrame, root: str) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, base = _open(root)
+        files, base = opened(root)
         now, file, have, held = None, None, (0, 0), np.zeros(0, "<u2")
         for batch in batches:
             n_tokens, sums = [], []
