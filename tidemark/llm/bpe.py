@@ -60,8 +60,7 @@ class Joiner:
         self.open = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges))
         self.closed = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=WORD_END))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.names = token_names(vocabulary)
 
     def cuts(self, text: str, size: int) -> list[tuple[int, bool]]:
         """Places to cut, and whether a piece runs across; each at the first good place after `size` characters."""
@@ -153,12 +152,39 @@ def encode_whole(text: str, vocabulary: str, size: int = STRETCH) -> list[int]:
     return j.tree(parts, open_[1:-1]).ids
 
 
+@cache
+def token_names(vocabulary: str) -> list[str]:
+    tokenizer = load(vocabulary)
+    return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+
+
+def decode_ids(ids: bytes, vocabulary: str) -> str:
+    """The text that ids stand for: without a decoder, the token strings joined by spaces; special tokens stay."""
+    names = token_names(vocabulary)
+    return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
+
+def decoded(ids: Column, vocabulary: str) -> Column:
+    """`decode_ids` of a column of ids; null for null."""
+
+    @F.pandas_udf("string")
+    def decode(codes: pd.Series) -> pd.Series:
+        return codes.map(lambda c: None if c is None else decode_ids(c, vocabulary))
+
+    return decode(ids)
+
+
+#: Rows sent on at once, so that a batch of long texts is never held with all it becomes.
+SLICE = 128
+
+
 def encode_documents(
     docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", size: int = STRETCH
 ) -> DataFrame:
-    """(key, ids): the ids of each row's whole text as little-endian unsigned 32-bit integers.
+    """(key, ids, decoded): the ids of each row's whole text as little-endian unsigned 32-bit integers, and the
+    text they decode to.
 
-    Null and empty texts have no ids. Texts under twice `size` characters are encoded in place, without a
+    Null and empty texts have no ids and decode to the empty text. Texts under twice `size` characters are encoded in place, without a
     shuffle; longer ones are cut, their stretches dealt out, and brought together again by row, so
     rows that repeat a key or a text stay rows of their own. Other columns are not carried.
     """
@@ -167,9 +193,14 @@ def encode_documents(
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = encoder(vocabulary, "<u4")
-        for batch in batches:
-            ids = [units.encode(word_units(t.as_py())) for t in batch.column("t")]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(ids, pa.binary())], ["k", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                ids = [units.encode(word_units(t.as_py())) for t in batch.column("t")]
+                texts = [decode_ids(i, vocabulary) for i in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("k"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["k", "ids", "decoded"]
+                )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = joiner(vocabulary)
@@ -192,47 +223,44 @@ def encode_documents(
                     ["k", "row", "part", "open_left", "open_right", "t"],
                 )
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = joiner(vocabulary)
-        for batch in batches:
-            made = [j.stretch(*x) for x in zip(batch["t"], batch["open_left"], batch["open_right"], strict=True)]
-            yield batch[["k", "row", "part", "open_left"]].assign(
-                ids=[np.array(s.ids, "<u4").tobytes() for s in made],
-                head=[s.head for s in made],
-                tail=[s.tail for s in made],
-            )
-
-    def joined(group: pd.DataFrame) -> pd.DataFrame:
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                columns = (batch.column(c).to_pylist() for c in ("t", "open_left", "open_right"))
+                made = [j.stretch(*x) for x in zip(*columns, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(c) for c in ("k", "row", "part", "open_left")],
+                        pa.array([np.array(s.ids, "<u4").tobytes() for s in made], pa.binary()),
+                        pa.array([s.head for s in made], pa.int32()),
+                        pa.array([s.tail for s in made], pa.int32()),
+                    ],
+                    ["k", "row", "part", "open_left", "ids", "head", "tail"],
+                )
+
+    def joined(group: pa.Table) -> pa.Table:
         j = joiner(vocabulary)
-        group = group.sort_values("part")
+        group = group.sort_by("part")
         parts = [
             Stretch(np.frombuffer(i, "<u4").tolist(), h, t)
-            for i, h, t in zip(group["ids"], group["head"], group["tail"], strict=True)
+            for i, h, t in zip(*(group[c].to_pylist() for c in ("ids", "head", "tail")), strict=True)
         ]
-        ids = j.tree(parts, group["open_left"].tolist()[1:]).ids
-        return pd.DataFrame({"k": group["k"].iloc[:1], "ids": [np.array(ids, "<u4").tobytes()]})
+        ids = np.array(j.tree(parts, group["open_left"].to_pylist()[1:]).ids, "<u4").tobytes()
+        return pa.table({"k": group["k"].slice(0, 1), "ids": pa.array([ids], pa.binary()), "decoded": pa.array([decode_ids(ids, vocabulary)])})
 
     long = F.length("t") >= 2 * size
-    here = given.filter(~long).mapInArrow(short, f"k {kind}, ids binary")
+    made = f"k {kind}, ids binary, decoded string"
+    here = given.filter(~long).mapInArrow(short, made)
     # the row's own number only has to hold its stretches together within this one pass
     parts = (
         given.filter(long)
-        .withColumn("row", F.struct(F.xxhash64("t"), F.monotonically_increasing_id()).cast("string"))
+        .withColumn("row", F.concat_ws(".", F.xxhash64("t"), F.monotonically_increasing_id()))
         .mapInArrow(cut, f"k {kind}, row string, part int, open_left boolean, open_right boolean, t string")
         .repartition("row", "part")
-        .mapInPandas(encode, f"k {kind}, row string, part int, open_left boolean, ids binary, head int, tail int")
+        .mapInArrow(encode, f"k {kind}, row string, part int, open_left boolean, ids binary, head int, tail int")
     )
     # a group is the stretches of one text, which was one row before
-    whole = parts.groupBy("row").applyInPandas(joined, f"k {kind}, ids binary")
+    whole = parts.groupBy("row").applyInArrow(joined, made)
     return here.unionByName(whole).withColumnRenamed("k", key)
-
-
-def decoded(ids: Column, vocabulary: str) -> Column:
-    """The text that ids stand for: without a decoder, the token strings joined by spaces; special tokens stay."""
-
-    @F.pandas_udf("string")
-    def decode(codes: pd.Series) -> pd.Series:
-        names = joiner(vocabulary).names
-        return codes.map(lambda c: " ".join([names[i] for i in np.frombuffer(c, "<u4").tolist()]))
-
-    return decode(ids)

@@ -32,6 +32,8 @@ from tidemark.session import materialize
 
 #: Documents of a shard and keys of an index file, about; bits per key of a level; ids of one read.
 SHARD_ROWS, INDEX_KEYS, SPARE_BITS, READ_IDS = 20_000, 100_000, 2.0, 1 << 20
+#: Rows encoded and sent on at once.
+SLICE = 256
 MAGIC = b"TIDEMPH1"
 _WORD = np.uint64
 
@@ -138,9 +140,11 @@ def encoded(docs: DataFrame, vocabulary: str, end_id: int, key: str = "doc_id",
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, end = encoder(vocabulary, "<u2"), np.array([end_id], "<u2").tobytes()
-        for batch in batches:
-            ids = [units.encode(byte_level_units(t.as_py() or "")) + end for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                ids = [units.encode(byte_level_units(t.as_py() or "")) + end for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select(F.col(key).cast("bigint"), text).mapInArrow(encode, "doc_id bigint, ids binary")
 
