@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, decontaminate, line_dedup, near_dedup, quality_model, quality_rules, sharding, token_store
+from tidemark.llm import bpe, chat_format, decontaminate, line_dedup, near_dedup, quality_model, quality_rules, sharding, suffix_dedup, token_store
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
@@ -41,6 +41,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "removed_lines", "removed_runs")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return near_dedup.near_duplicates(docs, near_dedup.NearConfig(words=4))
@@ -112,6 +117,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
         "op2_line_dedup": op2_line_dedup,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_near_dedup": op4_near_dedup,
         "op5_quality_model": op5_quality_model,
         "op6_chat_format": op6_chat_format,
