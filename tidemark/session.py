@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,13 +31,9 @@ def build_session(
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is named."""
+    """The cluster's shared checkpoint folder; where none is named, a folder of the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    made = tempfile.mkdtemp(prefix="spark-tidemark-")
-    spark.sparkContext.setCheckpointDir(made)
-    return made
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def materialize(df: DataFrame) -> DataFrame:
