@@ -1,10 +1,12 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Texts with equal shingle sets are one node. Nodes that share a band of their signature are candidates:
-first each with the smallest node of its bucket, then, once those links are known, the members of a
-bucket that are still apart from it with all its members of other components. Candidates are compared a
-batch of signature places at a time and dropped as soon as the posterior probability of reaching the
-threshold is below `miss`; survivors are checked on their full shingle sets.
+first each with its bucket's head, the node with the smallest set. A node that is apart from its head has too few
+shingles in common with it to be linked, through those alone, with any member of the bucket; so in a
+second round only members that share a shingle outside the head's set are candidates, and a large group
+of near copies is never compared pair by pair. Candidates are compared a batch of signature places at
+a time and dropped as soon as the posterior probability of reaching the threshold is below `miss`;
+survivors are checked on their full shingle sets.
 """
 
 from __future__ import annotations
@@ -127,11 +129,17 @@ def signatures(sets: list[np.ndarray], places: int) -> np.ndarray:
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def sketched(docs: DataFrame, config: NearConfig, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, set_key, bands, sketch) of every row; the last three are null without shingles."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [shingle_set(t.as_py(), config.words) for t in batch.column(1)]
             full = [i for i, s in enumerate(sets) if len(s)]
             keys, bands, marks = ([None] * len(sets) for _ in range(3))
@@ -193,38 +201,80 @@ def _bayes(pairs: DataFrame, config: NearConfig) -> DataFrame:
     return pairs.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
-    """The pairs whose full shingle sets meet the threshold; `docs` has doc_id and text."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _sets(wanted: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
+    """(id, shingles): the full sets of the documents whose ids are wanted, as sorted 64-bit hashes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             made = [shingle_set(t.as_py(), config.words).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["id", "shingles"])
 
-    full = materialize(
-        docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "id bigint, shingles binary")
-    )
+    # the same plan at every size: both sides by id
+    found = docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
+    return materialize(found.mapInArrow(sets, "id bigint, shingles binary"))
+
+
+def _beside(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs (a, b, ...) with the sets x of a and y of b."""
+    first = full.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
+    second = full.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    return pairs.join(second.hint("merge"), "b").join(first.hint("merge"), "a")
+
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate((x, y)), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+def _confirmed(pairs: DataFrame, full: DataFrame, config: NearConfig) -> DataFrame:
+    """The pairs whose full shingle sets meet the threshold."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             kept = []
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
                 x, y = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
-                both = np.sort(np.concatenate((x, y)), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                if common and 100 * common >= config.percent * (len(both) - common):
+                common = _common(x, y)
+                if common and 100 * common >= config.percent * (len(x) + len(y) - common):
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    joined = (
-        pairs.join(full.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-        .join(full.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-        .select("a", "b", "x", "y")
-    )
+    joined = _beside(pairs, full).select("a", "b", "x", "y")
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
+def _outside(members: DataFrame, full: DataFrame, config: NearConfig) -> DataFrame:
+    """(a, b, apart, component, n, shingle): shingles of members b that their heads a do not have.
+
+    A node apart from its head a shares fewer than `least` = percent / (100 + percent) * (|a| + |b|) shingles with it, and a link
+    of b with a member y, |y| >= |a|, takes `percent` / (100 + percent) * (|b| + |y|). What is missing must be common outside a.
+    So of the shingles of b outside a, in one order for all, those are enough that leave fewer than the missing
+    number behind; of a member that may meet nodes apart only, all.
+    """
+    share = config.percent / (100 + config.percent)
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "apart", "component", "n"]
+        for batch in _slices(batches, 256):
+            rows, found = [], []
+            for i, (x, y, apart) in enumerate(zip(batch.column("x"), batch.column("y"), batch.column("apart").to_pylist(), strict=True)):
+                x, y = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
+                outside = np.setdiff1d(y, x, assume_unique=True)
+                if apart:
+                    common = len(y) - len(outside)
+                    other = max(len(x), int(len(y) * config.percent / 100))
+                    missing = max(1, int(np.ceil(share * (len(y) + other) - 1e-9)) - common)
+                    outside = outside[: max(0, len(outside) - missing + 1)]
+                rows += [i] * len(outside)
+                found.append(outside)
+            taken = batch.select(names).take(pa.array(rows, pa.int64()))
+            values = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(values)], [*names, "shingle"])
+
+    joined = _beside(members, full).select("a", "b", "apart", "component", "n", "x", "y")
+    return joined.mapInArrow(rest, "a bigint, b bigint, apart boolean, component bigint, n bigint, shingle bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over edges (a, b), for the nodes that have edges.
 
@@ -280,33 +330,45 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
             F.array(*[F.xxhash64(F.lit(i), F.substring("bands", 8 * i + 1, 8)) for i in range(config.bands)])
         ).alias("band"),
     )
-    heads = banded.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("_last")).filter("head < _last")
-    shared = materialize(banded.join(heads.drop("_last"), "band"))
+    # the smallest set of a bucket heads it
+    least = F.min(F.struct("n_shingles", "node"))
+    heads = banded.groupBy("band").agg(least.alias("_least"), F.count("*").alias("_n")).filter("_n > 1")
+    heads = heads.select("band", F.col("_least.node").alias("head"))
+    shared = banded.select("band", "node", "n_shingles").join(heads.hint("merge"), "band").filter("node <> head")
+    members = materialize(shared.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n_shingles").alias("n")).distinct())
     sketches = reps.select("node", "sketch")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        given = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-        likely = materialize(_bayes(given.select("a", "b", "sketch_a", "sketch_b"), config).distinct())
-        return materialize(_confirmed(likely, docs, config).distinct())
+    def likely(pairs: DataFrame) -> DataFrame:
+        first, second = sketches.toDF("a", "sketch_a").hint("merge"), sketches.toDF("b", "sketch_b").hint("merge")
+        given = pairs.join(first, "a").join(second, "b")
+        return materialize(_bayes(given.select("a", "b", "sketch_a", "sketch_b"), config).distinct())
+
+    def ids(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
-    fits = f"100 * least(n_a, n_b) >= {config.percent} * greatest(n_a, n_b)"
-    first = shared.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(first)
-    # nodes that are apart from their bucket's head meet the bucket's members of other components
+    pairs = likely(members.select("a", "b"))
+    links = materialize(_confirmed(pairs, _sets(ids(pairs), docs, config), config).distinct())
+    # members of heads that have both a node apart and another component beside it
     found = components(links)
-    placed = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    heads_at = found.select(F.col("node").alias("head"), F.col("component").alias("head_at"))
-    placed = materialize(
-        placed.join(heads_at, "head", "left").withColumn("apart", F.col("component") != F.coalesce("head_at", "head"))
+    placed = members.join(found.withColumnRenamed("node", "b"), "b", "left").join(
+        links.withColumn("linked", F.lit(True)), ["a", "b"], "left"
     )
-    one = placed.filter("apart").select("band", F.col("node").alias("x"), F.col("component").alias("at_x"), F.col("n_shingles").alias("n_a"))
-    other = placed.filter("node <> head").select("band", F.col("node").alias("y"), F.col("component").alias("at_y"), F.col("n_shingles").alias("n_b"), F.col("apart").alias("apart_y"))
-    second = (
-        one.join(other, [one["band"] == other["band"], F.expr("at_x <> at_y"), F.expr(fits), F.expr("not apart_y or x < y")])
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    placed = placed.select(
+        "a", "b", "n", F.coalesce("component", "b").alias("component"), F.col("linked").isNull().alias("apart")
     )
-    both = components(materialize(links.unionByName(verified(second))))
+    placed = materialize(placed)
+    mixed = placed.groupBy("a").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("apart").alias("_some")
+    ).filter("_some and _low <> _high").select("a")
+    active = materialize(placed.join(mixed, "a", "left_semi"))
+    outside = materialize(_outside(active, _sets(ids(active), docs, config), config))
+    one = outside.filter("apart").select("a", "shingle", F.col("b").alias("x"), F.col("component").alias("at_x"), F.col("n").alias("n_x"))
+    other = outside.select("a", "shingle", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"))
+    fits = f"at_x <> at_y and (not apart_y or x < y) and 100 * least(n_x, n_y) >= {config.percent} * greatest(n_x, n_y)"
+    second = one.hint("merge").join(other, ["a", "shingle"]).filter(fits)
+    more = likely(second.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    rest = materialize(_confirmed(more, _sets(ids(more), docs, config), config).distinct())
+    both = components(materialize(links.unionByName(rest)))
     place = nodes.join(both, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     return (
         rows.join(place, "set_key", "left")
