@@ -70,7 +70,8 @@ def fingerprint(record: Column) -> Column:
     """The fingerprint of a JSON text: null if it is not a JSON object.
 
     Field paths come from `schema_of_variant`, whose fields are sorted; only names and nesting count,
-    so the fingerprint does not depend on values, types, field order or the length of lists. A field
+    so the fingerprint does not depend on values, types, field order or the length of lists; a list of
+    objects mixed with other values is one path. A field
     that is null is there; one that is missing is not.
     """
     schema = F.schema_of_variant(F.try_parse_json(record))

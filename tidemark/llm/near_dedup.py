@@ -347,7 +347,12 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
         return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
     pairs = likely(members.select("a", "b"))
-    links = materialize(_confirmed(pairs, _sets(ids(pairs), docs, config), config).distinct())
+    # an id with several texts ties their nodes together
+    several = known.select("doc_id", "set_key").distinct().groupBy("doc_id").count().filter("count > 1")
+    tied = known.join(several, "doc_id", "left_semi").join(nodes, "set_key").filter("doc_id <> node")
+    tied = tied.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    confirmed = _confirmed(pairs, _sets(ids(pairs), docs, config), config)
+    links = materialize(confirmed.unionByName(tied).distinct())
     # members of heads that have both a node apart and another component beside it
     found = components(links)
     placed = members.join(found.withColumnRenamed("node", "b"), "b", "left").join(
