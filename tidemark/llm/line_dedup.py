@@ -12,11 +12,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -92,19 +90,13 @@ def repeated_windows(docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id
 
 def repeated_runs(matches: DataFrame) -> DataFrame:
     """(doc_id, row, line, lines): the maximal later runs, from windows that lie on or next to each other."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("line")
-        starts, ends = group["line"].to_numpy(), (group["line"] + group["lines"]).to_numpy()
-        reach = np.maximum.accumulate(ends)
-        new = np.concatenate(([True], starts[1:] > reach[:-1]))
-        at = np.flatnonzero(new)
-        last = np.concatenate((at[1:], [len(starts)])) - 1
-        made = pd.DataFrame({"line": starts[at], "lines": reach[last] - starts[at]})
-        return made.assign(doc_id=group["doc_id"].iloc[0], row=group["row"].iloc[0])[["doc_id", "row", "line", "lines"]]
-
-    # a group is the windows of one document, which is one row
-    return matches.groupBy("doc_id", "row").applyInPandas(run, "doc_id bigint, row bigint, line int, lines int")
+    order = Window.partitionBy("doc_id", "row").orderBy("line")
+    ends = matches.withColumn("end", F.col("line") + F.col("lines"))
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = ends.withColumn("_new", (F.coalesce(F.col("line") > reach, F.lit(True))).cast("int"))
+    numbered = begins.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy("doc_id", "row", "_run").agg(F.min("line").alias("line"), F.max("end").alias("end"))
+    return runs.select("doc_id", "row", "line", (F.col("end") - F.col("line")).alias("lines"))
 
 
 def without_repeats(docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
