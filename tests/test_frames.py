@@ -11,7 +11,6 @@ from tidemark.functions.groups import (
     attach_daily,
     broadcast_daily,
     first_row,
-    grouped_median,
 )
 
 
@@ -88,23 +87,6 @@ def test_first_row_does_not_depend_on_row_order(spark):
         assert {(r.k, r.v) for r in got} == {("a", "z"), ("b", "w")}
 
 
-@pytest.mark.parametrize("slices", [4, 64])
-def test_grouped_median_is_exact_with_a_hot_group_ties_and_null_keys(spark, slices):
-    rng = np.random.default_rng(3)
-    rows = [("hot", "s", float(x)) for x in rng.normal(size=5001)]
-    rows += [("hot", None, float(x)) for x in rng.integers(0, 3, 1000)]
-    rows += [("cold", "s", 1.0), ("cold", "s", 2.0), ("cold", "t", 7.0), ("cold", "t", None)]
-    df = spark.createDataFrame(rows, "d string, s string, x double")
-    got = {
-        (r.d, r.s): r.m for r in grouped_median(df, ["d", "s"], "x", "m", slices=slices).collect()
-    }
-    pdf = pd.DataFrame(rows, columns=["d", "s", "x"])
-    want = pdf.groupby(["d", "s"], dropna=False)["x"].median()
-    assert len(got) == len(want)
-    for (d, s), m in want.items():
-        assert got[(d, None if pd.isna(s) else s)] == m
-
-
 def test_daily_statistics_are_broadcast_and_refuse_unbounded_keys(spark):
     pdf, df = panel(spark, 2)
     out = attach_daily(df, F.avg("y").alias("m"))

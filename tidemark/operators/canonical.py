@@ -7,11 +7,10 @@ the spot stamp; `symbol` is the option-root spelling. Extra vendor columns are c
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DAYS_PER_YEAR, dtype_of, market_date, ratio
-from tidemark.functions.groups import first_row
 from tidemark.operators.pricing import vol_point_move
 from tidemark.sources.tables import CONTRACT_KEYS, OPTION_EXTRAS, STOCK_EXTRAS
 
@@ -34,16 +33,13 @@ def short_right() -> Column:
     return F.when(F.col("right") == "CALL", F.lit("C")).otherwise(F.lit("P"))
 
 
-def vega_scale(
-    raw: DataFrame, by: list[str] | None = None, rate: float = 0.04, rows: int = 400
-) -> DataFrame:
+def vega_scale(raw: DataFrame, by: list[str] | None = None, rate: float = 0.04) -> DataFrame:
     """Does each group quote vega per 1.00 of implied vol, or per vol point?
 
-    A sample of clean rows per group is repriced one vol point higher, and each row votes
-    for the scale that explains the price change. Gives `(keys, sampled, share, scale,
-    status)`: scale 0.01 or 1.0 on a two-thirds majority (`ok`), else null with status
-    `too_few` or `ambiguous`. The sample is the first `rows` clean rows in contract order;
-    Spark keeps only that many per task before the shuffle.
+    Every clean row of a group is repriced one vol point higher and votes for the scale that
+    explains the price change. Gives `(keys, sampled, share, scale, status)`: scale 0.01 or 1.0
+    on a two-thirds majority (`ok`), else null with status `too_few` or `ambiguous`. The
+    votes are averaged map-side, so nothing is ranked or sorted.
     """
     keys = by if by is not None else ["symbol", "year"]
     day = market_date("underlying_timestamp", dtype_of(raw, "underlying_timestamp"))
@@ -59,11 +55,8 @@ def vega_scale(
         & F.abs("delta").between(0.2, 0.8)
         & (F.col("vega") > 0)
     )
-    order = Window.partitionBy(*keys).orderBy("date", "expires", "strike", "right")
-    sample = clean.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= rows)
-
     moved = vol_point_move(
-        sample,
+        clean,
         "underlying_price",
         "strike",
         F.col("dte") / F.lit(DAYS_PER_YEAR),
@@ -95,9 +88,12 @@ def vega_scale(
 
 
 def canonical_chain(
-    raw: DataFrame, scale: float | Column | DataFrame = PER_UNIT, fallback: float | None = None
+    raw: DataFrame,
+    scale: float | Column | DataFrame = PER_UNIT,
+    fallback: float | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Vendor greeks rows in canonical columns, extras after them.
+    """Vendor greeks rows in canonical columns, extras and the columns named by `keep` after them.
 
     `scale` is a number, a column of `raw`, or the frame `vega_scale` gives, joined on its keys.
     A group it could not decide takes `fallback`, or loses its vega where none is given.
@@ -129,14 +125,18 @@ def canonical_chain(
         F.col("underlying_price").cast("double").alias("underlying"),
         F.col("volume").cast("long").alias("volume"),
         *[F.col(f"`{c}`") for c in OPTION_EXTRAS if c in raw.columns],
+        *keep,
     )
 
 
-def canonical_open_interest(raw: DataFrame, arrival: str | None = None) -> DataFrame:
+def canonical_open_interest(
+    raw: DataFrame, arrival: str | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """`(date, symbol, expiration, strike, right, oi)`, one row per contract-day.
 
     The row that arrived last wins: by `arrival` where the landing data number their rows,
-    else by the stamp; the larger position breaks a tie.
+    else by the stamp; the larger position breaks a tie. Rows that differ in a column named
+    by `keep` are told apart.
     """
     late = F.col(arrival) if arrival is not None else F.col("timestamp")
     rows = raw.select(
@@ -147,9 +147,11 @@ def canonical_open_interest(raw: DataFrame, arrival: str | None = None) -> DataF
         short_right().alias("right"),
         F.col("open_interest").cast("long").alias("oi"),
         late.alias("_late"),
+        *keep,
     )
-    last = rows.groupBy(*CONTRACT_KEYS).agg(F.max(F.struct("_late", "oi")).alias("last"))
-    return last.select(*CONTRACT_KEYS, F.col("last.oi").alias("oi"))
+    keys = [*CONTRACT_KEYS, *keep]
+    last = rows.groupBy(*keys).agg(F.max(F.struct("_late", "oi")).alias("last"))
+    return last.select(*CONTRACT_KEYS, F.col("last.oi").alias("oi"), *keep)
 
 
 def canonical_stock(raw: DataFrame) -> DataFrame:
@@ -181,7 +183,3 @@ def vega_residuals(chain: DataFrame, rate: float = 0.04) -> DataFrame:
         ratio(F.col("move"), F.col("vega")).alias("move_per_vega"),
     )
 
-
-def first_per_key(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """De-duplicate on a key: the first row in `order`, the smallest values deciding the rest."""
-    return first_row(df, keys, order or [])

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR
 from tidemark.functions.frames import Trailing, previous, spread
-from tidemark.functions.groups import broadcast_daily
 from tidemark.operators.realized_vol import split_adjusted_return
 
 
@@ -34,7 +33,7 @@ def stock_features(
     returns = spread(closes, "symbol").select(
         "date", "symbol", split_adjusted_return().alias("ret")
     )
-    joined = returns.join(broadcast_daily(market), "date", "inner")
+    joined = returns.join(market, "date", "inner")
     with_beta = joined.withColumn("beta", Trailing(config.beta_window).beta("ret", "market_return"))
     parts = with_beta.select(
         "date",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, winsorize
 from tidemark.functions.frames import Trailing, spread
-from tidemark.functions.groups import attach_daily, broadcast_daily, grouped_median
+from tidemark.functions.groups import attach_daily, broadcast_daily
 from tidemark.functions.least_squares import fit, gram_columns
 from tidemark.operators.risk import one_sector
 from tidemark.session import materialize
@@ -105,8 +105,9 @@ def vrp_frame(
         .join(one_sector(sectors), "symbol", "left")
         .join(broadcast_daily(market), "date", "left")
     )
-    medians = grouped_median(names, ["date", "sector"], "vrp", "sector_median").select(
-        F.col("date").alias("_date"), F.col("sector").alias("_sector"), "sector_median"
+    # a group holds one row per name; equal values are counted map-side
+    medians = names.groupBy(F.col("date").alias("_date"), F.col("sector").alias("_sector")).agg(
+        F.median("vrp").alias("sector_median")
     )
     frame = (
         attach_daily(names, F.avg("vrp").alias("mean_vrp"))

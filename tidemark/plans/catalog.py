@@ -15,7 +15,6 @@ from tidemark.operators.features import stock_features
 from tidemark.operators.forecast import HARConfig, har_coefficients, har_forecast, har_rows, refit_dates
 from tidemark.operators.pricing import reprice_chain
 from tidemark.operators.realized_vol import market_return, realized_vol, spot_panel
-from tidemark.functions.groups import grouped_median
 from tidemark.plans.views import FIELDS, MARKET, Views
 from tidemark.session import materialize, scratch_dir
 from tidemark.sources.landing import relaxed_union
@@ -421,7 +420,7 @@ QUERIES["variance_premium"] = lambda spark, sf: rounded(_vrp(Views(spark, sf)))
 def sector_medians(v: Views) -> DataFrame:
     """The median premium of each (date, sector), names without a sector together."""
     vrp = _vrp(v).where(F.col("symbol") != MARKET).join(v.brand_sectors, "symbol", "left")
-    return rounded(grouped_median(materialize(vrp), ["date", "sector"], "vrp", "sector_median"))
+    return rounded(vrp.groupBy("date", "sector").agg(F.median("vrp").alias("sector_median")))
 
 
 def _features(v: Views) -> DataFrame:
@@ -480,8 +479,7 @@ def store_round_trip(v: Views) -> DataFrame:
     store = _scratch_store(v)
     store.write("underlying", v.spot.withColumn("close", F.lit(0.0)))
     store.write("underlying", v.spot)
-    years = list(range(1990, 2010))
-    return store.scan("underlying", years=years).select(
+    return store.scan("underlying").select(
         "date", "symbol", "close", "year", F.col("volume").cast("double").alias("volume")
     )
 

@@ -487,8 +487,8 @@ FROM (SELECT *, CAST(stamp AS DATE) AS date, date_diff('day', CAST(stamp AS DATE
 WHERE bid > 0 AND abs(iv_error) <= 0.01::DOUBLE AND implied_vol BETWEEN 0.05::DOUBLE AND 2 AND dte BETWEEN 10 AND 365
   AND abs(delta) BETWEEN 0.2::DOUBLE AND 0.8::DOUBLE AND vega > 0
 """)
-cte("v_sample_low", priced_sql("(SELECT * FROM v_clean_vendor WHERE rn <= 400)", "implied_vol", "0.04::DOUBLE", "*"))
-cte("v_sample_high", priced_sql("(SELECT * FROM v_clean_vendor WHERE rn <= 400)", "implied_vol + 0.01::DOUBLE", "0.04::DOUBLE", "*"))
+cte("v_sample_low", priced_sql("v_clean_vendor", "implied_vol", "0.04::DOUBLE", "*"))
+cte("v_sample_high", priced_sql("v_clean_vendor", "implied_vol + 0.01::DOUBLE", "0.04::DOUBLE", "*"))
 oracle("vega_scale", f"""
 SELECT symbol, year::INTEGER AS year, coalesce(sampled, 0)::BIGINT AS sampled, round(share, 6) AS share,
   CASE WHEN sampled >= 20 AND share >= 2.0::DOUBLE / 3 THEN 0.01::DOUBLE WHEN sampled >= 20 AND share <= 1.0::DOUBLE / 3 THEN 1.0::DOUBLE END AS scale,

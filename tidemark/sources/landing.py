@@ -14,7 +14,12 @@ LANDED: dict[str, str] = {
         "symbol string, expiration string, strike double, right string, bid double, ask double,"
         " volume long, delta double, gamma double, theta double, vega double, implied_vol double,"
         " iv_error double, underlying_timestamp timestamp, timestamp timestamp,"
-        " underlying_price double, rho double, epsilon double, lambda double"
+        " underlying_price double, rho double, epsilon double, lambda double, vanna double,"
+        " charm double, vomma double, veta double, vera double, speed double, zomma double,"
+        " color double, ultima double, d1 double, d2 double, dual_delta double, dual_gamma double,"
+        " open double, high double, low double, close double, count long, bid_size long,"
+        " bid_exchange long, bid_condition long, ask_size long, ask_exchange long,"
+        " ask_condition long"
     ),
     "open_interest": (
         "timestamp timestamp, symbol string, expiration string, strike double, right string,"
@@ -22,7 +27,9 @@ LANDED: dict[str, str] = {
     ),
     "stock": (
         "created timestamp, last_trade timestamp, symbol string, open double, high double,"
-        " low double, close double, volume long, count long, bid double, ask double"
+        " low double, close double, volume long, count long, bid double, ask double,"
+        " bid_size long, bid_exchange long, bid_condition long, ask_size long, ask_exchange long,"
+        " ask_condition long"
     ),
     "index": (
         "created timestamp, symbol string, open double, high double, low double, close double"
@@ -105,12 +112,18 @@ def read_landed(
 
 
 def read_chain_files(
-    spark: SparkSession, source: str, prefix: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    source: str,
+    prefix: str,
+    schema: T.StructType | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """Every `<source>/<prefix>[_<year>]/<symbol>.parquet` in one scan.
 
     `symbol` comes from the file's stem and `year` from its directory; one without a year
-    is the sample year. Directories that match neither form are left out.
+    is the sample year. Directories that match neither form are left out. Under `schema`, a column
+    that a file lacks is null; without one, the first file's columns are read. `arrival`
+    names a column for a row's place in its file.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     files = reader.option("pathGlobFilter", "*.parquet").parquet(f"{source}/{prefix}*/")
@@ -125,6 +138,7 @@ def read_chain_files(
                     plain, F.lit(SAMPLE_YEAR)
                 ),
                 "_symbol": stem,
+                **({arrival: F.col("_metadata.row_index")} if arrival else {}),
             }
         )
         .where(F.col("_year").isNotNull())
