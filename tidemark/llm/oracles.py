@@ -1,7 +1,97 @@
-"""SQL counterparts of the corpus queries, where SQL can express them."""
+r"""SQL counterparts of the corpus queries, where SQL can express them.
+
+The others are held against brute force in tests/llm: op3 (byte strings), op5 (a trained model), op7 (estimated
+accuracies), op8 (alignment), op9 and op10 (a tokenizer).
+"""
 
 from __future__ import annotations
 
+WORDS = r"[^\x20\x09-\x0D]+"
+
+#: crc32 of a text's bytes, with its table of 256 built by the rule of the reflected polynomial.
+CRC = """
+xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
+  lambda a, b: xor(a >> 8, crc_of[1 + xor(a, b) & 255])), 4294967295::BIGINT)
+"""
+
+
+def _rounds(shards: int, source: str) -> str:
+    """The jump hash of doc_id, one round after the other over all rows; a row stops where its place leaves the shards."""
+    step = "((k * 2862933555777941757 + 1) % 18446744073709551616)"
+    return f"""
+  SELECT * FROM (WITH RECURSIVE r(doc_id, k, b, j) AS (
+    SELECT doc_id, doc_id::UHUGEINT, -1::BIGINT, 0::BIGINT FROM {source}
+    UNION ALL
+    SELECT doc_id, k2, j, floor((j + 1) * (2147483648.0::DOUBLE / ((k2 // 8589934592)::DOUBLE + 1)))::BIGINT
+    FROM (SELECT *, {step} AS k2 FROM r WHERE j < {shards}))
+  SELECT doc_id, b::INTEGER AS shard FROM r WHERE j >= {shards})"""
+
+
+OP1 = f"""
+WITH bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
+    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS crc_of),
+sized AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
+    ({CRC.format(text="coalesce(text, '')")})::BIGINT AS text_crc32 FROM documents, bits),
+here AS ({_rounds(8, "documents")}),
+grown AS ({_rounds(9, "documents")})
+SELECT doc_id, size, text_crc32, 'key' AS law, here.shard AS shard,
+  row_number() OVER (PARTITION BY here.shard ORDER BY doc_id % 1024, doc_id) - 1 AS slot, grown.shard AS grown_shard
+FROM sized JOIN here USING (doc_id) JOIN grown USING (doc_id)
+"""
+
+#: Windows of whole lines with at least 8 words, the first of equal ones in the order of (doc_id, line) kept.
+OP2 = f"""
+WITH lines AS (
+  SELECT doc_id, line, txt, len(regexp_extract_all(txt, '{WORDS}')) AS n FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS txt, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents)),
+filled AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM lines WHERE n > 0),
+windows AS (
+  SELECT s.doc_id AS doc_id, s.line AS line, e.line AS last
+  FROM filled s ASOF JOIN filled e ON s.doc_id = e.doc_id AND s.upto - s.n + 8 <= e.upto),
+bodies AS (
+  SELECT w.doc_id AS doc_id, w.line AS line, w.last AS last, string_agg(f.txt, chr(10) ORDER BY f.line) AS body
+  FROM windows w JOIN filled f ON f.doc_id = w.doc_id AND f.line BETWEEN w.line AND w.last GROUP BY ALL),
+late AS (SELECT doc_id, line, last FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, line) AS nth FROM bodies) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS line FROM late),
+runs AS (SELECT doc_id, count(*) AS removed_lines, count(*) FILTER (WHERE before IS NULL OR before < line - 1) AS removed_runs
+  FROM (SELECT doc_id, line, lag(line) OVER (PARTITION BY doc_id ORDER BY line) AS before FROM gone) GROUP BY doc_id),
+kept AS (SELECT l.doc_id AS doc_id, string_agg(l.txt, chr(10) ORDER BY l.line) AS rest
+  FROM lines l ANTI JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id)
+SELECT d.doc_id AS doc_id, CASE WHEN r.doc_id IS NULL THEN d.text ELSE coalesce(k.rest, '') END AS text,
+  coalesce(r.removed_lines, 0)::INTEGER AS removed_lines, coalesce(r.removed_runs, 0)::INTEGER AS removed_runs
+FROM documents d LEFT JOIN runs r ON r.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+#: Full sets compared wherever two documents share a shingle, then the smallest reachable id.
+OP4 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORDS}') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' ')) END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, low) AS (SELECT a, a FROM edges UNION SELECT e.b, r.low FROM reached r JOIN edges e ON e.a = r.doc_id WHERE r.low < e.b),
+lowest AS (SELECT doc_id, min(low) AS low FROM reached GROUP BY doc_id)
+SELECT d.doc_id AS doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.low, d.doc_id)::BIGINT AS component_id,
+  d.doc_id = coalesce(l.low, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN lowest l ON l.doc_id = d.doc_id
+"""
+
+_ESCAPED = r"replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')"
+OP6 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ' || role || ': ') + length({_ESCAPED}) + length(' </turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": OP1, "op2_line_dedup": OP2, "op4_near_dedup": OP4, "op6_chat_format": OP6}
