@@ -11,7 +11,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 #: crc32 of a text's bytes, with its table of 256 built by the rule of the reflected polynomial.
 CRC = """
 xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)),
-  lambda a, b: xor(a >> 8, crc_of[1 + xor(a, b) & 255])), 4294967295::BIGINT)
+  lambda a, b: xor(a >> 8, crc_of[1 + (xor(a, b) & 255)])), 4294967295::BIGINT)
 """
 
 
@@ -29,7 +29,7 @@ def _rounds(shards: int, source: str) -> str:
 
 OP1 = f"""
 WITH bits AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n::BIGINT, range(8)),
-    lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS crc_of),
+    lambda a, i: CASE WHEN (a & 1) = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS crc_of),
 sized AS (SELECT doc_id, octet_length(encode(coalesce(text, '')))::BIGINT + 1 AS size,
     ({CRC.format(text="coalesce(text, '')")})::BIGINT AS text_crc32 FROM documents, bits),
 here AS ({_rounds(8, "documents")}),

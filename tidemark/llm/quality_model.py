@@ -26,7 +26,7 @@ class MachineConfig:
     buckets: int = 1 << 15
     factors: int = 8
     sample_rows: int = 8_000
-    epochs: int = 12
+    steps: int = 400
     batch: int = 256
     rate: float = 0.02
     decay: float = 1e-5
@@ -117,7 +117,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, config: M
     machine.vectors = drawn.normal(0, 0.05, (size, config.factors)).astype(np.float32)
     table = np.concatenate((machine.weights[:, None], machine.vectors), 1)
     first, second, step = np.zeros_like(table), np.zeros_like(table), 0
-    for _ in range(config.epochs):
+    while step < config.steps:
         order = drawn.permutation(len(rows))
         for at in range(0, len(order), config.batch):
             chosen = order[at : at + config.batch]
