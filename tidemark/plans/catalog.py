@@ -23,9 +23,9 @@ from tidemark.sources.store import Store
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# windows and floors sized to the benchmark panels, which are thinner than a market's
-SPEC = risk.FactorSpec(window=120, min_observations=60)
-HAR = HARConfig(min_fit_rows=500)
+SPEC = risk.FactorSpec()
+HAR = HARConfig()
+# the benchmark tables list 25 names a day, fewer than the default floor
 SIGNALS = signals.SignalConfig(min_names=8)
 OVERRIDES = {"option": {"Brand.7": "Brand.77"}, "yahoo": {}, "stock": {}}
 

@@ -78,7 +78,7 @@ SELECT replace(p_brand, '#', '.') AS ticker, p_type AS sector, sub AS sub_indust
   SELECT p_brand, p_type, max(p_type) OVER (PARTITION BY p_brand) AS sub,
     row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_type) AS rn
   FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL))
-WHERE rn = 1 AND p_type <> 'PROMO'
+WHERE rn = 1
 """)
 cte("v_brand_sectors", "SELECT replace(ticker, '.', '') AS symbol, sector FROM v_constituents")
 cte("v_chain_spot", """
@@ -155,11 +155,10 @@ SELECT date, ln(close / lag(close) OVER (ORDER BY date)) AS pnl_per_vega FROM v_
 cte("v_supplier_sectors", """
 SELECT CAST(s_suppkey AS VARCHAR) AS symbol, r_name AS sector
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-WHERE r_name <> 'MIDDLE EAST'
 """)
 cte("v_bounds", """
 SELECT CAST(min(o_orderdate) AS DATE) AS start_date,
-  CAST(CAST(max(o_orderdate) AS DATE) - INTERVAL 6 MONTH AS DATE) AS end_date FROM orders
+  CAST(max(o_orderdate) AS DATE) AS end_date FROM orders
 """)
 cte("v_closures", """
 SELECT (arg_max(date, (o_totalprice, date))) AS date
@@ -543,14 +542,14 @@ oracle("constituent_changes", """
 SELECT effective_date, ticker, action, security, reason, count(*) AS n FROM v_changes GROUP BY ALL
 """)
 oracle("current_constituents", """
-SELECT DISTINCT replace(p_brand, '#', '.') AS ticker FROM part WHERE p_type = 'PROMO' AND p_size >= 45
+SELECT DISTINCT replace(p_brand, '#', '.') AS ticker FROM part
 """)
 cte("v_kept", """
 SELECT ticker, effective_date, max(action) AS action FROM v_changes
 WHERE effective_date > (SELECT max(date) FROM v_calendar) OR effective_date IN (SELECT date FROM v_calendar)
 GROUP BY ALL
 """)
-cte("v_today", "SELECT DISTINCT replace(p_brand, '#', '.') AS ticker FROM part WHERE p_type = 'PROMO' AND p_size >= 45")
+cte("v_today", "SELECT DISTINCT replace(p_brand, '#', '.') AS ticker FROM part")
 oracle("universe", """
 SELECT g.date, g.ticker, replace(g.ticker, '.', '') AS symbol
 FROM (SELECT date, ticker FROM v_calendar, (SELECT ticker FROM v_kept UNION SELECT ticker FROM v_today)) g
@@ -653,7 +652,7 @@ FROM v_chain c LEFT JOIN v_patch p ON p.symbol = c.symbol AND p.date = c.date AN
 
 # --- risk model ------------------------------------------------------------------------------------
 
-SPEC_WINDOW, SPEC_FLOOR = 120, 60
+SPEC_WINDOW, SPEC_FLOOR = 250, 120
 
 
 def trailing(expr: str, keys: str, n: int = SPEC_WINDOW) -> str:
@@ -763,7 +762,7 @@ def sums_sql(x1: str, x2: str, x3: str, y: str, when: str = "TRUE") -> str:
 
 # --- forecast ----------------------------------------------------------------------------------------
 
-FIT_ROWS = 500
+FIT_ROWS = 1000
 cte("v_har_rows", """
 SELECT date, symbol, in_fit, ln(rv_1) AS x1, ln(rv_5) AS x2, ln(rv_22) AS x3, CASE WHEN rv_fwd > 0 THEN ln(rv_fwd * rv_fwd) END AS y
 FROM (SELECT *, TRUE AS in_fit FROM v_rv UNION ALL SELECT *, FALSE FROM v_market_rv)

@@ -131,14 +131,14 @@ class Views:
 
     @cached_property
     def constituents(self) -> DataFrame:
-        """A brand's sector is its commonest part type; the PROMO ones have none listed."""
+        """A brand's sector is its commonest part type."""
         kinds = self.table("part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n"))
         return kinds.groupBy("p_brand").agg(
             F.min_by("p_type", F.struct(-F.col("n"), F.col("p_type"))).alias("GICS Sector"),
             F.max("p_type").alias("GICS Sub-Industry"),
         ).select(
             F.replace("p_brand", F.lit("#"), F.lit(".")).alias("Symbol"), "GICS Sector", "GICS Sub-Industry"
-        ).where(F.col("GICS Sector") != "PROMO")
+        )
 
     @cached_property
     def brand_sectors(self) -> DataFrame:
@@ -307,14 +307,13 @@ class Views:
 
     @cached_property
     def supplier_sectors(self) -> DataFrame:
-        """A supplier's sector is its region; one region is left without a sector."""
+        """A supplier's sector is its region."""
         nation = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
         return (
             self.table("supplier")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .where(F.col("r_name") != "MIDDLE EAST")
             .select(F.col("s_suppkey").cast("string").alias("symbol"), F.col("r_name").alias("sector"))
         )
 
@@ -339,8 +338,8 @@ class Views:
 
     @cached_property
     def current(self) -> DataFrame:
-        big = self.table("part").where((F.col("p_type") == "PROMO") & (F.col("p_size") >= 45))
-        return big.select(F.replace("p_brand", F.lit("#"), F.lit(".")).alias("Symbol")).distinct()
+        """Today's members: every listed brand."""
+        return self.table("part").select(F.replace("p_brand", F.lit("#"), F.lit(".")).alias("Symbol")).distinct()
 
     @cached_property
     def closures(self) -> DataFrame:
@@ -356,10 +355,10 @@ class Views:
 
     @cached_property
     def bounds(self) -> DataFrame:
-        """The calendar's window: all order dates but the last half year."""
+        """The calendar's window: all order dates."""
         return self.table("orders").agg(
             F.to_date(F.min("o_orderdate")).alias("start"),
-            F.add_months(F.to_date(F.max("o_orderdate")), -6).alias("end"),
+            F.to_date(F.max("o_orderdate")).alias("end"),
         )
 
     @cached_property
