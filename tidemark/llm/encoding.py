@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-#: Units a worker remembers; at this many it forgets them all and starts again.
-REMEMBERED = 500_000
+#: Units a worker remembers; at this many it forgets those of more than SHORT_UNIT characters.
+REMEMBERED, SHORT_UNIT = 500_000, 9
 #: Units longer than this are encoded and not remembered.
 LONGEST_UNIT = 48
 
@@ -49,6 +51,10 @@ class UnitEncoder:
         self.dtype = np.dtype(dtype)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > np.iinfo(self.dtype).max:
             raise ValueError(f"ids of {vocabulary} do not fit {dtype}")
+        #: The array type of native ids of that width.
+        self.code = {2: "H", 4: "I"}[self.dtype.itemsize]
+        if array(self.code).itemsize != self.dtype.itemsize or sys.byteorder != "little":
+            raise ValueError("ids are written as little-endian numbers")
         self.known: dict[str, bytes] = {}
         #: A special token: text is encoded separately on its two sides.
         self.fence = next(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special)
@@ -58,17 +64,21 @@ class UnitEncoder:
     def _word(self, unit: str) -> bytes | None:
         """Ids of a unit of Latin letters, with the space before and one mark after it if it has them, which
         are pieces for certain and go to the model at once; None for any other unit."""
-        mark = unit[-1]
-        tail = self.marks.get(mark)
-        core = unit[:-1] if tail is not None else unit
+        tail = self.marks.get(unit[-1])
+        core = unit if tail is None else unit[:-1]
         letters = core[1:] if core[:1] == " " else core
+        if not letters.isalpha():
+            return None
+        if letters.isascii():
+            name = letters.lower() if self.lower else "Ġ" + letters if core is not letters else letters
         # Latin letters compose and change case one by one, but for the dotted capital I
-        if not letters.isalpha() or not (letters.isascii() or max(letters) <= "\u024f" and "\u0130" not in letters):
+        elif max(letters) <= "\u024f" and "\u0130" not in letters:
+            name = (letters.lower() if self.lower else core).encode().decode("latin-1").translate(_LETTERS)
+        else:
             return None
         ids = self.known.get(core)
         if ids is None:
-            name = (letters.lower() if self.lower else core).encode().decode("latin-1").translate(_LETTERS)
-            ids = np.array([t.id for t in self.model.tokenize(name)], self.dtype).tobytes()
+            ids = array(self.code, [t.id for t in self.model.tokenize(name)]).tobytes()
         return ids if tail is None else ids + tail
 
     def _whole(self, units: list[str]) -> dict[str, bytes]:
@@ -107,7 +117,10 @@ class UnitEncoder:
             missing = list({u for u, x in zip(units, found, strict=True) if x is None})
         made = self.learn(missing)
         if len(known) + len(made) > REMEMBERED:
+            # short units are met most often
+            short = {u: x for u, x in known.items() if len(u) <= SHORT_UNIT}
             known.clear()
+            known.update(short if len(short) < REMEMBERED // 2 else {})
         known.update((u, x) for u, x in made.items() if len(u) <= LONGEST_UNIT)
         return b"".join([made[u] if x is None else x for u, x in zip(units, found, strict=True)])
 
