@@ -44,9 +44,9 @@ class RepeatConfig:
     length: int = 50
     unit_bytes: int = 4_000_000
     stretch_bytes: int = 500_000
-    bucket_units: int = 16
+    bucket_units: int = 4
     block_units: int = 1
-    sort_bytes: int = 1_200_000
+    sort_bytes: int = 600_000
     split_units: int = 128
 
 
@@ -152,20 +152,33 @@ def _packed(docs: DataFrame, config: RepeatConfig) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(pack, "unit bigint, ids binary, ends binary, text binary")
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Units one at a time: a batch may hold many."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _unit(row: dict) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["ends"], np.int64), row["text"]
 
 
+def _unit_runs(row: dict, config: RepeatConfig) -> list[tuple[int, int, np.ndarray, np.ndarray, Owned]]:
+    """Stretch by stretch: first and last document, bytes, the documents' ends in them, and the runs of windows."""
+    _, ends, text = _unit(row)
+    return [(*x, owned_windows(x[2], x[3], config.length)) for x in _stretches(text, ends, config.stretch_bytes)]
+
+
+def _distinct_anchors(stretches: list) -> np.ndarray:
+    return np.unique(np.concatenate([x[4].anchor for x in stretches]))
+
+
 def _unit_anchors(row: dict, config: RepeatConfig) -> tuple[np.ndarray, np.ndarray]:
     """A unit's distinct anchors in order, and whether several of its documents have each."""
-    ids, ends, text = _unit(row)
-    found = []
-    for low, high, c, own in _stretches(text, ends, config.stretch_bytes):
-        runs = owned_windows(c, own, config.length)
-        doc = ids[low:high][np.searchsorted(own, runs.first, "right")]
-        found.append((runs.anchor, doc))
-    anchors = np.concatenate([a for a, _ in found])
-    docs = np.concatenate([d for _, d in found])
+    ids, _, _ = _unit(row)
+    stretches = _unit_runs(row, config)
+    anchors = np.concatenate([x[4].anchor for x in stretches])
+    docs = np.concatenate([ids[low:high][np.searchsorted(own, runs.first, "right")] for low, high, _, own, runs in stretches])
     order = np.argsort(anchors, kind="stable")
     anchors, docs = anchors[order], docs[order]
     if not len(anchors):
@@ -180,23 +193,22 @@ def _count_anchors(units: DataFrame, n_units: int, root: str, config: RepeatConf
     buckets = -(-n_units // config.bucket_units)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                anchors, several = _unit_anchors(row, config)
-                # anchors are in order, so what a bucket sends back can be put together by place
-                bucket = ((anchors >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
-                heads = np.searchsorted(bucket, np.arange(buckets + 1))
-                some = np.flatnonzero(np.diff(heads))
-                low = (anchors & _U(0xFFFFFFFF)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.int64()),
-                        pa.array([row["unit"]] * len(some), pa.int64()),
-                        pa.array([low[heads[b] : heads[b + 1]].tobytes() for b in some], pa.binary()),
-                        pa.array([np.packbits(several[heads[b] : heads[b + 1]]).tobytes() for b in some], pa.binary()),
-                    ],
-                    ["bucket", "unit", "low", "several"],
-                )
+        for row in _rows(batches):
+            anchors, several = _unit_anchors(row, config)
+            # anchors are in order, so what a bucket sends back can be put together by place
+            bucket = ((anchors >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+            heads = np.searchsorted(bucket, np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(heads))
+            low = (anchors & _U(0xFFFFFFFF)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(some, pa.int64()),
+                    pa.array([row["unit"]] * len(some), pa.int64()),
+                    pa.array([low[heads[b] : heads[b + 1]].tobytes() for b in some], pa.binary()),
+                    pa.array([np.packbits(several[heads[b] : heads[b + 1]]).tobytes() for b in some], pa.binary()),
+                ],
+                ["bucket", "unit", "low", "several"],
+            )
 
     def count(group: pa.Table) -> pa.Table:
         # every unit gives an anchor once, so a bucket holds its share of the units' distinct anchors
@@ -223,13 +235,12 @@ def _count_anchors(units: DataFrame, n_units: int, root: str, config: RepeatConf
     counted.groupBy("unit").applyInArrow(keep, "unit bigint").agg(F.count("*")).collect()
 
 
-@dataclass
+@dataclass(slots=True)
 class _Run:
     """A snippet of a unit: the document, where its first window starts in its stretch, and its bytes."""
 
     slot: int
     doc: int
-    low: int
     first: int
     windows: int
     anchor: int
@@ -237,32 +248,37 @@ class _Run:
     bytes: bytes
 
 
-def _repeated_runs(row: dict, root: str, config: RepeatConfig) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, list[_Run]]]:
+def _repeated_runs(row: dict, root: str, config: RepeatConfig) -> list[tuple[int, int, np.ndarray, np.ndarray, list[_Run]]]:
     """Stretch by stretch, the runs of windows whose anchor is repeated; slots number them through the unit."""
-    ids, ends, text = _unit(row)
-    anchors, _ = _unit_anchors(row, config)
+    ids, _, _ = _unit(row)
+    stretches = _unit_runs(row, config)
+    anchors = _distinct_anchors(stretches)
     codes = np.frombuffer(get(root, f"codes-{row['unit']}") or b"", np.uint8)
-    slot = 0
-    for low, high, c, own in _stretches(text, ends, config.stretch_bytes):
-        runs = owned_windows(c, own, config.length)
+    slot, out = 0, []
+    for low, high, c, own, runs in stretches:
         code = codes[np.searchsorted(anchors, runs.anchor)] if len(runs.anchor) else np.zeros(0, np.uint8)
         some = np.flatnonzero(code)
-        raw = c.tobytes()
-        doc = np.searchsorted(own, runs.first[some], "right")
-        found = []
-        for d, a, b, p, anchor, k in zip(
-            doc.tolist(), runs.first[some].tolist(), runs.last[some].tolist(), runs.place[some].tolist(), runs.anchor[some].view(np.int64).tolist(), code[some].tolist(), strict=True
-        ):
-            # the owner's place in the snippet is part of what must be equal; so is the number of windows
-            found.append(_Run(slot, int(ids[low + d]), d, a, b - a + 1, anchor, k, bytes([p - a & 255]) + raw[a : b + config.length]))
-            slot += 1
-        yield c, own, low, high, found
-
-
-def _heads(row: dict, root: str, config: RepeatConfig) -> dict[tuple[int, bytes], _Run]:
+        raw, length = c.tobytes(), config.length
+        doc = ids[low:high][np.searchsorted(own, runs.first[some], "right")]
+        first, last, place = runs.first[some], runs.last[some], runs.place[some]
+        rows = zip(doc.tolist(), first.tolist(), last.tolist(), (place - first).tolist(), runs.anchor[some].view(np.int64).tolist(), code[some].tolist(), strict=True)
+        # the owner's place in the snippet is part of what must be equal; so is the number of windows
+        found = [
+            _Run(slot + k, d, a, b - a + 1, anchor, x, _PLACES[p] + raw[a : b + length])
+            for k, (d, a, b, p, anchor, x) in enumerate(rows)
+        ]
+        slot += len(found)
+        out.append((low, high, c, own, found))
+    return out
+
+
+_PLACES = [bytes([i]) for i in range(256)]
+
+
+def _heads(stretches: list) -> dict[tuple[int, bytes], _Run]:
     """For each different snippet of a unit, its run in the smallest document."""
     heads: dict[tuple[int, bytes], _Run] = {}
-    for *_, runs in _repeated_runs(row, root, config):
+    for *_, runs in stretches:
         for run in runs:
             held = heads.setdefault((run.anchor, run.bytes), run)
             if run.doc < held.doc:
@@ -290,26 +306,25 @@ def _matched(units: DataFrame, n_units: int, root: str, config: RepeatConfig) ->
     blocks = max(1, n_units // config.block_units)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                # a split anchor goes to one of its blocks by unit
-                deal = int(hashlib.blake2b(str(row["unit"]).encode(), digest_size=4).hexdigest(), 16)
-                heads = list(_heads(row, root, config).values())
-                for at in range(0, len(heads), 4096):
-                    part = heads[at : at + 4096]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([(h.anchor >> 8) % blocks for h in part], pa.int64()),
-                            pa.array([deal % (1 << (h.code - 1)) for h in part], pa.int64()),
-                            pa.array([h.anchor for h in part], pa.int64()),
-                            pa.array([h.code > 1 for h in part], pa.bool_()),
-                            pa.array([row["unit"]] * len(part), pa.int64()),
-                            pa.array([h.slot for h in part], pa.int32()),
-                            pa.array([h.doc for h in part], pa.int64()),
-                            pa.array([h.bytes for h in part], pa.binary()),
-                        ],
-                        ["block", "deal", "anchor", "split", "unit", "slot", "doc", "snippet"],
-                    )
+        for row in _rows(batches):
+            # a split anchor goes to one of its blocks by unit
+            deal = int(hashlib.blake2b(str(row["unit"]).encode(), digest_size=4).hexdigest(), 16)
+            heads = list(_heads(_repeated_runs(row, root, config)).values())
+            for at in range(0, len(heads), 4096):
+                part = heads[at : at + 4096]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([(h.anchor >> 8) % blocks for h in part], pa.int64()),
+                        pa.array([deal % (1 << (h.code - 1)) for h in part], pa.int64()),
+                        pa.array([h.anchor for h in part], pa.int64()),
+                        pa.array([h.code > 1 for h in part], pa.bool_()),
+                        pa.array([row["unit"]] * len(part), pa.int64()),
+                        pa.array([h.slot for h in part], pa.int32()),
+                        pa.array([h.doc for h in part], pa.int64()),
+                        pa.array([h.bytes for h in part], pa.binary()),
+                    ],
+                    ["block", "deal", "anchor", "split", "unit", "slot", "doc", "snippet"],
+                )
 
     names = ["unit", "slot", "doc", "mask", "bit", "digest"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -359,9 +374,8 @@ def _matched(units: DataFrame, n_units: int, root: str, config: RepeatConfig) ->
                 pending, size = [], 0
             firsts = {}
 
-        columns = (group[c] for c in ("anchor", "split", "unit", "slot", "doc", "snippet"))
+        columns = (group[c].to_pylist() for c in ("anchor", "split", "unit", "slot", "doc", "snippet"))
         for anchor, split, unit, slot, doc, snippet in zip(*columns, strict=True):
-            anchor, split, unit, slot, doc, snippet = (x.as_py() for x in (anchor, split, unit, slot, doc, snippet))
             if anchor != now:
                 close()
                 now = anchor
@@ -413,40 +427,40 @@ def _cut(units: DataFrame, root: str, config: RepeatConfig) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                raw = get(root, f"masks-{row['unit']}") or b""
-                table = np.frombuffer(raw, np.int64).reshape(2, -1)
-                masks = dict(zip(table[0].tolist(), table[1].tolist(), strict=True))
-                heads = _heads(row, root, config)
-                for c, ends, low, high, runs in _repeated_runs(row, root, config):
-                    covered = np.zeros(len(c) + 1, np.int32)
-                    for run in runs:
-                        head = heads[run.anchor, run.bytes]
-                        mask = (1 << run.windows) - 1 if head.doc < run.doc else masks.get(head.slot, 0)
-                        at = 0
-                        while mask >> at:
-                            if mask >> at & 1:
-                                n = ((~(mask >> at)) & (mask >> at) + 1).bit_length() - 1
-                                covered[run.first + at] += 1
-                                covered[run.first + at + n - 1 + config.length] -= 1
-                                at += n
-                            else:
-                                at += 1
-                    gone = np.cumsum(covered[:-1]) > 0
-                    out: list[list] = [[] for _ in names]
-                    start = 0
-                    for d, end in enumerate(ends.tolist()):
-                        mine = gone[start:end]
-                        left = c[start:end][~mine].tobytes()
-                        spans = int((np.diff(np.concatenate(([0], mine.view(np.int8)))) == 1).sum())
-                        doc_id = int(ids[low + d])
-                        values = (None if doc_id == NULL_ID else doc_id, end - start, int(mine.sum()), spans, hashlib.sha256(left).hexdigest(), left)
-                        for column, value in zip(out, values, strict=True):
-                            column.append(value)
-                        start = end
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
+        for row in _rows(batches):
+            ids = np.frombuffer(row["ids"], np.int64)
+            raw = get(root, f"masks-{row['unit']}") or b""
+            table = np.frombuffer(raw, np.int64).reshape(2, -1)
+            masks = dict(zip(table[0].tolist(), table[1].tolist(), strict=True))
+            stretches = _repeated_runs(row, root, config)
+            heads = _heads(stretches)
+            for low, _, c, ends, runs in stretches:
+                covered = np.zeros(len(c) + 1, np.int32)
+                for run in runs:
+                    head = heads[run.anchor, run.bytes]
+                    mask = (1 << run.windows) - 1 if head.doc < run.doc else masks.get(head.slot, 0)
+                    at = 0
+                    while mask >> at:
+                        if mask >> at & 1:
+                            n = ((~(mask >> at)) & (mask >> at) + 1).bit_length() - 1
+                            covered[run.first + at] += 1
+                            covered[run.first + at + n - 1 + config.length] -= 1
+                            at += n
+                        else:
+                            at += 1
+                gone = np.cumsum(covered[:-1]) > 0
+                out: list[list] = [[] for _ in names]
+                start = 0
+                for d, end in enumerate(ends.tolist()):
+                    mine = gone[start:end]
+                    left = c[start:end][~mine].tobytes()
+                    spans = int((np.diff(np.concatenate(([0], mine.view(np.int8)))) == 1).sum())
+                    doc_id = int(ids[low + d])
+                    values = (None if doc_id == NULL_ID else doc_id, end - start, int(mine.sum()), spans, hashlib.sha256(left).hexdigest(), left)
+                    for column, value in zip(out, values, strict=True):
+                        column.append(value)
+                    start = end
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     return units.select("unit", "ids", "ends", "text").mapInArrow(cut, schema)
