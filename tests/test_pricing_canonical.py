@@ -2,7 +2,7 @@ import datetime as dt
 import math
 
 import numpy as np
-from conftest import black_scholes, business_days, cdf, flat_chain, market_stamps, vendor_rows
+from conftest import black_scholes, business_days, flat_chain, market_stamps, normal_distribution, vendor_rows
 from pyspark.sql import functions as F
 
 from tidemark.functions.normal import normal_cdf, normal_pdf
@@ -25,7 +25,7 @@ def test_normal_distribution_matches_erfc(spark):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     got = df.select("x", normal_cdf(F.col("x")).alias("c"), normal_pdf(F.col("x")).alias("p")).collect()
     for r in got:
-        assert abs(r.c - cdf(r.x)) < 2e-15
+        assert abs(r.c - normal_distribution(r.x)) < 2e-15
         assert abs(r.p - math.exp(-r.x**2 / 2) / math.sqrt(2 * math.pi)) < 1e-15
 
 

@@ -39,7 +39,9 @@ def attach_daily(df: DataFrame, *stats: Column, date: str = "date", how: str = "
 def first_row(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key: the first in `order`, by a map-side combined arg-min, no sort.
+    """One row per key: the first in `order`, by an arg-min that is combined map-side.
+
+    The minimum of a struct is not a fixed-width number, so Spark aggregates it by sorting.
 
     The value columns follow the order columns as tie-breaks, so equal order keys still
     give one answer whatever the row order is.

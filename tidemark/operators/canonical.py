@@ -1,8 +1,9 @@
-"""Vendor rows to canonical rows: option chains, open interest, stock prices.
+"""What vendors land, brought into the one form the store keeps.
 
-Canonical units: `iv` is a decimal and null where its inversion failed; `vega` is per share
-per vol point, `theta` per calendar day; `right` is C or P; `date` is the exchange date of
-the spot stamp; `symbol` is the option-root spelling. Extra vendor columns are carried along.
+Three kinds of rows come in: option quotes with greeks, open interest and daily stock bars. Going out, an
+option row has vega for one vol point of one share and theta for one calendar day; `iv` is
+a fraction, null where it cannot be trusted; `right` is one letter; the date is the exchange's, from the
+stamp of the spot; symbols follow the option roots. Vendor columns without a place of their own come after.
 """
 
 from __future__ import annotations

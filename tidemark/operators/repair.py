@@ -123,9 +123,18 @@ def build_patch(bars: DataFrame, vega_scale: float | Column = 0.01) -> DataFrame
 
 
 def apply_patch(chain: DataFrame, patch: DataFrame) -> DataFrame:
-    """`chain` with patched rows replaced; `mid` is taken anew on every row."""
-    one = first_row(patch, list(CONTRACT_KEYS), [])
-    joined = chain.join(one, list(CONTRACT_KEYS), "left")
+    """`chain` with patched rows replaced; `mid` is taken anew on every row.
+
+    `patch` holds a contract-day once, as `build_patch` of `last_bars` gives it. Only the sessions it
+    names are joined with it; the others, nearly all of a chain, stay where they are.
+    """
+    sessions = patch.select("symbol", "date").distinct()
+    middle = ((F.col("bid") + F.col("ask")) / F.lit(2.0)).alias("mid")
+    untouched = chain.join(sessions, ["symbol", "date"], "left_anti").select(
+        *[middle if c == "mid" else F.col(f"`{c}`") for c in chain.columns]
+    )
+    named = chain.join(sessions, ["symbol", "date"], "left_semi")
+    joined = named.join(patch, list(CONTRACT_KEYS), "left")
     patched = F.col("ask_new").isNotNull()
     bid = F.when(patched, F.col("bid_new")).otherwise(F.col("bid"))
     ask = F.when(patched, F.col("ask_new")).otherwise(F.col("ask"))
@@ -140,4 +149,4 @@ def apply_patch(chain: DataFrame, patch: DataFrame) -> DataFrame:
             return F.when(~patched, old).alias(name)
         return old
 
-    return joined.select(*[repaired(c) for c in chain.columns])
+    return untouched.unionByName(joined.select(*[repaired(c) for c in chain.columns]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +13,14 @@ from pyspark.sql import types as T
 from tidemark.operators import canonical, calendar, quality, reference_data, repair, risk, signals
 from tidemark.operators import straddle, surface, symbols, universe
 from tidemark.operators.features import stock_features
-from tidemark.operators.forecast import HARConfig, har_coefficients, har_forecast, har_rows, refit_dates
+from tidemark.operators.forecast import (
+    HARConfig,
+    har_coefficients,
+    har_forecast,
+    har_rows,
+    latest_fit,
+    refit_dates,
+)
 from tidemark.operators.pricing import reprice_chain
 from tidemark.operators.realized_vol import market_return, realized_vol, spot_panel
 from tidemark.plans.views import FIELDS, MARKET, Views
@@ -206,9 +214,13 @@ def universe_symbols(v: Views) -> DataFrame:
         names = symbols.universe_symbols(v.universe, asset, unavailable=gone, overrides=OVERRIDES)
         tagged = names.select(F.lit(asset).alias("asset"), "symbol")
         out = tagged if out is None else out.unionByName(tagged)
-    return out.groupBy("asset").agg(
-        F.count("*").alias("names"), F.min("symbol").alias("first"), F.max("symbol").alias("last")
-    )
+    return out
+
+
+@query
+def windowed_prices(v: Views) -> DataFrame:
+    """Prices dated in a window with both bounds."""
+    return symbols.in_window(v.spot, dt.date(1994, 6, 1), dt.date(1996, 5, 31)).select("date", "symbol", "close")
 
 
 def _calendar(v: Views) -> DataFrame:
@@ -399,6 +411,18 @@ def coefficients(v: Views) -> DataFrame:
 QUERIES["har_coefficients"] = QUERIES.pop("coefficients")
 
 
+@query
+def last_fit(v: Views) -> DataFrame:
+    names, market = _rv(v)
+    both = names.withColumn("in_fit", F.lit(True)).unionByName(
+        market.withColumn("in_fit", F.lit(False))
+    )
+    return rounded(latest_fit(har_coefficients(har_rows(both, HAR), HAR)), 5)
+
+
+QUERIES["latest_fit"] = QUERIES.pop("last_fit")
+
+
 def _forecast(v: Views) -> DataFrame:
     names, market = _rv(v)
     return har_forecast(materialize(names), materialize(market), HAR)[0]
@@ -484,6 +508,17 @@ def store_round_trip(v: Views) -> DataFrame:
     )
 
 
+@query
+def store_accumulate(v: Views) -> DataFrame:
+    """Rewrite two symbols of an unpartitioned table from itself; the others stay."""
+    store = _scratch_store(v)
+    store.write("rates", reference_data.tidy_rates(v.rate_rows))
+    again = ["1-URGENT", "2-HIGH"]
+    doubled = store.read("rates").where(F.col("symbol").isin(again)).withColumn("rate", F.col("rate") * 2)
+    store.accumulate("rates", doubled, "symbol", again)
+    return store.read("rates")
+
+
 @query
 def store_pending(v: Views) -> DataFrame:
     """Years of a wanted window that the stored prices do not cover."""

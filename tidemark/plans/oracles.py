@@ -521,13 +521,12 @@ FROM v_lines GROUP BY date, ticker
 
 oracle("symbol_map", "SELECT * FROM v_names")
 oracle("universe_symbols", """
-SELECT asset, count(*) AS names, min(symbol) AS first, max(symbol) AS last FROM (
-  SELECT DISTINCT 'option' AS asset, replace(CASE WHEN ticker = 'Brand.7' THEN 'Brand.77' ELSE ticker END, '.', '') AS symbol
-  FROM v_universe WHERE ticker NOT IN ('Brand.9')
-  UNION ALL SELECT DISTINCT 'yahoo', replace(ticker, '.', '-') FROM v_universe
-  UNION ALL SELECT DISTINCT 'stock', ticker FROM v_universe)
-GROUP BY asset
+SELECT DISTINCT 'option' AS asset, replace(CASE WHEN ticker = 'Brand.7' THEN 'Brand.77' ELSE ticker END, '.', '') AS symbol
+FROM v_universe WHERE ticker NOT IN ('Brand.9')
+UNION ALL SELECT DISTINCT 'yahoo', replace(ticker, '.', '-') FROM v_universe
+UNION ALL SELECT DISTINCT 'stock', ticker FROM v_universe
 """)
+oracle("windowed_prices", "SELECT date, symbol, close FROM v_spot WHERE date BETWEEN DATE '1994-06-01' AND DATE '1996-05-31'")
 oracle("calendar", "SELECT date FROM v_calendar")
 oracle("year_windows", """
 SELECT y::INTEGER AS year, greatest(start_date, make_date(y, 1, 1)) AS "start", least(end_date, make_date(y, 12, 31)) AS "end"
@@ -581,6 +580,10 @@ oracle("rates", """
 SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol, min(o_totalprice / 100.0::DOUBLE) AS rate
 FROM orders GROUP BY ALL
 """)
+oracle("store_accumulate", """
+SELECT date, symbol, rate * CASE WHEN symbol IN ('1-URGENT', '2-HIGH') THEN 2 ELSE 1 END AS rate FROM (
+  SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol, min(o_totalprice / 100.0::DOUBLE) AS rate FROM orders GROUP BY ALL)
+""")
 oracle("yields", """
 SELECT date, tenor, min(close / 100.0::DOUBLE) AS "yield" FROM (
   SELECT CAST(o_orderdate AS DATE) AS date, o_totalprice AS close,
@@ -791,6 +794,10 @@ oracle("har_coefficients", """
 SELECT date, n::BIGINT AS rows, round(b0, 5) AS const, round(rss / n, 5) AS residual_var, round(b1, 5) AS b_rv_1,
   round(b2, 5) AS b_rv_5, round(b3, 5) AS b_rv_22 FROM v_har_fits
 """)
+oracle("latest_fit", """
+SELECT date, n::BIGINT AS rows, round(b0, 5) AS const, round(rss / n, 5) AS residual_var, round(b1, 5) AS b_rv_1,
+  round(b2, 5) AS b_rv_5, round(b3, 5) AS b_rv_22 FROM v_har_fits WHERE date = (SELECT max(date) FROM v_har_fits)
+""")
 oracle("har_forecast", "SELECT date, symbol, round(rv_fcst, 6) AS rv_fcst FROM v_forecast")
 
 # --- signals -------------------------------------------------------------------------------------------
