@@ -1,10 +1,10 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Texts with equal shingle sets are one node. Nodes that share a band of their signature are candidates:
-first each with its bucket's head, the node with the smallest set. A node that is apart from its head has too few
-shingles in common with it to be linked, through those alone, with any member of the bucket; so in a
-second round only members that share a shingle outside the head's set are candidates, and a large group
-of near copies is never compared pair by pair. Candidates are compared a batch of signature places at
+first each with a head of its bucket, the node with the smallest set, then with another, the one with the
+most links so far. A node that is apart from that head has too few shingles in common with it to be linked, through those
+alone, with another member; so in the last round only members that share a rare shingle outside the
+head's set are candidates, and a large group of near copies is never compared pair by pair. Candidates are compared a batch of signature places at
 a time and dropped as soon as the posterior probability of reaching the threshold is below `miss`;
 survivors are checked on their full shingle sets.
 """
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
@@ -243,35 +243,71 @@ def _confirmed(pairs: DataFrame, full: DataFrame, config: NearConfig) -> DataFra
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
+#: The shingles whose frequency is told to all tasks; the others count as rare.
+FREQUENT = 100_000
+
+
+def _frequent(full: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest shingles of some sets, in order, and about how many sets have each.
+
+    They only settle an order, which may be any, so counts that are small within a slice are left out.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            values = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
+            found, n = np.unique(np.concatenate(values), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found[n > 1]), pa.array(n[n > 1])], ["shingle", "n"])
+
+    counted = full.select("shingles").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
+    keys = np.array([r["shingle"] for r in top], np.int64)
+    order = np.argsort(keys)
+    return keys[order], np.array([r["n"] for r in top], np.int64)[order]
+
+
 def _outside(members: DataFrame, full: DataFrame, config: NearConfig) -> DataFrame:
     """(a, b, apart, component, n, shingle): shingles of members b that their heads a do not have.
 
-    A node apart from its head a shares fewer than `least` = percent / (100 + percent) * (|a| + |b|) shingles with it, and a link
-    of b with a member y, |y| >= |a|, takes `percent` / (100 + percent) * (|b| + |y|). What is missing must be common outside a.
-    So of the shingles of b outside a, in one order for all, those are enough that leave fewer than the missing
-    number behind; of a member that may meet nodes apart only, all.
+    `low` is the smallest set among a head's members. A link of b with a member y takes
+    percent / (100 + percent) * (|b| + |y|) common shingles, |y| is at least `low` and percent / 100 * |b|, and of those in a's set no
+    more are common than b has there. What is missing must be common outside it. So of the shingles of a node
+    apart, rarest first in one order for all, those are enough that leave fewer than the missing number
+    behind; of other members all count. Where nothing is missing there is one row with a null shingle.
     """
     share = config.percent / (100 + config.percent)
+    spark = members.sparkSession
+    known = spark.sparkContext.broadcast(_frequent(full))  # FREQUENT pairs of numbers at most
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "apart", "component", "n"]
+        keys, counts = known.value
         for batch in _slices(batches, 256):
-            rows, found = [], []
-            for i, (x, y, apart) in enumerate(zip(batch.column("x"), batch.column("y"), batch.column("apart").to_pylist(), strict=True)):
+            rows, found, loose = [], [], []
+            columns = (batch.column("x"), batch.column("y"), batch.column("apart").to_pylist(), batch.column("low").to_pylist())
+            for i, (x, y, apart, low) in enumerate(zip(*columns, strict=True)):
                 x, y = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
-                outside = np.setdiff1d(y, x, assume_unique=True)
+                outside = np.setdiff1d(y, x, assume_unique=True).view(np.int64)
+                common = len(y) - len(outside)
                 if apart:
-                    common = len(y) - len(outside)
-                    other = max(len(x), int(len(y) * config.percent / 100))
-                    missing = max(1, int(np.ceil(share * (len(y) + other) - 1e-9)) - common)
-                    outside = outside[: max(0, len(outside) - missing + 1)]
+                    other = max(low, int(np.ceil(len(y) * config.percent / 100 - 1e-9)))
+                    missing = int(np.ceil(share * (len(y) + other) - 1e-9)) - common
+                    if missing <= 0:
+                        loose.append(i)
+                    if len(keys):
+                        at = np.minimum(np.searchsorted(keys, outside), len(keys) - 1)
+                        often = np.where(keys[at] == outside, counts[at], 0)
+                        outside = outside[np.lexsort((outside, often))]
+                    outside = outside[: max(0, len(outside) - max(1, missing) + 1)]
                 rows += [i] * len(outside)
                 found.append(outside)
-            taken = batch.select(names).take(pa.array(rows, pa.int64()))
-            values = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(values)], [*names, "shingle"])
+            at = rows + loose
+            taken = batch.select(names).take(pa.array(at, pa.int64()))
+            values = np.concatenate(found) if found else np.zeros(0, np.int64)
+            values = pa.concat_arrays([pa.array(values, pa.int64()), pa.nulls(len(loose), pa.int64())])
+            yield pa.RecordBatch.from_arrays([*taken.columns, values], [*names, "shingle"])
 
-    joined = _beside(members, full).select("a", "b", "apart", "component", "n", "x", "y")
+    joined = _beside(members, full).select("a", "b", "apart", "component", "n", "low", "x", "y")
     return joined.mapInArrow(rest, "a bigint, b bigint, apart boolean, component bigint, n bigint, shingle bigint")
 
 
@@ -330,14 +366,16 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
             F.array(*[F.xxhash64(F.lit(i), F.substring("bands", 8 * i + 1, 8)) for i in range(config.bands)])
         ).alias("band"),
     )
-    # the smallest set of a bucket heads it
-    least = F.min(F.struct("n_shingles", "node"))
-    heads = banded.groupBy("band").agg(least.alias("_least"), F.count("*").alias("_n")).filter("_n > 1")
-    heads = heads.select("band", F.col("_least.node").alias("head"))
-    shared = banded.select("band", "node", "n_shingles").join(heads.hint("merge"), "band").filter("node <> head")
-    members = materialize(shared.select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n_shingles").alias("n")).distinct())
+    counts = banded.groupBy("band").agg(F.count("*").alias("_n")).filter("_n > 1").select("band")
+    shared = materialize(banded.select("band", "node", "n_shingles").join(counts.hint("merge"), "band", "left_semi"))
     sketches = reps.select("node", "sketch")
 
+    def headed(rows: DataFrame, *order: Column) -> DataFrame:
+        """(a, b, n): the nodes of each bucket with its head, the first in `order`."""
+        first = rows.groupBy("band").agg(F.min(F.struct(*order, "n_shingles", "node")).alias("_first"))
+        led = rows.join(first.select("band", F.col("_first.node").alias("a")).hint("merge"), "band").filter("node <> a")
+        return materialize(led.select("a", F.col("node").alias("b"), F.col("n_shingles").alias("n")).distinct())
+
     def likely(pairs: DataFrame) -> DataFrame:
         first, second = sketches.toDF("a", "sketch_a").hint("merge"), sketches.toDF("b", "sketch_b").hint("merge")
         given = pairs.join(first, "a").join(second, "b")
@@ -346,32 +384,47 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
     def ids(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
 
-    pairs = likely(members.select("a", "b"))
     # an id with several texts ties their nodes together
     several = known.select("doc_id", "set_key").distinct().groupBy("doc_id").count().filter("count > 1")
     tied = known.join(several, "doc_id", "left_semi").join(nodes, "set_key").filter("doc_id <> node")
     tied = tied.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    confirmed = _confirmed(pairs, _sets(ids(pairs), docs, config), config)
-    links = materialize(confirmed.unionByName(tied).distinct())
+    smallest = headed(shared)
+    pairs = likely(smallest.select("a", "b"))
+    full = _sets(ids(pairs), docs, config)
+    links = materialize(_confirmed(pairs, full, config).unionByName(tied).distinct())
+    # now the node with the most links heads a bucket, where there is any
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("_links"))
+    ranked = shared.join(degree, "node", "left").withColumn("_rank", -F.coalesce("_links", F.lit(0)))
+    members = headed(ranked, F.col("_rank"))
+    tested = smallest.select(F.col("b").alias("a"), F.col("a").alias("b")).unionByName(smallest.select("a", "b"))
+    pairs = likely(members.select("a", "b").join(tested, ["a", "b"], "left_anti"))
+    links = materialize(links.unionByName(_confirmed(pairs, _sets(ids(pairs), docs, config), config)).distinct())
     # members of heads that have both a node apart and another component beside it
     found = components(links)
+    either = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     placed = members.join(found.withColumnRenamed("node", "b"), "b", "left").join(
-        links.withColumn("linked", F.lit(True)), ["a", "b"], "left"
+        either.withColumn("linked", F.lit(True)), ["a", "b"], "left"
     )
     placed = placed.select(
         "a", "b", "n", F.coalesce("component", "b").alias("component"), F.col("linked").isNull().alias("apart")
     )
     placed = materialize(placed)
     mixed = placed.groupBy("a").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("apart").alias("_some")
-    ).filter("_some and _low <> _high").select("a")
-    active = materialize(placed.join(mixed, "a", "left_semi"))
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("apart").alias("_some"),
+        F.min("n").alias("low"),
+    ).filter("_some and _low <> _high").select("a", "low")
+    active = materialize(placed.join(mixed, "a"))
     outside = materialize(_outside(active, _sets(ids(active), docs, config), config))
     one = outside.filter("apart").select("a", "shingle", F.col("b").alias("x"), F.col("component").alias("at_x"), F.col("n").alias("n_x"))
-    other = outside.select("a", "shingle", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"))
-    fits = f"at_x <> at_y and (not apart_y or x < y) and 100 * least(n_x, n_y) >= {config.percent} * greatest(n_x, n_y)"
-    second = one.hint("merge").join(other, ["a", "shingle"]).filter(fits)
-    more = likely(second.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    other = outside.filter("shingle is not null").select("a", "shingle", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"))
+    fits = f"at_x <> at_y and x <> y and 100 * least(n_x, n_y) >= {config.percent} * greatest(n_x, n_y)"
+    second = one.filter("shingle is not null").hint("merge").join(other, ["a", "shingle"]).filter(f"{fits} and (not apart_y or x < y)")
+    # a node that has enough in the head's set alone to be linked with a smaller member meets all of like size
+    loose = one.filter("shingle is null").select("a", "x", "at_x", "n_x")
+    smaller = active.select("a", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"))
+    third = loose.join(smaller, "a").filter(fits)
+    met = second.select("x", "y").unionByName(third.select("x", "y"))
+    more = likely(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     rest = materialize(_confirmed(more, _sets(ids(more), docs, config), config).distinct())
     both = components(materialize(links.unionByName(rest)))
     place = nodes.join(both, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
