@@ -54,10 +54,15 @@ def materialize(df: DataFrame) -> DataFrame:
 _written: list[str] = []
 
 
-def release_scratch(spark: SparkSession) -> None:
-    """Delete what `materialize` wrote in this process; frames built on it are done with."""
+def written_so_far() -> int:
+    """How many intermediates this process has written and not released."""
+    return len(_written)
+
+
+def release_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete what `materialize` wrote in this process after the first `since`; frames built on it are done with."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
-    while _written:
+    while len(_written) > since:
         path = hadoop.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)
