@@ -1,6 +1,6 @@
 """Byte-exact repeats across documents, by difference-cover suffix sorting of what can repeat at all.
 
-1. Texts are packed into units of a few MB, each a row, stored once; equal texts keep their first document.
+1. Texts are packed into units of some 100 kB, each a row, stored once; equal texts keep their first document.
 2. Every window of `length` bytes is owned by an anchor, its smallest gram of `GRAM` bytes (winnowing), so equal windows
    have equal anchors. Anchors are counted over all units; windows of an anchor that only one document
    has cannot repeat and are discarded.
@@ -42,10 +42,10 @@ class RepeatConfig:
     worked on at once, anchors of a bucket, snippet bytes sorted at once, and the units after which an anchor is split."""
 
     length: int = 50
-    unit_bytes: int = 4_000_000
+    unit_bytes: int = 400_000
     stretch_bytes: int = 500_000
-    bucket_units: int = 4
-    block_units: int = 1
+    bucket_units: int = 40
+    block_units: int = 10
     sort_bytes: int = 600_000
     split_units: int = 128
 
@@ -77,6 +77,9 @@ def gram_hashes(c: np.ndarray) -> np.ndarray:
     return out
 
 
+_LOWER, _UPPER = _U(0xFFFFFFFF), _U(0xFFFFFFFF00000000)
+
+
 @dataclass
 class Owned:
     """Runs of windows with one owner: first and last window, the owner's place and hash, in the order of the text."""
@@ -95,12 +98,12 @@ def owned_windows(c: np.ndarray, ends: np.ndarray, length: int) -> Owned:
         return Owned(none, none, none, none.astype(_U))
     h = gram_hashes(c)
     width = length - GRAM + 1
-    value, at, span = h, np.arange(len(h), dtype=np.int32), 1
+    # half of the hash, then the place from the right: of equal hashes the last is least, so that the choice
+    # depends on the window's bytes alone
+    value, span = (h & _UPPER) | (_LOWER - np.arange(len(h), dtype=_U)), 1
     while span < width:
         step = min(span, width - span)
-        # the right one of equal hashes, so that the choice depends on the window's bytes alone
-        right = value[step:] <= value[:-step]
-        value, at, span = np.where(right, value[step:], value[:-step]), np.where(right, at[step:], at[:-step]), span + step
+        value, span = np.minimum(value[step:], value[:-step]), span + step
     inside = np.zeros(len(c) + 1, np.int32)
     long = ends - starts >= length
     np.add.at(inside, starts[long], 1)
@@ -108,7 +111,7 @@ def owned_windows(c: np.ndarray, ends: np.ndarray, length: int) -> Owned:
     valid = np.flatnonzero(np.cumsum(inside[: len(value)]) > 0)
     if not len(valid):
         return Owned(none, none, none, none.astype(_U))
-    owner = at[valid].astype(np.int64)
+    owner = (_LOWER - (value[valid] & _LOWER)).astype(np.int64)
     new = np.concatenate(([True], (np.diff(owner) != 0) | (np.diff(valid) != 1)))
     heads = np.flatnonzero(new)
     tails = np.concatenate((heads[1:], [len(valid)])) - 1
