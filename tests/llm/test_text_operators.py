@@ -7,7 +7,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import decontaminate, line_dedup, quality_model, quality_rules
+from tidemark.llm import decontaminate, line_dedup, quality_model, quality_rules, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -175,3 +175,54 @@ def test_repeated_runs_match_brute_force(spark, odd_docs, no_docs):
     kept = line_dedup.without_repeats(odd_docs.withColumnRenamed("slot", "removed_runs"))
     assert kept.count() == odd_docs.count() and kept.columns.count("removed_runs") == 1
     assert line_dedup.without_repeats(no_docs).count() == 0
+
+
+def brute_extended(docs, words):
+    """Which lines of each distinct (id, text) lie in a run of `words` words that occurs earlier, runs extended to their ends."""
+    keyed = sorted({(i, t) for i, t in docs if t}, key=lambda d: (d[0] is not None, d[0] or 0))
+    split = [[(k, x, len(WORD.findall(x))) for k, x in enumerate(t.split("\n")) if WORD.search(x)] for _, t in keyed]
+    gone = collections.defaultdict(set)
+    for d, (key, here) in enumerate(zip(keyed, split, strict=True)):
+        for e, there in enumerate(split[: d + 1]):
+            for diagonal in range(1 - len(here), len(there) if e < d else 0):
+                run = []
+                for p in range(max(0, -diagonal), len(here) + 1):
+                    q = p + diagonal
+                    if p < len(here) and q < len(there) and here[p][1] == there[q][1]:
+                        run.append(here[p])
+                        continue
+                    if sum(n for _, _, n in run) >= words:
+                        gone[key] |= set(range(run[0][0], run[-1][0] + 1))
+                    run = []
+    return gone
+
+
+def test_extended_runs_match_brute_force(spark, odd_docs, no_docs):
+    drawn = random.Random(12)
+    pool = [" ".join(f"{drawn.choice('abcdefgh')}{k}" for _ in range(drawn.choice((0, 1, 2, 3, 4, 7)))) for k in range(20)]
+    long = [" ".join(f"long{k}x{i}" for i in range(8 + k)) for k in range(6)]
+    docs = [(i, "\n".join(drawn.choice(pool) for _ in range(drawn.randint(0, 12)))) for i in range(60)]
+    for i in range(60):
+        lines = [drawn.choice(long if drawn.random() < 0.4 else pool[:8]) for _ in range(drawn.randint(0, 9))]
+        docs.append((100 + i, "\n".join(x for x in lines if x)))
+    a, b, c = "a run of just ten words begins right at this", "three words more", "and then four words"
+    tails = [(900, f"{a}\n{b}\nother words"), (901, f"{a}\n{b}\n{c}"), (902, f"before it\n{a}\n{b}\n{c}"), (903, f"{a}\n{b}\n{c}\nends otherwise")]
+    docs += [*tails, (None, docs[5][1]), (500, docs[3][1]), (500, docs[3][1])]
+    docs += [(2000 + r["doc_id"], r["text"]) for r in odd_docs.collect() if r["doc_id"] not in (None, 12)]
+    got = line_dedup.without_repeats(spark.createDataFrame(docs, "doc_id bigint, text string"), 8, extend=True).collect()
+    gone = brute_extended(docs, 8)
+    want = collections.Counter()
+    for i, t in docs:
+        lines = gone.get((i, t), set())
+        want[i, t if not lines else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in lines), len(lines)] += 1
+    assert collections.Counter((r["doc_id"], r["text"], r["removed_lines"]) for r in got) == want
+    by_id = {r["doc_id"]: (r["text"], r["removed_lines"], r["removed_runs"]) for r in got}
+    assert [by_id[i] for i in range(900, 904)] == [(tails[0][1], 0, 0), (c, 2, 1), ("before it", 3, 1), ("ends otherwise", 3, 1)]
+    assert line_dedup.without_repeats(no_docs, extend=True).count() == 0
+
+
+def test_line_query_leaves_nothing_of_a_copy_with_a_short_end(spark, tmp_path):
+    text = "a copied line has more than eight words in it\nshort end"
+    spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op2_line_dedup"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == [(1, text, 0, 0), (2, "", 2, 1)]

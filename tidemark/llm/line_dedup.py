@@ -4,7 +4,12 @@ A window is the shortest run of lines, from a given line on, that has `words` wo
 the smallest line hash in it (the last of equal ones). Equal windows choose the same fingerprint, so a
 run that repeats with at least `words` words from a line's start on shares one for certain. Fingerprints found in
 one place only are passed by; at the others, equal windows are joined by position, each later one to the
-first, and links along one diagonal are one match, extended both ways as far as windows agree.
+first, and windows that lie on or next to each other are one run.
+
+Windows alone reach back to the beginning of a repeated run, but not to its end: its last lines may have too few
+words to begin one. With `extend` the shortest runs that END at a line are windows too. A line of a
+repeated run either begins a window inside the run or lies in the window that ends where the run ends, so
+together they are each maximal run, whichever earlier place it repeats, without a walk along diagonals.
 """
 
 from __future__ import annotations
@@ -24,8 +29,9 @@ RUN_WORDS = 8
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def windows(text: str, words: int) -> Iterator[tuple[int, int, int, bytes]]:
-    """(first line, number of lines, fingerprint, 128-bit digest) of every window of a text.
+def windows(text: str, words: int, extend: bool = False) -> Iterator[tuple[int, int, int, bytes]]:
+    """(first line, number of lines, fingerprint, 128-bit digest) of every window of a text; with `extend`, also
+    of the shortest runs that end at a line, where they begin no window of the same lines.
 
     Only lines with words begin a window; lines without any are passed over inside one. The digest is of the
     lines with words, joined; the fingerprint is the least of their 64-bit hashes.
@@ -34,17 +40,29 @@ def windows(text: str, words: int) -> Iterator[tuple[int, int, int, bytes]]:
     sizes = [len(_WORD.findall(x)) for x in lines]
     full = [i for i, n in enumerate(sizes) if n]
     hashes = {i: xxhash.xxh3_64_intdigest(lines[i].encode()) for i in full}
+
+    def window(members: list[int]) -> tuple[int, int, int, bytes]:
+        joined = "\n".join([lines[i] for i in members]).encode()
+        return members[0], members[-1] - members[0] + 1, min(hashes[i] for i in members), xxhash.xxh3_128_digest(joined)
+
     last, held = 0, 0
     for at, start in enumerate(full):
         while last < len(full) and held < words:
             held += sizes[full[last]]
             last += 1
         if held < words:
-            return
-        members = full[at:last]
-        joined = "\n".join([lines[i] for i in members]).encode()
-        yield start, members[-1] - start + 1, min(hashes[i] for i in members), xxhash.xxh3_128_digest(joined)
+            break
+        yield window(full[at:last])
         held -= sizes[start]
+    first, held = 0, 0
+    for at, end in enumerate(full if extend else ()):
+        held += sizes[end]
+        while held - sizes[full[first]] >= words:
+            held -= sizes[full[first]]
+            first += 1
+        # otherwise it is the window that its first line begins
+        if held - sizes[end] >= words:
+            yield window(full[first : at + 1])
 
 
 def row_key(text: str = "text") -> Column:
@@ -52,7 +70,9 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def repeated_windows(docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text", extend: bool = False
+) -> DataFrame:
     """(doc_id, row, line, lines, first_id, first_row, first_line): windows that occur earlier, and where first.
 
     The order of positions is (doc_id, row, line), null ids first; `row` is a hash of the text. Rows equal in
@@ -66,7 +86,7 @@ def repeated_windows(docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id
         for batch in batches:
             out = [[] for _ in names]
             for doc_id, row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                for line, n, mark, digest in windows(t.as_py() or "", words):
+                for line, n, mark, digest in windows(t.as_py() or "", words, extend):
                     for column, value in zip(out, (doc_id, row, line, n, mark - (1 << 63), digest), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
@@ -99,15 +119,18 @@ def repeated_runs(matches: DataFrame) -> DataFrame:
     return runs.select("doc_id", "row", "line", (F.col("end") - F.col("line")).alias("lines"))
 
 
-def without_repeats(docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(
+    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text", extend: bool = False
+) -> DataFrame:
     """`docs` without the lines of runs that repeat an earlier run of at least `words` words, with two columns
     more: `removed_lines` and `removed_runs`; columns of those names are replaced.
 
-    The first occurrence in the order of (id, line) stays, within a document too. Blank lines inside a run
+    The first occurrence in the order of (id, line) stays, within a document too. With `extend` runs reach to
+    their true ends; without it up to `words` - 1 words at the end of each stay. Blank lines inside a window
     go with it. Texts without words (null, empty) stay as they are; a text of which nothing is left
     becomes empty; every row stays a row.
     """
-    runs = repeated_runs(repeated_windows(docs, words, key, text))
+    runs = repeated_runs(repeated_windows(docs, words, key, text, extend))
     cuts = runs.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
         F.collect_list(F.struct("line", "lines")).alias("_cuts")
     )

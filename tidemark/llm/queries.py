@@ -37,7 +37,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cleaned = line_dedup.without_repeats(docs)
+    cleaned = line_dedup.without_repeats(docs, extend=True)
     return cleaned.select("doc_id", "text", "removed_lines", "removed_runs")
 
 
