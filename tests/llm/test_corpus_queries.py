@@ -95,3 +95,15 @@ def test_pipeline_matches_brute_force_stage_by_stage(spark, docs):
         assert bytes(r["ids"]) == ids.tobytes() and r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(ids.tobytes()).hexdigest()
     assert len(rows) == len(want)
+
+
+def test_a_copy_with_a_short_last_line_leaves_no_text(spark):
+    body = "\n".join(f"line {k} of a document that is copied whole, with words enough" for k in range(4))
+    copied = [(i, f"{body}\n{end}") for i, end in ((1, "Shth ndti."), (2, "Shth ndti."), (3, "Shth ndti."))]
+    rows = [(i, t, "en", "s", len(t)) for i, t in [*copied, (9, "another document, which has nothing of the others in it")]]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        frame = materialize(stage(spark, frame, SF))
+        assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in frame.collect() if r["text"]} == {i: (t, n) for i, t, _, _, n in rows if i in (1, 9)}, name
+    tokens = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()}
+    assert tokens[1] > 0 and tokens[9] > 0 and tokens[2] == tokens[3] == 0
