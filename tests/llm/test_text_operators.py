@@ -226,3 +226,22 @@ def test_line_query_leaves_nothing_of_a_copy_with_a_short_end(spark, tmp_path):
     spark.createDataFrame([(1, text), (2, text)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = queries.queries()["op2_line_dedup"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == [(1, text, 0, 0), (2, "", 2, 1)]
+
+
+def test_a_long_exact_part_of_an_item_is_a_copy(spark):
+    drawn = random.Random(6)
+    words = lambda n, kind: [f"{kind}{drawn.randrange(10**6)}" for _ in range(n)]
+    item = words(59, "i")
+    docs = [
+        (1, " ".join(words(40, "d") + item[20:49] + words(40, "d"))),
+        (2, " ".join(words(40, "d") + item[:13])),
+        (3, " ".join(words(40, "d") + item[46:] + words(9, "d"))),
+        (4, " ".join(words(40, "d") + item[20:32] + words(40, "d"))),
+        (5, " ".join(words(90, "d"))),
+        (6, " ".join(words(20, "d") + item)),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string")
+    got = {r["doc_id"]: (r["points"], r["first_word"], r["last_word"]) for r in decontaminate.copies(frame, bench).collect()}
+    assert got == {1: (58, 40, 68), 2: (26, 40, 52), 3: (26, 40, 52), 6: (118, 20, 78)}
+    assert {r["doc_id"] for r in decontaminate.without_copies(frame, bench).collect()} == {4, 5}

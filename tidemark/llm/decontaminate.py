@@ -3,7 +3,8 @@
 Every n-gram of the test items is counted over all training texts. In each stretch of consecutive
 n-grams of an item the rarest is a seed, so an unedited run of `stretch + n - 1` words holds one
 however often it was copied. Seeds join passages to items; a passage is aligned with its item, and the score
-says how much of the item it holds, edits, insertions and omissions counted off.
+says how much of the item it holds, edits, insertions and omissions counted off. A long item is copied in part as well:
+a fixed score suffices, whatever the length of the item.
 
 The items are taken in blocks of a bounded number of words; a block's tables are what is broadcast.
 """
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class AlignConfig:
-    """A passage is a copy if its alignment scores at least `least` of the item's score with itself."""
+    """A passage is a copy if its alignment scores at least `least` of the item's score with itself, or as much as
+    `exact` words in a row do, whatever share of the item that is."""
 
     n: int = 3
     stretch: int = 4
@@ -29,6 +31,7 @@ class AlignConfig:
     mismatch: int = -1
     gap: int = -1
     least: float = 0.5
+    exact: int = 13
     slack: float = 0.5
     block_words: int = 1_000_000
 
@@ -145,20 +148,23 @@ def copies_in(items: Items, seeds: np.ndarray, places: list, ids: np.ndarray) ->
             starts.setdefault(item, []).append(p - k)
     for item, begins in starts.items():
         item_id, words = items.items[item]
-        size, own = len(words), np.unique(words)
+        size, (own, times) = len(words), np.unique(words, return_counts=True)
         slack = max(4, int(size * config.slack))
         full, done = config.match * size, None
+        enough = min(config.least * full, config.match * config.exact)
         for begin in sorted(begins):
             if done is not None and begin + size <= done:
                 continue  # the passage around an earlier seed covers it
             low, high = max(0, begin - slack), min(len(ids), begin + size + 2 * slack)
             done = high - slack
             part = ids[low:high]
-            # no alignment has more matches than the passage has words of the item
-            if config.match * min(size, int(np.isin(part, own).sum())) < config.least * full:
+            # no alignment has more matches than the passage has words of the item, each as often as the item at most
+            place = np.minimum(np.searchsorted(own, part), len(own) - 1)
+            there = np.bincount(place[own[place] == part], minlength=len(own))
+            if config.match * int(np.minimum(there, times).sum()) < enough:
                 continue
             score, first, last = aligned(words, part, config)
-            if score >= config.least * full and score > best.get(item_id, (0,))[0]:
+            if score >= enough and score > best.get(item_id, (0,))[0]:
                 best[item_id] = (score, full, low + first, low + last)
     return [(i, s / f, s, a, b) for i, (s, f, a, b) in sorted(best.items())]
 
