@@ -36,9 +36,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near-duplicates."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").select(*COLUMNS)
+    """One document, the one with the smallest id, of each group of near-duplicates.
+
+    Rows equal in id and text are one document. Rows without an id are in groups by their texts, behind all
+    ids; those without words either are no group's and stay.
+    """
+    after = max(docs.agg(F.max("doc_id")).first()[0] or 0, 0) + 1
+    room = (1 << ((1 << 63) - after).bit_length() - 1) - 1
+    own = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("text").bitwiseAND(F.lit(room)) + F.lit(after))
+    told = docs.withColumn("_id", F.coalesce("doc_id", own))
+    named = told.filter("_id is not null")
+    kept = near_dedup.near_duplicates(named, key="_id").filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    others = [c for c in COLUMNS if c != "text"]
+    firsts = named.join(kept, "_id", "left_semi").groupBy("_id", "text").agg(F.min(F.struct(*others)).alias("_first"))
+    return firsts.select("text", "_first.*").select(*COLUMNS).unionByName(told.filter("_id is null").select(*COLUMNS))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -107,3 +107,19 @@ def test_a_copy_with_a_short_last_line_leaves_no_text(spark):
         assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in frame.collect() if r["text"]} == {i: (t, n) for i, t, _, _, n in rows if i in (1, 9)}, name
     tokens = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.STAGES[-1][1](spark, frame, SF).collect()}
     assert tokens[1] > 0 and tokens[9] > 0 and tokens[2] == tokens[3] == 0
+
+
+def test_one_row_of_each_group_stays_without_ids_too(spark):
+    texts = {name: " ".join(f"{name}{k}" for k in range(120)) for name in "abcde"}
+    near = texts["a"].replace("a60 ", "edited ")
+    given = [(1, "a"), (1, "a"), (2, "a"), (None, "a"), (3, "b"), (3, "b"), (None, "c"), (None, "c"), (None, "d"), (4, "e"), (4, "d")]
+    rows = [(i, texts[t]) for i, t in given] + [(None, near), (None, texts["c"].replace("c60 ", "edited ")), (5, None), (5, None), (None, None), (None, ""), (6, ""), (7, "")]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = corpus_pipeline.drop_copies(spark, frame.repartition(3), SF)
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    left = [(r["doc_id"], r["text"]) for r in got.collect()]
+    c = [x for x in left if x[0] is None and x[1] and x[1].startswith("c0 ")]
+    assert len(c) == 1
+    want = [(1, texts["a"]), (3, texts["b"]), (4, texts["d"]), (4, texts["e"]), (5, None), (6, ""), (7, ""), (None, None), (None, "")]
+    assert sorted((x for x in left if x not in c), key=str) == sorted(want, key=str)
+    assert corpus_pipeline.drop_copies(spark, frame.limit(0), SF).count() == 0
