@@ -13,7 +13,7 @@ from tidemark.llm import decontaminate, encoding, oracles, quality_model, querie
 from tidemark.session import materialize
 
 from .test_dedup_tokens import brute_components, brute_repeats
-from .test_text_operators import brute_lines
+from .test_text_operators import brute_extended
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,7 +69,7 @@ def test_pipeline_matches_brute_force_stage_by_stage(spark, docs):
         frame = materialize(stage(spark, frame, SF))
         assert frame.columns == list(corpus_pipeline.COLUMNS)
         if name == "line dedup":
-            gone = brute_lines(list(want.items()), 8)
+            gone = brute_extended(list(want.items()), 8)
             want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get((i, t), ())) for i, t in want.items()}
         if name == "near dedup":
             of = brute_components(list(want.items()), 5)

@@ -6,8 +6,8 @@ run that repeats with at least `words` words from a line's start on shares one f
 one place only are passed by; at the others, equal windows are joined by position, each later one to the
 first, and windows that lie on or next to each other are one run.
 
-Windows alone reach back to the beginning of a repeated run, but not to its end: its last lines may have too few
-words to begin one. With `extend` the shortest runs that END at a line are windows too. A line of a
+Windows that begin at a line reach back to the beginning of a repeated run, but not to its end: its last lines may
+have too few words to begin one. So the shortest runs that END at a line are windows too. A line of a
 repeated run either begins a window inside the run or lies in the window that ends where the run ends, so
 together they are each maximal run, whichever earlier place it repeats, without a walk along diagonals.
 """
@@ -29,9 +29,9 @@ RUN_WORDS = 8
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def windows(text: str, words: int, extend: bool = False) -> Iterator[tuple[int, int, int, bytes]]:
-    """(first line, number of lines, fingerprint, 128-bit digest) of every window of a text; with `extend`, also
-    of the shortest runs that end at a line, where they begin no window of the same lines.
+def windows(text: str, words: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(first line, number of lines, fingerprint, 128-bit digest) of every window of a text: the shortest runs
+    that begin at a line, and those that end at one, where they begin no window of the same lines.
 
     Only lines with words begin a window; lines without any are passed over inside one. The digest is of the
     lines with words, joined; the fingerprint is the least of their 64-bit hashes.
@@ -55,7 +55,7 @@ def windows(text: str, words: int, extend: bool = False) -> Iterator[tuple[int,
         yield window(full[at:last])
         held -= sizes[start]
     first, held = 0, 0
-    for at, end in enumerate(full if extend else ()):
+    for at, end in enumerate(full):
         held += sizes[end]
         while held - sizes[full[first]] >= words:
             held -= sizes[full[first]]
@@ -71,7 +71,7 @@ def row_key(text: str = "text") -> Column:
 
 
 def repeated_windows(
-    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text", extend: bool = False
+    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(doc_id, row, line, lines, first_id, first_row, first_line): windows that occur earlier, and where first.
 
@@ -86,7 +86,7 @@ def repeated_windows(
         for batch in batches:
             out = [[] for _ in names]
             for doc_id, row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                for line, n, mark, digest in windows(t.as_py() or "", words, extend):
+                for line, n, mark, digest in windows(t.as_py() or "", words):
                     for column, value in zip(out, (doc_id, row, line, n, mark - (1 << 63), digest), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
@@ -120,17 +120,16 @@ def repeated_runs(matches: DataFrame) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text", extend: bool = False
+    docs: DataFrame, words: int = RUN_WORDS, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """`docs` without the lines of runs that repeat an earlier run of at least `words` words, with two columns
     more: `removed_lines` and `removed_runs`; columns of those names are replaced.
 
-    The first occurrence in the order of (id, line) stays, within a document too. With `extend` runs reach to
-    their true ends; without it up to `words` - 1 words at the end of each stay. Blank lines inside a window
-    go with it. Texts without words (null, empty) stay as they are; a text of which nothing is left
+    The first occurrence in the order of (id, line) stays, within a document too. Runs reach to their true
+    ends. Blank lines inside a window go with it. Texts without words (null, empty) stay as they are; a text of which nothing is left
     becomes empty; every row stays a row.
     """
-    runs = repeated_runs(repeated_windows(docs, words, key, text, extend))
+    runs = repeated_runs(repeated_windows(docs, words, key, text))
     cuts = runs.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
         F.collect_list(F.struct("line", "lines")).alias("_cuts")
     )

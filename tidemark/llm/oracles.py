@@ -39,7 +39,8 @@ SELECT doc_id, size, text_crc32, 'key' AS law, here.shard AS shard,
 FROM sized JOIN here USING (doc_id) JOIN grown USING (doc_id)
 """
 
-#: Windows of whole lines with at least 8 words, the first of equal ones in the order of (doc_id, line) kept.
+#: The shortest windows of whole lines with 8 words that begin, or end, at a line; the first of equal ones in the order of
+#: (doc_id, line) kept.
 OP2 = f"""
 WITH lines AS (
   SELECT doc_id, line, txt, len(regexp_extract_all(txt, '{WORDS}')) AS n FROM (
@@ -47,7 +48,10 @@ WITH lines AS (
 filled AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM lines WHERE n > 0),
 windows AS (
   SELECT s.doc_id AS doc_id, s.line AS line, e.line AS last
-  FROM filled s ASOF JOIN filled e ON s.doc_id = e.doc_id AND s.upto - s.n + 8 <= e.upto),
+  FROM filled s ASOF JOIN filled e ON s.doc_id = e.doc_id AND s.upto - s.n + 8 <= e.upto
+  UNION
+  SELECT e.doc_id AS doc_id, s.line AS line, e.line AS last
+  FROM filled e ASOF JOIN filled s ON e.doc_id = s.doc_id AND e.upto - 8 >= s.upto - s.n),
 bodies AS (
   SELECT w.doc_id AS doc_id, w.line AS line, w.last AS last, string_agg(f.txt, chr(10) ORDER BY f.line) AS body
   FROM windows w JOIN filled f ON f.doc_id = w.doc_id AND f.line BETWEEN w.line AND w.last GROUP BY ALL),
