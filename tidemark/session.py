@@ -48,7 +48,9 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark)}/tidemark-{uuid.uuid4().hex}"
     _written.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._written_at = path
+    return read
 
 
 _written: list[str] = []
@@ -61,8 +63,19 @@ def written_so_far() -> int:
 
 def release_scratch(spark: SparkSession, since: int = 0) -> None:
     """Delete what `materialize` wrote in this process after the first `since`; frames built on it are done with."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
     while len(_written) > since:
-        path = hadoop.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _written.pop())
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what `materialize` wrote for these very frames; frames built on them are done with, others stay."""
+    for df in frames:
+        path = getattr(df, "_written_at", None)
+        if path in _written:
+            _written.remove(path)
+            _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
