@@ -97,5 +97,76 @@ FROM turns GROUP BY conv_id
 """
 
 
+_SHA = "sha256('7:' || coalesce(doc_id::VARCHAR, ''))"
+OP11 = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, {_SHA} AS h FROM documents),
+drawn AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u, {", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))} FROM texts),
+cuts AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+cut AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM cuts)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+def _vector_rounds(rounds: int, parts: int, entries: int) -> str:
+    """Assignments a0 .. a{rounds}, each from all distances, and the codebooks b0 .. b{rounds} between them."""
+    steps = [
+        f"b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, comp FROM parts"
+        f" WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT {entries}))"
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS (SELECT vec_id, part, min(pair[1]) AS dist, arg_min(pair[2], pair) AS entry FROM (SELECT vec_id, p.part AS part,"
+            f" [list_sum(list_transform(list_zip(p.comp, b{r}.comp), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, entry] AS pair"
+            f" FROM parts p JOIN b{r} ON p.part = b{r}.part) GROUP BY vec_id, part)"
+        )
+        if r < rounds:
+            steps.append(
+                f"m{r} AS (SELECT part, entry, list(mean ORDER BY place) AS comp FROM (SELECT part, entry, place, (s - ((s % n) + n) % n) // n AS mean FROM ("
+                f"SELECT part, entry, place, sum(v)::BIGINT AS s, count(*) AS n FROM (SELECT part, entry, unnest(comp) AS v, generate_subscripts(comp, 1) AS place"
+                f" FROM parts JOIN a{r} USING (vec_id, part)) GROUP BY ALL)) GROUP BY part, entry),\n"
+                f"b{r + 1} AS (SELECT part, entry, coalesce(m{r}.comp, b{r}.comp) AS comp FROM b{r} LEFT JOIN m{r} USING (part, entry))"
+            )
+    return ",\n".join(steps)
+
+
+OP12 = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS (SELECT vec_id, part, v[(part * len(v) // 16 + 1):((part + 1) * len(v) // 16)] AS comp FROM kept, range(16) t(part)),
+{_vector_rounds(2, 16, 64)},
+codes AS (SELECT vec_id, string_agg(lpad(to_hex(entry), 2, '0'), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM a2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) AS digest
+  FROM (SELECT part, entry, unnest(comp) AS v, generate_subscripts(comp, 1) AS place FROM b2))
+SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256
+FROM codes JOIN kept USING (vec_id), books
+"""
+
+#: Sources by the ratio of limit to weight: those whose limit is below what the level after them would give stop at it.
+OP13 = f"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORDS}'))::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight FROM sources),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source_size::DOUBLE / weight, source) AS k FROM weighed),
+levels AS (SELECT k, (sum(source_size) OVER ())::BIGINT - coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS rest,
+  (sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS shares, 3 * source_size AS most, weight FROM ranked),
+level AS (SELECT rest, shares FROM levels WHERE most::HUGEINT * shares > weight::HUGEINT * rest ORDER BY k LIMIT 1),
+targets AS (SELECT source, source_size, CASE WHEN rest IS NULL OR 3 * source_size::HUGEINT * shares <= weight::HUGEINT * rest THEN (3 * source_size)::DOUBLE
+  ELSE weight::DOUBLE * rest::DOUBLE / shares::DOUBLE END AS target FROM weighed LEFT JOIN level ON true),
+rated AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM (SELECT *, (floor(rate)
+  + (('0x' || substr(sha256('13:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate))::INTEGER)::INTEGER AS copies FROM rated)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": OP1, "op2_line_dedup": OP2, "op4_near_dedup": OP4, "op6_chat_format": OP6}
+    return {"op1_sharding": OP1, "op2_line_dedup": OP2, "op4_near_dedup": OP4, "op6_chat_format": OP6} | {
+        "op11_fill_middle": OP11, "op12_vector_codes": OP12, "op13_mixing": OP13,
+    }

@@ -8,13 +8,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, decontaminate, line_dedup, near_dedup, quality_model, quality_rules, sharding, suffix_dedup, token_store
+from tidemark.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    fill_middle,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_model,
+    quality_rules,
+    sharding,
+    suffix_dedup,
+    token_store,
+    vector_codes,
+)
 from tidemark.session import materialize, scratch_dir
 
 SHARDS = 8
 BYTE_LEVEL, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 END_ID = 0
 KEPT_SCORE = 0.3
+#: Sources take these in turn, in the order of code points.
+SOURCE_WEIGHTS = (5, 2, 1)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +129,34 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    read_back = fill_middle.restored(fill_middle.fill_in_middle(docs).drop("text"))
+    return read_back.select(
+        "doc_id",
+        F.col("n_lines").alias("n"),
+        "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = vector_codes.compress(_table(spark, sf_dir, "embeddings"), carry=("label",))
+    codes = materialize(made.codes.select("vec_id", "label", "code", "error"))
+    errors = codes.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    return codes.join(errors, F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(made.digest()).alias("codebooks_sha256")
+    )
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.mix_plan(docs, SOURCE_WEIGHTS)
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken, "copies")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -125,4 +169,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_token_store": op9_token_store,
         "op10_bpe": op10_bpe,
+        "op11_fill_middle": op11_fill_middle,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_mixing": op13_mixing,
     }
