@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import numpy as np
 import pandas as pd
@@ -7,13 +8,25 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import finite, ratio, winsorize
 from tidemark.functions.frames import Trailing, leading, log_change, previous
+from tidemark.functions import groups
 from tidemark.functions.groups import (
     attach_daily,
     broadcast_daily,
+    by_count,
+    by_day,
+    by_fraction,
+    by_letter,
+    by_price,
+    by_stamp,
     first_row,
+    least_row,
 )
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def panel(spark, seed=0, n=60, names=("A", "B")):
     rng = np.random.default_rng(seed)
     rows = []
@@ -83,10 +96,55 @@ def test_first_row_does_not_depend_on_row_order(spark):
     rows = [("a", 2.0, 1.0, "x"), ("a", 1.0, 9.0, "y"), ("a", 1.0, 3.0, "z"), ("b", 5.0, 5.0, "w")]
     for order in (rows, rows[::-1]):
         df = spark.createDataFrame(order, "k string, d double, s double, v string")
-        got = first_row(df, ["k"], [F.col("d"), F.col("s")], ["v"]).collect()
+        got = least_row(df, ["k"], [F.col("d"), F.col("s")], ["v"]).collect()
         assert {(r.k, r.v) for r in got} == {("a", "z"), ("b", "w")}
 
 
+def test_packed_orders_pick_the_row_that_sorting_picks(spark):
+    drawn = random.Random(7)
+    rows = []
+    for i in range(900):
+        rows.append((
+            f"k{drawn.randrange(40)}", drawn.choice([None, 0.0, 0.25, 0.5 - 2**-30, abs(drawn.uniform(0.25, 0.75) - 0.5)]),
+            drawn.choice([None, 95.0, 97.5, 100.001, 100.002]), dt.date(1999 + drawn.randrange(3), 2, 28),
+            dt.datetime(2024, 1, drawn.randint(1, 3), drawn.randrange(24), 0, 0, drawn.randrange(3)), drawn.choice("CP"), i,
+        ))
+    df = spark.createDataFrame(rows, "k string, x double, p double, d date, t timestamp_ntz, r string, v int")
+    orders = {
+        "x p": [by_fraction(F.col("x")), by_price("p")],
+        "p r v": [by_price("p"), by_letter("r"), by_count("v", 20)],
+        "d t": [by_day("d"), by_stamp("t", "timestamp_ntz")],
+        "-t -v": [groups.last(by_stamp("t", "timestamp_ntz")), groups.last(by_count("v", 31))],
+        "v": [by_count("v", 20)],
+    }
+    place = {c: i for i, c in enumerate(df.columns)}
+    for spec, order in orders.items():
+
+        def rank(row, names=tuple(spec.split())):
+            out = []
+            for name in names:
+                value = row[place[name.strip("-")]]
+                if name[0] == "-":
+                    value = None if value is None else -(value if isinstance(value, int) else (value - dt.datetime(1970, 1, 1)).total_seconds())
+                    out.append((value is None, value or 0))
+                else:
+                    out.append((value is not None, value if value is not None else 0))
+            return tuple(out)
+
+        least = {}
+        for row in rows:
+            least.setdefault(row[0], []).append(rank(row))
+        fixed = ["x", "p", "d", "t", "v"]
+        got = first_row(df, ["k"], order, fixed)
+        assert plan_of(got).count("SortAggregate") == 0 and "HashAggregate" in plan_of(got)
+        found = {r["k"]: r for r in got.collect()}
+        assert {k: min(v) for k, v in least.items()} == {k: rank(rows[r["v"]]) for k, r in found.items()}
+        again = {r["k"]: r for r in first_row(df.repartition(7), ["k"], order, fixed).collect()}
+        assert again == found and all(tuple(r[c] for c in fixed) == tuple(rows[r["v"]][place[c]] for c in fixed) for r in found.values())
+    with pytest.raises(ValueError, match="too wide"):
+        groups.order_number([by_count("v", 62)] * 3, [])
+
+
 def test_daily_statistics_are_broadcast_and_refuse_unbounded_keys(spark):
     pdf, df = panel(spark, 2)
     out = attach_daily(df, F.avg("y").alias("m"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import DAYS_PER_YEAR, dtype_of, market_date, ratio
+from tidemark.functions.groups import by_count, by_stamp, first_row, last
 from tidemark.operators.pricing import vol_point_move
 from tidemark.sources.tables import CONTRACT_KEYS, OPTION_EXTRAS, STOCK_EXTRAS
 
@@ -151,8 +152,9 @@ def canonical_open_interest(
         *keep,
     )
     keys = [*CONTRACT_KEYS, *keep]
-    last = rows.groupBy(*keys).agg(F.max(F.struct("_late", "oi")).alias("last"))
-    return last.select(*CONTRACT_KEYS, F.col("last.oi").alias("oi"), *keep)
+    arrived = by_stamp("_late", dtype_of(rows, "_late")) if arrival is None else by_count("_late", 62)
+    best = first_row(rows, keys, [last(arrived), last(by_count("oi", 62))], keep=["oi"])
+    return best.select(*CONTRACT_KEYS, "oi", *keep)
 
 
 def canonical_stock(raw: DataFrame) -> DataFrame:

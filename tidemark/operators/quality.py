@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.groups import first_row
+from tidemark.functions.groups import least_row
 from tidemark.functions.columns import ratio
 
 
@@ -45,9 +45,7 @@ def symbology_check(
     two series are compared over the days both have, within the year. Too few common days
     come before any other verdict.
     """
-    mapping = first_row(
-        names.select("option_symbol", "yahoo_symbol"), ["option_symbol"], [], ["yahoo_symbol"]
-    )
+    mapping = least_row(names.select("option_symbol", "yahoo_symbol"), ["option_symbol"])
     named = spots.join(
         mapping.withColumnRenamed("option_symbol", "symbol"), "symbol", "inner"
     ).withColumn("year", F.year("date"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR, ratio
 from tidemark.functions.frames import Trailing, leading, previous, spread
-from tidemark.functions.groups import first_row
+from tidemark.functions.groups import by_day, by_letter, by_price, first_row
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ def spot_panel(chain: DataFrame, actions: DataFrame | None = None) -> DataFrame:
             "date", "symbol", F.col("underlying").alias("close"), "expiration", "strike", "right"
         ),
         ["date", "symbol"],
-        [F.col("expiration"), F.col("strike"), F.col("right")],
+        [by_day("expiration"), by_price("strike"), by_letter("right")],
         keep=["close"],
     )
     if actions is None:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import dtype_of, market_clock
-from tidemark.functions.groups import first_row
+from tidemark.functions.groups import first_row, least_row
 from tidemark.operators.symbols import spelled
 
 # The exchange's hours as fractions of a day's hours.
@@ -81,7 +81,7 @@ def earnings_table(announcements: DataFrame) -> DataFrame:
         "announced_at",
         *[F.col(c).cast("double").alias(c) for c in ("eps_estimate", "reported_eps", "surprise_pct")],
     )
-    return first_row(rows, ["symbol", "date"], [F.col("announced_at")])
+    return least_row(rows, ["symbol", "date"], [F.col("announced_at")])
 
 
 def _percent(df: DataFrame, keys: list[str], value: str, source: str) -> DataFrame:

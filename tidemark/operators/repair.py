@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import days_between, dtype_of, market_date, moneyness
-from tidemark.functions.groups import first_row
+from tidemark.functions.groups import by_stamp, first_row, last
 from tidemark.operators.canonical import as_date, short_right, valid_iv
 from tidemark.sources.tables import CONTRACT_KEYS
 
@@ -87,13 +87,9 @@ def last_bars(bars: DataFrame) -> DataFrame:
     keyed = bars.withColumn("_day", market_date("timestamp", dtype_of(bars, "timestamp")))
     keys = ["symbol", "_day", "expiration", "strike", "right"]
     values = [c for c in bars.columns if c not in keys]
-    # structs compare field by field, so the stamp decides and the rest only breaks ties
-    packed = F.struct("timestamp", *[F.col(f"`{v}`") for v in values if v != "timestamp"])
-    best = keyed.groupBy(*keys).agg(F.max(packed).alias("best"))
-    return best.select(
-        *[k for k in keys if k != "_day"],
-        *[F.col("best").getField(v).alias(v) for v in values],
-    ).select(*[F.col(f"`{c}`") for c in bars.columns])
+    latest = last(by_stamp("timestamp", dtype_of(bars, "timestamp")))
+    best = first_row(keyed, keys, [latest], keep=values)
+    return best.select(*[F.col(f"`{c}`") for c in bars.columns])
 
 
 def build_patch(bars: DataFrame, vega_scale: float | Column = 0.01) -> DataFrame:

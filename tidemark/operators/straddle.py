@@ -16,7 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import days_between, moneyness, ratio
-from tidemark.functions.groups import broadcast_daily, first_row
+from tidemark.functions.groups import (
+    broadcast_daily,
+    by_count,
+    by_day,
+    by_fraction,
+    by_price,
+    first_row,
+)
 from tidemark.session import materialize
 
 CONTRACT_MULTIPLIER = 100
@@ -88,10 +95,10 @@ def _picks(units: DataFrame, config: StraddleConfig) -> DataFrame:
         pairs,
         ["date", "symbol"],
         [
-            F.abs(dte - F.lit(config.target_dte)),
-            -dte,
-            moneyness("strike", "quote_spot"),
-            F.col("strike"),
+            # the distance from the target, and of two alike the longer maturity
+            by_count(2 * F.abs(dte - config.target_dte) + (dte < config.target_dte).cast("int"), 24),
+            by_fraction(moneyness("strike", "quote_spot")),
+            by_price("strike"),
         ],
         keep=["expiration", "strike"],
     )
@@ -277,7 +284,7 @@ def reference_path(
     day_spot = first_row(
         units.select("date", "symbol", "expiration", "strike", F.col("first_spot").alias("day_spot")),
         ["date", "symbol"],
-        [F.col("expiration"), F.col("strike")],
+        [by_day("expiration"), by_price("strike")],
         keep=["day_spot"],
     )
     entries = materialize(

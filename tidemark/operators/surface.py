@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, days_between, finite
-from tidemark.functions.groups import first_row
+from tidemark.functions.groups import by_fraction, by_price, first_row
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,9 @@ def atm_pillars(chain: DataFrame, config: SurfaceConfig = SurfaceConfig()) -> Da
     nearest = first_row(
         usable,
         ["date", "symbol", "expiration", "right"],
-        [F.abs(F.abs("delta") - F.lit(0.5)), F.col("strike")],
-        keep=["iv", "dte"],
-    )
+        [by_fraction(F.abs(F.abs("delta") - F.lit(0.5))), by_price("strike")],
+        keep=["iv"],
+    ).withColumn("dte", days_between("expiration", "date"))
     # one row per right is left, so counting rows counts distinct rights
     return (
         nearest.groupBy("date", "symbol", "expiration")
@@ -53,24 +53,25 @@ def atm_pillars(chain: DataFrame, config: SurfaceConfig = SurfaceConfig()) -> Da
 
 def _vol_at(tenor: int, extrapolate: bool) -> Column:
     """iv at `tenor` days from the bracketing pillars of one group, as an aggregate."""
-    good = F.col("_good")
-    days = F.col("_days")
-    pillar = F.struct(days.alias("t"), (F.pow("_iv", F.lit(2.0)) * days).alias("tv"), F.col("_iv"))
-    below = F.max(F.when(good & (days <= tenor), pillar))
-    above = F.min(F.when(good & (days >= tenor), pillar))
-    span = above["t"] - below["t"]
-    blend = F.when(span == 0, below["tv"]).otherwise(
-        below["tv"]
-        + (above["tv"] - below["tv"]) * F.try_divide(F.lit(float(tenor)) - below["t"], span)
+    days = F.when(F.col("_good"), F.col("_days"))
+    # a maturity is there once, so the day alone picks its vol; numbers keep the aggregate hashed
+    before, after = F.when(days <= tenor, days), F.when(days >= tenor, days)
+    t_below, t_above = F.max(before), F.min(after)
+    iv_below, iv_above = F.max_by("_iv", before), F.min_by("_iv", after)
+    tv_below = F.pow(iv_below, F.lit(2.0)) * t_below
+    tv_above = F.pow(iv_above, F.lit(2.0)) * t_above
+    span = t_above - t_below
+    blend = F.when(span == 0, tv_below).otherwise(
+        tv_below + (tv_above - tv_below) * F.try_divide(F.lit(float(tenor)) - t_below, span)
     )
     inside = F.sqrt(F.greatest(blend, F.lit(0.0)) / F.lit(float(tenor)))
+    bracketed = t_below.isNotNull() & t_above.isNotNull()
     # a lone pillar on the tenor is returned as it stands
-    exact = F.when((F.count(F.when(good, days)) == 1) & below.isNotNull() & above.isNotNull(),
-                   below["_iv"])
-    value = F.when(below.isNotNull() & above.isNotNull(), F.coalesce(exact, inside))
+    exact = F.when((F.count(days) == 1) & bracketed, iv_below)
+    value = F.when(bracketed, F.coalesce(exact, inside))
     if not extrapolate:
         return value
-    return F.coalesce(value, below["_iv"], above["_iv"])
+    return F.coalesce(value, iv_below, iv_above)
 
 
 def tenor_columns(
