@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import finite, ratio, winsorize
-from tidemark.functions.frames import Trailing, leading, log_change, previous
-from tidemark.functions import groups
+from tidemark.functions.frames import Stat, Trailing, leading, log_change, previous, rolled
+from tidemark.functions import frames, groups
 from tidemark.functions.groups import (
     attach_daily,
     broadcast_daily,
@@ -155,3 +155,56 @@ def test_daily_statistics_are_broadcast_and_refuse_unbounded_keys(spark):
     np.testing.assert_allclose(got["m"], got["date"].map(want))
     with pytest.raises(TypeError):
         broadcast_daily(df.groupBy("symbol").count(), "symbol")
+
+
+STATS = {
+    "mean": Stat("mean", "x"), "sum": Stat("sum", "x"), "std": Stat("std", "x"), "var": Stat("var", "y"),
+    "cov": Stat("cov", "x", "y"), "beta": Stat("beta", "y", "x"), "n": Stat("count", "x"),
+}
+
+
+@pytest.mark.parametrize(("rows", "floor", "skip"), [(25, 5, 0), (30, None, 0), (40, 3, 7), (100, 10, 0), (25, None, -25)])
+def test_frames_by_blocks_are_those_added_up_row_by_row(spark, monkeypatch, rows, floor, skip):
+    monkeypatch.setattr(frames, "SHORT", 0)
+    _, df = panel(spark, 3, 137)
+    trail = Trailing(rows, floor, skip=skip)
+    got = rolled(df, trail, **STATS).toPandas().sort_values(["symbol", "date"])
+    want = df.select("*", *[s.plain(trail).alias(n) for n, s in STATS.items()]).toPandas().sort_values(["symbol", "date"])
+    assert list(got.columns) == [*df.columns, *STATS]
+    for name in STATS:
+        if name == "n" and skip:
+            continue
+        np.testing.assert_allclose(got[name], want[name], rtol=1e-9, atol=1e-12)
+    if skip < 0:
+        with pytest.raises(ValueError, match="full"):
+            rolled(df, Trailing(rows, 3, skip=skip), **STATS)
+
+
+def test_an_outlier_counts_while_it_is_in_the_frame_and_no_longer(spark, monkeypatch):
+    monkeypatch.setattr(frames, "SHORT", 0)
+    rng = np.random.default_rng(1)
+    n, window = 400, 50
+    x = 5.0 + rng.normal(0, 1e-3, n)
+    x[20], x[200] = 1e8, float("inf")
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=i), float(v), float(-v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "symbol string, date date, x double, y double")
+    got = rolled(df, Trailing(window), **STATS).orderBy("date").toPandas()
+    with np.errstate(invalid="ignore"):
+        for i in range(window - 1, n):
+            part = x[i - window + 1 : i + 1]
+            if np.isinf(part).any():
+                assert not np.isfinite(got["var"][i])
+                continue
+            assert got["var"][i] == pytest.approx(part.var(ddof=1), rel=1e-6)
+            assert got["std"][i] == pytest.approx(part.std(ddof=1), rel=1e-6)
+            assert got["mean"][i] == pytest.approx(part.mean(), rel=1e-12)
+            assert got["cov"][i] == pytest.approx(-part.var(ddof=1), rel=1e-6)
+            assert got["beta"][i] == pytest.approx(-1.0, rel=1e-6)
+    assert got["std"][300] < 2e-3 and got["std"][120] < 2e-3
+
+
+def test_frames_by_blocks_cost_one_exchange(spark):
+    _, df = panel(spark, 4)
+    trail = Trailing(90)
+    plan = plan_of(rolled(rolled(df.repartition(4, "symbol"), trail, a=Stat("std", "x")), trail, b=Stat("mean", "a")))
+    assert plan.count("Exchange") == 1

@@ -82,10 +82,14 @@ def by_stamp(c: str | Column, dtype: str) -> Whole:
     """Microseconds of a stamp with or without a zone, from year 1 on; `dtype` is its Spark type."""
     if dtype == "timestamp":
         return Whole(F.unix_micros(col(c)) + F.lit(1 << 56), 59)
-    second = F.date_part(F.lit("SECONDS"), col(c)) * 1_000_000
-    clock = (F.hour(col(c)) * 3600 + F.minute(col(c)) * 60).cast("bigint") * 1_000_000 + second.cast("bigint")
     days = (F.unix_date(F.to_date(col(c))) + _YEAR_1).cast("bigint")
-    return Whole(days * 86_400_000_000 + clock, 59)
+    return Whole(days * 86_400_000_000 + by_clock(c).column, 59)
+
+
+def by_clock(c: str | Column) -> Whole:
+    """Microseconds into the day of a stamp without a zone, for groups that are of one day."""
+    second = F.date_part(F.lit("SECONDS"), col(c)) * 1_000_000
+    return Whole((F.hour(col(c)) * 3600 + F.minute(col(c)) * 60).cast("bigint") * 1_000_000 + second.cast("bigint"), 37)
 
 
 def last(key: Whole) -> Whole:
@@ -95,7 +99,7 @@ def last(key: Whole) -> Whole:
 
 
 #: Bits of a signed long, and of a 38-digit decimal, that an order can take; least bits for the tie-break.
-_LONG, _DECIMAL, _TIE = 62, 126, 32
+_LONG, _DECIMAL, _TIE = 62, 126, 24
 
 
 def order_number(order: Sequence[Whole], values: Sequence[str]) -> Column:
@@ -134,11 +138,10 @@ def first_row(
     order, any one row is taken, and the least value where a single column is kept.
     """
     values = list(keep) if keep is not None else [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*[col(k) for k in keys])
     if not order and len(values) == 1:
-        return grouped.agg(F.min(col(values[0])).alias(values[0]))
-    at = order_number(order, values)
-    return grouped.agg(*[F.min_by(col(v), at).alias(v) for v in values])
+        return df.groupBy(*[col(k) for k in keys]).agg(F.min(col(values[0])).alias(values[0]))
+    at = df.select(*[col(c) for c in {*keys, *values}], order_number(order, values).alias("_order"))
+    return at.groupBy(*[col(k) for k in keys]).agg(*[F.min_by(col(v), "_order").alias(v) for v in values])
 
 
 def least_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = (), keep: Sequence[str] | None = None) -> DataFrame:

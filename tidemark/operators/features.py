@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR
-from tidemark.functions.frames import Trailing, previous, spread
+from tidemark.functions.frames import Stat, Trailing, previous, rolled, spread
 from tidemark.operators.realized_vol import split_adjusted_return
 
 
@@ -34,31 +34,24 @@ def stock_features(
         "date", "symbol", split_adjusted_return().alias("ret")
     )
     joined = returns.join(market, "date", "inner")
-    with_beta = joined.withColumn("beta", Trailing(config.beta_window).beta("ret", "market_return"))
-    parts = with_beta.select(
+    with_beta = rolled(joined, Trailing(config.beta_window), beta=Stat("beta", "ret", "market_return"))
+    scaled = rolled(with_beta, Trailing(config.gap_sigma_window), sigma=Stat("std", "ret"))
+    parts = scaled.select(
         "date",
         "symbol",
         "ret",
         "beta",
         (F.col("ret") - F.col("beta") * F.col("market_return")).alias("residual"),
-        Trailing(config.gap_sigma_window).std("ret").alias("sigma"),
+        "sigma",
     )
     gap = F.abs("ret") > F.lit(config.gap_threshold) * previous("sigma")
-    flagged = parts.select(
+    flagged = parts.withColumn("gap", gap.cast("double"))
+    own = rolled(flagged, Trailing(config.idio_window), daily_vol=Stat("std", "residual"))
+    return rolled(own, Trailing(config.gap_window), gap_freq=Stat("mean", "gap")).select(
         "date",
         "symbol",
         "ret",
         "beta",
-        (Trailing(config.idio_window).std("residual") * F.lit(SESSIONS_PER_YEAR**0.5)).alias(
-            "idio_vol"
-        ),
-        gap.cast("double").alias("gap"),
-    )
-    return flagged.select(
-        "date",
-        "symbol",
-        "ret",
-        "beta",
-        "idio_vol",
-        Trailing(config.gap_window).mean("gap").alias("gap_freq"),
+        (F.col("daily_vol") * F.lit(SESSIONS_PER_YEAR**0.5)).alias("idio_vol"),
+        "gap_freq",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import SESSIONS_PER_YEAR, ratio
-from tidemark.functions.frames import Trailing, leading, previous, spread
+from tidemark.functions.frames import Stat, Trailing, leading, previous, rolled, spread
 from tidemark.functions.groups import by_day, by_letter, by_price, first_row
 
 
@@ -68,14 +68,15 @@ def realized_vol(
         "date", "symbol", F.pow(split_adjusted_return(), F.lit(2.0)).alias("squared")
     )
     annual = lambda c: F.sqrt(c * F.lit(SESSIONS_PER_YEAR))
-    return squared.select(
+    out = squared
+    for n in config.windows:
+        out = out.withColumn("_1", F.col("squared")) if n == 1 else rolled(out, Trailing(n), **{f"_{n}": Stat("mean", "squared")})
+    out = rolled(out, leading(config.forward_window), _ahead=Stat("mean", "squared"))
+    return out.select(
         "date",
         "symbol",
-        *[
-            annual(F.col("squared") if n == 1 else Trailing(n).mean("squared")).alias(f"rv_{n}")
-            for n in config.windows
-        ],
-        annual(leading(config.forward_window).mean("squared")).alias("rv_fwd"),
+        *[annual(F.col(f"_{n}")).alias(f"rv_{n}") for n in config.windows],
+        annual(F.col("_ahead")).alias("rv_fwd"),
     )
 
 

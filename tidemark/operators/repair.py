@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import days_between, dtype_of, market_date, moneyness
-from tidemark.functions.groups import by_stamp, first_row, last
+from tidemark.functions.columns import days_between, dtype_of, market_clock, market_date, moneyness
+from tidemark.functions.groups import by_clock, first_row, last
 from tidemark.operators.canonical import as_date, short_right, valid_iv
 from tidemark.sources.tables import CONTRACT_KEYS
 
@@ -87,7 +87,7 @@ def last_bars(bars: DataFrame) -> DataFrame:
     keyed = bars.withColumn("_day", market_date("timestamp", dtype_of(bars, "timestamp")))
     keys = ["symbol", "_day", "expiration", "strike", "right"]
     values = [c for c in bars.columns if c not in keys]
-    latest = last(by_stamp("timestamp", dtype_of(bars, "timestamp")))
+    latest = last(by_clock(market_clock("timestamp", dtype_of(bars, "timestamp"))))
     best = first_row(keyed, keys, [latest], keep=values)
     return best.select(*[F.col(f"`{c}`") for c in bars.columns])
 

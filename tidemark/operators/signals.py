@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio, winsorize
-from tidemark.functions.frames import Trailing, spread
+from tidemark.functions.frames import Stat, Trailing, rolled, spread
 from tidemark.functions.groups import attach_daily, broadcast_daily
 from tidemark.functions.least_squares import fit, gram_columns
 from tidemark.operators.risk import one_sector
@@ -162,13 +162,7 @@ def iv_zscore_signal(surface: DataFrame, config: SignalConfig = SignalConfig())
         surface.where((F.col("symbol") != MARKET_ROOT) & (F.col(iv) > 0))
         .select("date", "symbol", F.ln(iv).alias("level"))
         .transform(spread, "symbol")
-        .select(
-            "date",
-            "symbol",
-            "level",
-            trail.mean("level").alias("mean"),
-            trail.std("level").alias("std"),
-        )
+        .transform(rolled, trail, mean=Stat("mean", "level"), std=Stat("std", "level"))
         .where(F.col("std") > 0)
         .select(
             "date",
@@ -186,7 +180,8 @@ def momentum_signal(reference: DataFrame, config: SignalConfig = SignalConfig())
     past = materialize(
         reference.where(F.col("symbol") != MARKET_ROOT)
         .transform(spread, "symbol")
-        .select("date", "symbol", trail.sum("pnl_per_vega").alias("past"))
+        .transform(rolled, trail, past=Stat("sum", "pnl_per_vega"))
+        .select("date", "symbol", "past")
         .where(F.col("past").isNotNull())
     )
     return daily_zscore(past, "past", "z", config.min_names).select(

@@ -380,12 +380,12 @@ def dense_factors(v: Views) -> DataFrame:
 @query
 def sample_covariances(v: Views) -> DataFrame:
     spec = risk.FactorSpec(SPEC.window, SPEC.min_observations, shrinkage=False)
-    return rounded(risk.rolling_covariances(_factors(v), spec))
+    return rounded(risk.rolling_covariances(materialize(_factors(v)), spec))
 
 
 @query
 def factor_covariances(v: Views) -> DataFrame:
-    return rounded(risk.rolling_covariances(_factors(v), SPEC))
+    return rounded(risk.rolling_covariances(materialize(_factors(v)), SPEC))
 
 
 # --- forecast ----------------------------------------------------------------------------------------
