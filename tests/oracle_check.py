@@ -87,7 +87,7 @@ def main() -> None:
         try:
             ok, note = compare(spark, con, name, sf_dir)
         except Exception as error:  # noqa: BLE001
-            ok, note = False, f"{type(error).__name__}: {str(error)[:1500]}"
+            ok, note = False, f"{type(error).__name__}: {str(error)[:300]}"
         print("ok  " if ok else "BAD ", name, note, flush=True)
         if not ok:
             bad.append(name)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import MARKET_ZONE
@@ -65,5 +67,16 @@ def market_date(stamp: str | Column, dtype: str, zone: str = MARKET_ZONE) -> Col
     return F.to_date(market_clock(stamp, dtype, zone))
 
 
+def in_window(
+    df: DataFrame, start: date | None = None, end: date | None = None, column: str = "date"
+) -> DataFrame:
+    """Rows dated in the inclusive window; either bound may be open. Of another `column`, its values."""
+    if start is not None:
+        df = df.where(F.col(column) >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col(column) <= F.lit(end))
+    return df
+
+
 def dtype_of(df, name: str) -> str:
     return dict(df.dtypes)[name]

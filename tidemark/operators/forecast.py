@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import finite
@@ -29,7 +30,7 @@ def refit_dates(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy(F.trunc("date", "MM").alias("month")).agg(F.min("date").alias("date")).select("date")
 
 
-def har_rows(panel: DataFrame, config: HARConfig = HARConfig()) -> DataFrame:
+def har_rows(panel: DataFrame, config: HARConfig = HARConfig(), *keep: str) -> DataFrame:
     """Usable rows with log features `x_*` and the target `y`, null until it is known."""
     usable = None
     for f in config.features:
@@ -39,11 +40,36 @@ def har_rows(panel: DataFrame, config: HARConfig = HARConfig()) -> DataFrame:
         "date",
         "symbol",
         "in_fit",
+        *keep,
         *[F.ln(f).alias(f"x_{f}") for f in config.features],
         F.when(F.col("rv_fwd") > 0, F.ln(F.pow("rv_fwd", F.lit(2.0)))).alias("y"),
     )
 
 
+def _grams(config: HARConfig) -> dict[str, Column]:
+    train = F.col("in_fit") & F.col("y").isNotNull()
+    return gram_columns([f"x_{f}" for f in config.features], "y", train)
+
+
+def with_closing(panel: DataFrame, config: HARConfig = HARConfig()) -> DataFrame:
+    """`panel` with `closes`: the date on which a row's forward window was full, null until it is."""
+    ahead = Window.partitionBy("symbol").orderBy("date")
+    return panel.withColumn("closes", F.lead("date", config.forward_window).over(ahead))
+
+
+def har_increments(panel: DataFrame, config: HARConfig = HARConfig(), after: date | None = None) -> DataFrame:
+    """`(date, closes, g_*)`: the sums of products of each session's rows, by the date their target became known on.
+
+    `panel` carries `in_fit`. Sums of targets known up to `after` are stored already and left out; what is known
+    of a row on a date does not change later, so the sums of all instalments together are those of one pass. A session
+    without any known target gives a row without sums (`closes` is null) in each instalment.
+    """
+    rows = har_rows(with_closing(panel, config), config, "closes")
+    if after is not None:
+        rows = rows.where(F.col("closes").isNull() | (F.col("closes") > F.lit(after)))
+    return rows.groupBy("date", "closes").agg(*[g.alias(name) for name, g in _grams(config).items()])
+
+
 def har_coefficients(rows: DataFrame, config: HARConfig = HARConfig()) -> DataFrame:
     """`(date, rows, const, residual_var, b_rv_*)`: one fit per refit date with enough rows.
 
@@ -51,10 +77,14 @@ def har_coefficients(rows: DataFrame, config: HARConfig = HARConfig()) -> DataFr
     earlier. Products are summed per session, then accumulated over sessions; from there
     on the data are one row per session, whatever the number of names.
     """
+    return fits_from_sums(rows.groupBy("date").agg(*[g.alias(name) for name, g in _grams(config).items()]), config)
+
+
+def fits_from_sums(sums: DataFrame, config: HARConfig = HARConfig()) -> DataFrame:
+    """The fits from sums of products (`har_increments`, all instalments stored so far), whatever rows they stand in."""
     x = [f"x_{f}" for f in config.features]
-    train = F.col("in_fit") & F.col("y").isNotNull()
-    grams = gram_columns(x, "y", train)
-    daily = rows.groupBy("date").agg(*[g.alias(name) for name, g in grams.items()])
+    grams = _grams(config)
+    daily = sums.groupBy("date").agg(*[F.sum(name).alias(name) for name in grams])
     sessions = Window.orderBy("date")  # one row per session
     known = sessions.rowsBetween(Window.unboundedPreceding, -config.forward_window)
     opens = F.lag("date").over(sessions)

@@ -26,23 +26,20 @@ def tidy_prices(
     The landed columns are named `<field>|<ticker>`; `fields` maps a field to its output name.
     Rows without a close leave.
     """
-    rows = [
-        F.struct(
-            F.lit(t).alias("yahoo_symbol"),
-            *[
-                (
-                    F.col(f"`{f}|{t}`").cast("double")
-                    if f"{f}|{t}" in wide.columns
-                    else F.lit(None).cast("double")
-                ).alias(out)
-                for f, out in fields.items()
-            ],
-        )
-        for t in tickers
-    ]
-    tall = wide.select(F.to_date(date).alias("date"), F.explode(F.array(*rows)).alias("r"))
+    there, none = set(wide.columns), F.lit(None).cast("double")
+    if not tickers:
+        empty = [none.alias(out) for out in fields.values()]
+        return wide.select(F.lit("").alias("yahoo_symbol"), F.to_date(date).alias("date"), *empty).where(F.lit(False))
+    # one array per field, generated by position: the names travel once, not with each row
+    lists = {out: F.array(*[F.col(f"`{f}|{t}`").cast("double") if f"{f}|{t}" in there else none for t in tickers]) for f, out in fields.items()}
+    first, *others = fields.values()
+    held = wide.select(F.to_date(date).alias("date"), *[c.alias(f"_{out}") for out, c in lists.items()])
+    tall = held.select("date", F.posexplode(f"_{first}").alias("_at", first), *[f"_{out}" for out in others])
     return tall.select(
-        "r.yahoo_symbol", "date", *[f"r.{out}" for out in fields.values()]
+        F.get(F.lit(list(tickers)), F.col("_at")).alias("yahoo_symbol"),
+        "date",
+        first,
+        *[F.get(f"_{out}", F.col("_at")).alias(out) for out in others],
     ).where(F.col("yahoo_close").isNotNull())
 
 

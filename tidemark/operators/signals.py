@@ -51,7 +51,7 @@ def variance_premium(surface: DataFrame, forecast: DataFrame, tenor: int = 60) -
     iv = f"iv{tenor}"
     return (
         surface.select("date", "symbol", iv)
-        .join(forecast.select("date", "symbol", "rv_fcst"), ["date", "symbol"], "inner")
+        .join(forecast.select("date", "symbol", "rv_fcst"), ["symbol", "date"], "inner")
         .where((F.col(iv) > 0) & (F.col("rv_fcst") > 0))
         .select("date", "symbol", (F.ln(iv) - F.ln("rv_fcst")).alias("vrp"))
     )

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, in_window
 
 # Tickers another source lists under a different name, and tickers it does not serve.
 TICKER_OVERRIDES = {"stock": {"BNY": "BK"}, "option": {"BNY": "BK"}, "yahoo": {}}
@@ -33,17 +33,6 @@ def spelled(
     return F.replace(renamed, F.lit("."), F.lit(DOT[asset]))
 
 
-def in_window(
-    df: DataFrame, start: date | None = None, end: date | None = None, column: str = "date"
-) -> DataFrame:
-    """Rows dated in the inclusive window; either bound may be open."""
-    if start is not None:
-        df = df.where(F.col(column) >= F.lit(start))
-    if end is not None:
-        df = df.where(F.col(column) <= F.lit(end))
-    return df
-
-
 def universe_tickers(
     universe: DataFrame, start: date | None = None, end: date | None = None
 ) -> DataFrame:

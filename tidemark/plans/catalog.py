@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,16 +15,20 @@ from tidemark.operators import straddle, surface, symbols, universe
 from tidemark.operators.features import stock_features
 from tidemark.operators.forecast import (
     HARConfig,
+    fits_from_sums,
     har_coefficients,
     har_forecast,
+    har_increments,
     har_rows,
     latest_fit,
     refit_dates,
 )
 from tidemark.operators.pricing import reprice_chain
 from tidemark.operators.realized_vol import market_return, realized_vol, spot_panel
-from tidemark.plans.views import FIELDS, MARKET, Views
+from tidemark.plans import jobs
+from tidemark.plans.views import FIELDS, MARKET, Views, land_files
 from tidemark.session import materialize, scratch_dir
+from tidemark.sources.buckets import read_bucketed, write_bucketed
 from tidemark.sources.landing import relaxed_union
 from tidemark.sources.store import Store
 
@@ -55,6 +59,11 @@ def rounded(df: DataFrame, digits: int = 6, skip: tuple[str, ...] = ()) -> DataF
     )
 
 
+def with_clocks(df: DataFrame, *stamps: str) -> DataFrame:
+    """Stamps as text, so that they compare alike whatever zone a session has."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps})
+
+
 # --- realized vol and features ---------------------------------------------------------------
 
 
@@ -179,8 +188,7 @@ def vega_residuals(v: Views) -> DataFrame:
 
 @query
 def canonical_chain(v: Views) -> DataFrame:
-    rows = canonical.canonical_chain(v.vendor_chain)
-    return rows.drop("timestamp", "underlying_timestamp")
+    return with_clocks(canonical.canonical_chain(v.vendor_chain), "timestamp", "underlying_timestamp")
 
 
 @query
@@ -195,7 +203,7 @@ def open_interest(v: Views) -> DataFrame:
 
 @query
 def canonical_stock(v: Views) -> DataFrame:
-    return canonical.canonical_stock(v.stock_rows).drop("created")
+    return with_clocks(canonical.canonical_stock(v.stock_rows), "created")
 
 
 # --- names, calendar, universe ------------------------------------------------------------------
@@ -530,6 +538,121 @@ def store_pending(v: Views) -> DataFrame:
     return store.pending("underlying", calendar.year_windows(wider).select("year"))
 
 
+WINDOW = (dt.date(1994, 6, 1), dt.date(1996, 5, 31))
+
+
+@query
+def stored_window(v: Views) -> DataFrame:
+    """Prices of seven stored years, of which a window of two years opens three."""
+    store = _scratch_store(v)
+    store.write("underlying", v.spot)
+    return store.scan("underlying", start=WINDOW[0], end=WINDOW[1]).select("date", "symbol", "close", "year")
+
+
+@query
+def bucketed_premium(v: Views) -> DataFrame:
+    """The variance premium of two panels stored by the same buckets of their keys."""
+    left, right = bucketed_panels(v)
+    return rounded(signals.variance_premium(left, right))
+
+
+def bucketed_panels(v: Views, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
+    root = f"{scratch_dir(v.spark)}/tidemark-panels-{uuid.uuid4().hex}"
+    stored = []
+    for name, panel in (("surface", _surface(v)), ("forecast", _forecast(v))):
+        write_bucketed(panel, f"{root}/{name}", buckets=buckets)
+        stored.append(read_bucketed(v.spark, f"{root}/{name}", buckets=buckets))
+    return stored[0], stored[1]
+
+
+@query
+def ingested_chain(v: Views) -> DataFrame:
+    """Landed chain files, one per symbol and year, taken into the store and read back whole.
+
+    From 1996 on the files have one column more, and of each symbol the first session of a year landed with the year before.
+    """
+    source = f"{scratch_dir(v.spark)}/tidemark-landed-{uuid.uuid4().hex}"
+    day = F.to_date("timestamp")
+    first = day == F.min(day).over(Window.partitionBy("symbol", F.year(day)))
+    landed = materialize(v.vendor_chain.withColumn("year", F.year(day) - first.cast("int")))
+    land_files(landed.where("year < 1996"), source, "option_greeks")
+    land_files(landed.where("year >= 1996").withColumn("vanna", F.col("strike") / 2), source, "option_greeks")
+    store = _scratch_store(v)
+    jobs.migrate_chains(store, source, "option_greeks", "option_greeks")
+    return with_clocks(store.scan("option_greeks"), "timestamp", "underlying_timestamp")
+
+
+@query
+def pending_paths(v: Views) -> DataFrame:
+    """Straddle paths of a store that holds those of some symbols already: the job adds the others alone."""
+    store = _scratch_store(v)
+    chain = v.chain.withColumn("year", F.year("date"))
+    store.write("option_greeks", chain.where(F.col("symbol") != MARKET))
+    store.write("index_greeks", chain.where(F.col("symbol") == MARKET))
+    store.write("universe", v.universe.withColumn("symbol", F.replace("ticker", F.lit("."), F.lit(""))))
+    store.write("calendar", v.sessions)
+    days = v.sessions.agg(F.min("date"), F.max("date")).first()
+    done = straddle.reference_path(v.chain.where(F.col("symbol").endswith("1")), v.sessions)
+    # what is stored stays as it is
+    store.write("reference_returns", done.withColumn("entry_vega", -F.col("entry_vega")))
+    jobs.run_reference_returns(store, days[0], days[1])
+    path = store.scan("reference_returns").drop("year")
+    return rounded(path.withColumn("dte", F.col("dte").cast("double")))
+
+
+@query
+def har_instalments(v: Views) -> DataFrame:
+    """The fits from sums of products stored in two instalments, the second on what became known since the first."""
+    path = f"{scratch_dir(v.spark)}/tidemark-sums-{uuid.uuid4().hex}"
+    until = dt.date(1996, 6, 28)
+    for end, after in ((until, None), (None, until)):
+        names = realized_vol(symbols.in_window(v.closes, end=end)).withColumn("in_fit", F.lit(True))
+        market = realized_vol(symbols.in_window(v.market_closes, end=end)).withColumn("in_fit", F.lit(False))
+        har_increments(names.unionByName(market), HAR, after).write.mode("append").parquet(path)
+    return rounded(fits_from_sums(v.spark.read.parquet(path), HAR), 5)
+
+
+@query
+def migrated_tables(v: Views) -> DataFrame:
+    """Old files of two layouts taken into their tables: members from two files of unlike columns, and rates."""
+    source = f"{scratch_dir(v.spark)}/tidemark-old-{uuid.uuid4().hex}"
+    members = v.universe.where("date < DATE'1996-01-01'")
+    members.withColumn("note", F.lit("old")).write.parquet(f"{source}/universe_history.parquet")
+    v.universe.where("date >= DATE'1996-01-01'").write.parquet(f"{source}/universe.parquet")
+    reference_data.tidy_rates(v.rate_rows).write.parquet(f"{source}/rates.parquet")
+    store = _scratch_store(v)
+    fed = jobs.migrate_tables(store, source)
+    pieces = {"universe": F.col("symbol"), "calendar": F.lit(""), "rates": F.col("symbol")}
+    assert fed == list(pieces)
+    out = None
+    for name, symbol in pieces.items():
+        kept = store.read(name).select(F.lit(name).alias("table"), symbol.alias("symbol"), F.year("date").alias("year"))
+        counted = kept.groupBy("table", "symbol", "year").agg(F.count("*").alias("n"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
+@query
+def session_window(v: Views) -> DataFrame:
+    """Sessions of the stored calendar in a window, and whether the store has partitions of their years."""
+    store = _scratch_store(v)
+    store.write("calendar", _calendar(v))
+    store.write("underlying", v.spot.where("date < DATE'1995-01-01'"))
+    stored = [y for y in calendar.years_in(*WINDOW) if store.partition_exists("underlying", year=y)]
+    return calendar.trading_sessions(store.read("calendar"), *WINDOW).select(
+        "date", F.year("date").isin(stored).alias("has_prices")
+    )
+
+
+@query
+def write_order(v: Views) -> DataFrame:
+    """The place of each stored row in its file, by the primary key the writer sorts by."""
+    store = _scratch_store(v)
+    store.write("rates", reference_data.tidy_rates(v.rate_rows).coalesce(1))
+    rows = store.read("rates").select("date", "symbol", F.col("_metadata.row_index").alias("place"), F.col("_metadata.file_path").alias("_file"))
+    return rows.withColumn("place", F.col("place") - F.min("place").over(Window.partitionBy("_file"))).drop("_file")
+
+
 @query
 def price_union(v: Views) -> DataFrame:
     """Two sources of unlike columns stacked by name."""

@@ -82,13 +82,10 @@ WHERE rn = 1
 """)
 cte("v_brand_sectors", "SELECT replace(ticker, '.', '') AS symbol, sector FROM v_constituents")
 cte("v_chain_spot", """
-SELECT symbol, date, underlying FROM (
-  SELECT symbol, date,
-    round(100.0::DOUBLE * avg(close) OVER w / avg(close) OVER (PARTITION BY symbol), 2) AS underlying,
-    count(*) OVER w AS n
-  FROM (SELECT symbol, date, close FROM v_spot UNION ALL SELECT symbol, date, close FROM v_market)
-  WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))
-WHERE n = 60 AND abs(underlying - 100.0::DOUBLE) >= 0.5::DOUBLE
+SELECT symbol, date,
+  round(100.0::DOUBLE * avg(close) OVER w / avg(close) OVER (PARTITION BY symbol), 2) AS underlying
+FROM (SELECT symbol, date, close FROM v_spot UNION ALL SELECT symbol, date, close FROM v_market)
+WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)
 """)
 cte("v_legs", """
 SELECT *, date_diff('day', date, expiration) AS dte FROM (
@@ -98,7 +95,7 @@ SELECT *, date_diff('day', date, expiration) AS dte FROM (
   FROM (SELECT s.*, j, CAST(date_trunc('month', date) + to_months(CAST(j AS INTEGER)) AS DATE) AS m
         FROM v_chain_spot s, range(0, 5) t(j)),
     range(-4, 5) u(k), (VALUES ('C'), ('P')) r("right"))
-WHERE expiration > date
+WHERE expiration > date AND strike > 0
 """)
 cte("v_priced", """
 SELECT *, 0.02::DOUBLE * fair + 0.01::DOUBLE AS half,
@@ -475,7 +472,8 @@ SELECT CAST(stamp AS DATE) AS date, symbol, CAST(expiration AS DATE) AS expirati
   CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END AS iv,
   delta AS delta, gamma AS gamma, theta AS theta, vega * 0.01::DOUBLE AS vega,
   underlying_price AS underlying, volume, implied_vol AS implied_vol, iv_error,
-  0.1::DOUBLE AS rho, 0.2::DOUBLE AS epsilon, 0.3::DOUBLE AS lambda, 0::BIGINT AS bid_size
+  0.1::DOUBLE AS rho, 0.2::DOUBLE AS epsilon, 0.3::DOUBLE AS lambda, 0::BIGINT AS bid_size,
+  strftime(stamp, '%Y-%m-%d %H:%M:%S') AS "timestamp", strftime(stamp, '%Y-%m-%d %H:%M:%S') AS underlying_timestamp
 FROM v_vendor
 """)
 cte("v_clean_vendor", """
@@ -513,8 +511,8 @@ oracle("canonical_stock", """
 SELECT date, replace(ticker, '.', '') AS symbol, min(l_extendedprice / l_quantity) AS open,
   max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
   CASE WHEN max(l_linestatus) = 'F' AND min(l_discount) = 0 THEN 0.0::DOUBLE ELSE max(l_extendedprice / l_quantity) END AS close,
-  CAST(sum(l_quantity) AS BIGINT) AS volume, count(*) AS count
-FROM v_lines GROUP BY date, ticker
+  CAST(sum(l_quantity) AS BIGINT) AS volume, count(*) AS count, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS created
+FROM v_lines GROUP BY date, ticker, l_shipdate
 """)
 
 # --- names, calendar, universe ------------------------------------------------------------------
@@ -877,5 +875,45 @@ GROUP BY ALL
 """)
 
 
+oracle("stored_window", """
+SELECT date, symbol, close, year(date)::INTEGER AS year FROM v_spot WHERE date BETWEEN DATE '1994-06-01' AND DATE '1996-05-31'
+""")
+oracle("bucketed_premium", "SELECT date, symbol, round(vrp, 6) AS vrp FROM v_vrp")
+NO_EXTRAS = "charm vomma veta vera speed zomma color ultima d1 d2 dual_delta dual_gamma open high low close".split()
+NO_COUNTS = "count bid_exchange bid_condition ask_size ask_exchange ask_condition".split()
+oracle("ingested_chain", f"""
+WITH landed AS (SELECT *, year(CAST(stamp AS DATE)) - CAST(CAST(stamp AS DATE) = min(CAST(stamp AS DATE)) OVER (PARTITION BY symbol, year(stamp)) AS INTEGER) AS year
+  FROM v_vendor)
+SELECT CAST(stamp AS DATE) AS date, symbol, CAST(expiration AS DATE) AS expiration, strike,
+  CASE WHEN "right" = 'CALL' THEN 'C' ELSE 'P' END AS "right", bid, ask, (bid + ask) / 2.0::DOUBLE AS mid,
+  CASE WHEN abs(iv_error) <= 1 AND implied_vol > 0 THEN implied_vol END AS iv, delta, gamma, theta, vega * 0.01::DOUBLE AS vega,
+  underlying_price AS underlying, volume, implied_vol, iv_error, 0.1::DOUBLE AS rho, 0.2::DOUBLE AS epsilon, 0.3::DOUBLE AS lambda,
+  CASE WHEN year >= 1996 THEN strike / 2 END AS vanna, {", ".join(f"NULL::DOUBLE AS {c}" for c in NO_EXTRAS)},
+  {", ".join(f"NULL::BIGINT AS {c}" for c in NO_COUNTS)}, 0::BIGINT AS bid_size,
+  strftime(stamp, '%Y-%m-%d %H:%M:%S') AS "timestamp", strftime(stamp, '%Y-%m-%d %H:%M:%S') AS underlying_timestamp, year::INTEGER AS year
+FROM landed
+""")
+oracle("pending_paths", """
+SELECT date, symbol, round(pnl_per_vega, 6) AS pnl_per_vega, round(cost_per_vega, 6) AS cost_per_vega,
+  round(exit_cost_per_vega, 6) AS exit_cost_per_vega, round(dollar_vega, 6) AS dollar_vega,
+  round(CASE WHEN symbol LIKE '%1' THEN -entry_vega ELSE entry_vega END, 6) AS entry_vega, round(dollar_theta, 6) AS dollar_theta,
+  round(mid, 6) AS mid, round(underlying, 6) AS underlying, dte::DOUBLE AS dte, event FROM v_path
+""")
+oracle("har_instalments", ORACLES["har_coefficients"])
+oracle("migrated_tables", """
+SELECT 'universe' AS "table", replace(ticker, '.', '') AS symbol, year(date)::INTEGER AS year, count(*) AS n FROM v_universe GROUP BY ALL
+UNION ALL SELECT 'calendar', '', year(date)::INTEGER, count(*) FROM (SELECT DISTINCT date FROM v_universe) GROUP BY ALL
+UNION ALL SELECT 'rates', symbol, year(date)::INTEGER, count(*) FROM (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol FROM orders) GROUP BY ALL
+""")
+oracle("session_window", """
+SELECT date, year(date) < 1995 AS has_prices FROM v_calendar WHERE date BETWEEN DATE '1994-06-01' AND DATE '1996-05-31'
+""")
+oracle("write_order", """
+SELECT date, symbol, row_number() OVER (ORDER BY date, symbol) - 1 AS place FROM (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS symbol FROM orders)
+""")
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(sql) for name, sql in ORACLES.items()}

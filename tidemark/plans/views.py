@@ -7,6 +7,7 @@ restated in SQL.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -32,6 +33,25 @@ def _price(cents: Column, quantity: Column) -> Column:
     return cents.cast("double") / 100.0 / quantity
 
 
+def land_files(df: DataFrame, source: str, prefix: str) -> None:
+    """Write `df` as a vendor's files land: `<source>/<prefix>_<year>/<symbol>.parquet`, a file per symbol and year.
+
+    Spark writes a folder per symbol and year; its one file is then given the name.
+    """
+    staged = f"{source}/.staged-{uuid.uuid4().hex}"
+    df.repartition("year", "symbol").write.partitionBy("year", "symbol").parquet(staged)
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(conf)
+    for status in files.globStatus(path(f"{staged}/year=*/symbol=*/*.parquet")):
+        *_, year, symbol, _ = status.getPath().toString().split("/")
+        folder = path(f"{source}/{prefix}_{year.partition('=')[2]}")
+        files.mkdirs(folder)
+        if not files.rename(status.getPath(), path(folder, f"{symbol.partition('=')[2]}.parquet")):
+            raise FileExistsError(f"{folder} holds {symbol} already")
+    files.delete(path(staged), True)
+
+
 @dataclass(frozen=True)
 class Views:
     spark: SparkSession
@@ -151,23 +171,19 @@ class Views:
 
     @cached_property
     def chain_spot(self) -> DataFrame:
-        """Brand and market prices smoothed and scaled to about 100; no listing near 100 itself."""
+        """Brand and market prices smoothed over the sessions there are, up to 60, and scaled to about 100."""
         w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(SMOOTHING_ROWS - 1), 0)
         level = (
             F.lit(100.0) * F.avg("close").over(w) / F.avg("close").over(Window.partitionBy("symbol"))
         )
         prices = self.closes.unionByName(self.market_closes).select("symbol", "date", "close")
-        return (
-            prices.select("symbol", "date", F.round(level, 2).alias("underlying"), F.count("*").over(w).alias("n"))
-            .where((F.col("n") == SMOOTHING_ROWS) & (F.abs(F.col("underlying") - 100.0) >= 0.5))
-            .drop("n")
-        )
+        return prices.select("symbol", "date", F.round(level, 2).alias("underlying"))
 
     @cached_property
     def chain(self) -> DataFrame:
         """A canonical chain by rational formulas over `chain_spot`, written down as one is stored.
 
-        Third-Friday expirations of five months, nine strikes, both rights. Sessions whose
+        Third-Friday expirations of five months, up to nine strikes, both rights. Sessions whose
         spot sits just above a whole number carry empty quotes; far strikes fail inversion.
         """
         spread_out = materialize(self.chain_spot).repartition(
@@ -184,6 +200,7 @@ class Views:
             .where(F.col("dte") > 0)
             .withColumn("k", F.explode(F.sequence(F.lit(-4), F.lit(4))))
             .withColumn("strike", (F.floor(s / 5.0) * 5 + 5 * F.col("k")).cast("double"))
+            .where(F.col("strike") > 0)  # as listings are; none of a spot's own rows goes
             .withColumn("right", F.explode(F.array(F.lit("C"), F.lit("P"))))
         )
         call = F.col("right") == "C"

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 # The columns of each landed vendor table.
 LANDED: dict[str, str] = {
@@ -64,29 +69,33 @@ SAMPLE_YEAR = 2025
 def relaxed_union(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames by column name; absent columns are null, types widen to a common one.
 
-    Integers widen to long, mixed numbers to double, anything else that differs to text.
+    Integers widen to long and mixed numbers to double; a column that is null throughout takes the other's type.
+    Types of unlike families (a date beside a stamp, text beside a number) are refused with a TypeError.
+    Frames of one layout are scanned side by side, so a union of many files has a branch per layout.
     """
     seen: dict[str, set[str]] = {}
     for df in frames:
         for name, dtype in df.dtypes:
             seen.setdefault(name, set()).add(dtype)
 
-    def common(types: set[str]) -> str | None:
-        if len(types) == 1:
-            return None
+    def common(name: str) -> str | None:
+        types = seen[name] - {"void"}
+        if len(types) <= 1:
+            return next(iter(types), None)
         whole = {"tinyint", "smallint", "int", "bigint"}
         if types <= whole:
             return "bigint"
         if all(t in whole | {"float", "double"} or t.startswith("decimal") for t in types):
             return "double"
-        return "string"
+        raise TypeError(f"column {name} is {' in one place and '.join(sorted(types))} in another")
 
+    wide = {name: common(name) for name in seen}
     out: DataFrame | None = None
     for df in frames:
         same = df.select(
             *[
-                F.col(f"`{c}`").cast(common(seen[c])).alias(c) if common(seen[c]) else F.col(f"`{c}`")
-                for c in df.columns
+                F.col(f"`{c}`").cast(wide[c]).alias(c) if wide[c] and wide[c] != kind else F.col(f"`{c}`")
+                for c, kind in df.dtypes
             ]
         )
         out = same if out is None else out.unionByName(same, allowMissingColumns=True)
@@ -108,7 +117,34 @@ def read_landed(
         return spark.read.schema(schema).option("header", True).format(fmt).load(list(paths))
     if schema is not None:
         return spark.read.schema(schema).parquet(*paths)
-    return relaxed_union([spark.read.parquet(p) for p in paths])
+    return relaxed_union([spark.read.schema(layout).parquet(*found) for layout, found in layouts(spark, paths)])
+
+
+def layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The paths by their columns and types, in the order in which each layout first appears.
+
+    Footers are read in tasks, one file of each path (a path is a file, or a folder of files written at once).
+    """
+    jobs = min(len(paths), 64)
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column(1).to_pylist():
+                files, base = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+                if files.get_file_info(base).type == fs.FileType.Directory:
+                    base = min(x.path for x in files.get_file_info(fs.FileSelector(base, recursive=True)) if x.path.endswith(".parquet"))
+                with files.open_input_file(base) as file:
+                    meta = pq.ParquetFile(file)
+                    own = (meta.schema_arrow.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                    said = own or (meta.metadata.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                    found.append(said.decode() if said else from_arrow_schema(meta.schema_arrow).json())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["at", "layout"])
+
+    asked = spark.createDataFrame(list(enumerate(paths)), "at int, path string").repartition(jobs)
+    rows = asked.mapInArrow(footers, "at int, layout string").groupBy("layout").agg(F.sort_array(F.collect_list("at")).alias("at")).collect()
+    found = sorted(rows, key=lambda r: r["at"][0])
+    return [(T.StructType.fromJson(json.loads(r["layout"])), [paths[i] for i in r["at"]]) for r in found]
 
 
 def read_chain_files(
