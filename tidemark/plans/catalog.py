@@ -567,19 +567,33 @@ def bucketed_panels(v: Views, buckets: int = 16) -> tuple[DataFrame, DataFrame]:
 
 @query
 def ingested_chain(v: Views) -> DataFrame:
-    """Landed chain files, one per symbol and year, taken into the store and read back whole.
+    """Landed chain files, one per symbol and year, taken into the store and read back whole: all columns by symbol-day.
 
     From 1996 on the files have one column more, and of each symbol the first session of a year landed with the year before.
     """
     source = f"{scratch_dir(v.spark)}/tidemark-landed-{uuid.uuid4().hex}"
     day = F.to_date("timestamp")
-    first = day == F.min(day).over(Window.partitionBy("symbol", F.year(day)))
-    landed = materialize(v.vendor_chain.withColumn("year", F.year(day) - first.cast("int")))
+    dated = v.vendor_chain.withColumn("_day", day)
+    firsts = dated.groupBy("symbol", F.year("_day").alias("year")).agg(F.min("_day").alias("_first"))
+    both = dated.withColumn("year", F.year("_day")).join(firsts, ["symbol", "year"])
+    early = (F.col("_day") == F.col("_first")).cast("int")
+    landed = both.withColumn("year", F.col("year") - early).drop("_day", "_first")
     land_files(landed.where("year < 1996"), source, "option_greeks")
     land_files(landed.where("year >= 1996").withColumn("vanna", F.col("strike") / 2), source, "option_greeks")
     store = _scratch_store(v)
     jobs.migrate_chains(store, source, "option_greeks", "option_greeks")
-    return with_clocks(store.scan("option_greeks"), "timestamp", "underlying_timestamp")
+    rows = with_clocks(store.scan("option_greeks"), "timestamp", "underlying_timestamp")
+    days = ["symbol", "year", "date"]
+    values = [f for f in rows.schema if f.name not in days]
+    numbers = [f.name for f in values if isinstance(f.dataType, (T.DoubleType, T.LongType))]
+    others = [f.name for f in values if f.name not in numbers]
+    return rows.groupBy(*days).agg(
+        F.count("*").alias("n"),
+        *[F.round(F.sum(F.col(c).cast("double")), 3).alias(c) for c in numbers],
+        *[F.count(c).alias(f"n_{c}") for c in ("iv", "vanna")],
+        *[F.min(c).alias(f"first_{c}") for c in others],
+        *[F.max(c).alias(f"last_{c}") for c in others],
+    )
 
 
 @query

@@ -881,7 +881,7 @@ SELECT date, symbol, close, year(date)::INTEGER AS year FROM v_spot WHERE date B
 oracle("bucketed_premium", "SELECT date, symbol, round(vrp, 6) AS vrp FROM v_vrp")
 NO_EXTRAS = "charm vomma veta vera speed zomma color ultima d1 d2 dual_delta dual_gamma open high low close".split()
 NO_COUNTS = "count bid_exchange bid_condition ask_size ask_exchange ask_condition".split()
-oracle("ingested_chain", f"""
+cte("v_ingested", f"""
 WITH landed AS (SELECT *, year(CAST(stamp AS DATE)) - CAST(CAST(stamp AS DATE) = min(CAST(stamp AS DATE)) OVER (PARTITION BY symbol, year(stamp)) AS INTEGER) AS year
   FROM v_vendor)
 SELECT CAST(stamp AS DATE) AS date, symbol, CAST(expiration AS DATE) AS expiration, strike,
@@ -893,6 +893,17 @@ SELECT CAST(stamp AS DATE) AS date, symbol, CAST(expiration AS DATE) AS expirati
   strftime(stamp, '%Y-%m-%d %H:%M:%S') AS "timestamp", strftime(stamp, '%Y-%m-%d %H:%M:%S') AS underlying_timestamp, year::INTEGER AS year
 FROM landed
 """)
+_SUMS = (
+    "strike bid ask mid iv delta gamma theta vega underlying volume implied_vol iv_error rho epsilon lambda vanna bid_size".split()
+    + NO_EXTRAS + NO_COUNTS
+)
+_ENDS = ["expiration", '"right"', '"timestamp"', "underlying_timestamp"]
+oracle("ingested_chain", f"""
+SELECT symbol, year, date, count(*) AS n, {", ".join(f'round(sum("{c}"::DOUBLE), 3) AS "{c}"' for c in _SUMS)},
+  count(iv) AS n_iv, count(vanna) AS n_vanna,
+  {", ".join(f"min({c}) AS first_{c.strip(chr(34))}, max({c}) AS last_{c.strip(chr(34))}" for c in _ENDS)}
+FROM v_ingested GROUP BY symbol, year, date
+""")
 oracle("pending_paths", """
 SELECT date, symbol, round(pnl_per_vega, 6) AS pnl_per_vega, round(cost_per_vega, 6) AS cost_per_vega,
   round(exit_cost_per_vega, 6) AS exit_cost_per_vega, round(dollar_vega, 6) AS dollar_vega,
