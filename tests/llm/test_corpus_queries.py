@@ -31,7 +31,7 @@ def docs(spark):
 
 
 def test_all_are_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert {q.split("_")[0] for q in queries.queries()} == names
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
     assert set(oracles.oracle_sql()) <= set(entry.oracle_sql())

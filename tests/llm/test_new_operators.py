@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import fill_middle, mixing, vector_codes
+from tidemark.llm import fill_middle, line_dedup, mixing, quality_model, quality_rules, sharding, vector_codes
 from tidemark.session import materialize
 
 FIM = fill_middle.FimConfig()
@@ -213,3 +213,47 @@ def test_the_mix_comes_near_its_targets(spark):
     assert sum(r["n"] for r in mix) == sum(r["copies"] for r in rows) and "copies" not in mixing.emitted(given).columns
     assert {r["doc_id"] for r in mix} == {r["doc_id"] for r in rows if r["copies"]}
     assert mixing.mix_plan(frame.limit(0), (5, 2, 1)).count() == 0
+
+
+#: Names that operators use for columns of their own.
+TAKEN = [
+    "_cell", "_row", "_before", "_n", "_key", "_id", "_cuts", "_words", "_text", "_lines", "_windows", "_sorted", "_placed", "n_words",
+    "N_SYMBOLS", "key", "output", "form", "restored", "whole", "code_", "low", "own", "source_of", "size_", "row", "mark", "digest",
+]
+
+
+def _slots(df):
+    return sharding.with_slots(sharding.assign_shards(df, "doc_id", 3, "shard_of", "grown_of"), "doc_id", "shard_of", "slot_of", ties=("text",))
+
+
+@pytest.mark.parametrize(
+    ("operator", "gone"),
+    [
+        (_slots, set()),
+        (line_dedup.without_repeats, set()),
+        (quality_rules.text_measures, {"text", "n_words", "N_SYMBOLS"}),
+        (lambda df: quality_model.scored(df, quality_model.train(df.limit(0), df.select("doc_id", F.lit(1).alias("quality")).limit(0)), score="score_of"), set()),
+        (lambda df: fill_middle.restored(fill_middle.fill_in_middle(df)), {"form", "output", "restored"}),
+        (lambda df: mixing.mix_plan(df, (5, 2, 1)), set()),
+    ],
+    ids=["sharding", "line dedup", "quality rules", "quality model", "fill-in-middle", "mixing"],
+)
+def test_columns_of_the_callers_own_stay(odd_docs, no_docs, operator, gone):
+    mine = {c: F.lit(f"mine {c}") for c in TAKEN}
+    made = operator(odd_docs.withColumns(mine))
+    kept = [c for c in TAKEN if c not in gone]
+    assert set(kept) <= set(made.columns)
+    rows = made.collect()
+    assert len(rows) == odd_docs.count() and all(r[c] == f"mine {c}" for r in rows for c in kept)
+    assert operator(no_docs.withColumns(mine)).count() == 0
+
+
+def test_the_model_does_not_depend_on_the_order_of_repeated_ids(spark):
+    texts = [(i % 40, f"text {i} " + "word " * (i % 17), 10 + i) for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    schema = "doc_id bigint, text string, n_chars bigint"
+    here = quality_model.train(spark.createDataFrame(texts, schema).repartition(2), labels)
+    there = quality_model.train(spark.createDataFrame(texts[::-1], schema).repartition(5), labels)
+    ids, values = quality_model.features("some text of words", 18, here.config)
+    start = np.array([0])
+    assert here.scores(ids, values, start) == there.scores(ids, values, start)

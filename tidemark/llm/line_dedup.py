@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.names import private
 from tidemark.session import materialize
 
 #: The least words of a repeated run.
@@ -127,24 +128,25 @@ def without_repeats(
 
     The first occurrence in the order of (id, line) stays, within a document too. Runs reach to their true
     ends. Blank lines inside a window go with it. Texts without words (null, empty) stay as they are; a text of which nothing is left
-    becomes empty; every row stays a row.
+    becomes empty; every row stays a row, and all other columns stay as they are.
     """
     runs = repeated_runs(repeated_windows(docs, words, key, text))
-    cuts = runs.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
-        F.collect_list(F.struct("line", "lines")).alias("_cuts")
+    plain = docs.drop("removed_lines", "removed_runs")
+    own, row, found, cut = private(plain, "_key", "_row", "_id", "_cuts")
+    cuts = runs.groupBy(F.col("doc_id").alias(found), F.col("row").alias(row)).agg(
+        F.collect_list(F.struct("line", "lines")).alias(cut)
     )
-    given = docs.drop("removed_lines", "removed_runs").withColumn("_key", row_key(text))
+    given = plain.withColumn(own, row_key(text))
     joined = given.join(
-        cuts, given[key].cast("bigint").eqNullSafe(cuts["_id"]) & (given["_key"] == cuts["_row"]), "left"
+        cuts, given[key].cast("bigint").eqNullSafe(cuts[found]) & (given[own] == cuts[row]), "left"
     )
     kept = F.filter(
         F.split(F.col(text), "\n"),
-        lambda x, i: ~F.exists("_cuts", lambda c: (i >= c["line"]) & (i < c["line"] + c["lines"])),
+        lambda x, i: ~F.exists(cut, lambda c: (i >= c["line"]) & (i < c["line"] + c["lines"])),
     )
-    names = [c for c in given.columns if c != "_key"]
-    removed = F.aggregate("_cuts", F.lit(0), lambda s, c: s + c["lines"])
+    removed = F.aggregate(cut, F.lit(0), lambda s, c: s + c["lines"])
     return joined.select(
-        *[F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else joined[c] for c in names],
+        *[F.when(F.col(cut).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else joined[c] for c in plain.columns],
         F.coalesce(removed, F.lit(0)).alias("removed_lines"),
-        F.when(F.col("_cuts").isNull(), 0).otherwise(F.size("_cuts")).alias("removed_runs"),
+        F.when(F.col(cut).isNull(), 0).otherwise(F.size(cut)).alias("removed_runs"),
     )

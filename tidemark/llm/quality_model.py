@@ -154,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, config: MachineConfig = MachineCon
     """Fit on labelled rows that are not held out: of more than `sample_rows`, those with the smallest id hashes.
 
     `docs`: doc_id, text, n_chars; `labels`: doc_id, quality. A row labelled twice takes the lower label;
-    labels that are null or neither 0 nor 1, and labels of no document, are passed over.
+    labels that are null or neither 0 nor 1, and labels of no document, are passed over. Of rows that repeat an id,
+    the one with the least hash of text and length is fitted. Without any label the machine is the untrained one.
     """
     chosen = (
         labels.select("doc_id", F.col("quality").cast("int").alias("quality"))
@@ -175,9 +176,11 @@ def train(docs: DataFrame, labels: DataFrame, config: MachineConfig = MachineCon
 
     # the sample has at most sample_rows rows of two numbers, so it is sent to the documents
     sample = docs.select("doc_id", "text", F.col("n_chars").cast("bigint")).join(F.broadcast(chosen), "doc_id")
-    rows = sample.select("doc_id", "quality", "text", "n_chars").mapInArrow(made, "doc_id bigint, quality int, ids binary, values binary")
-    # a document may repeat; the first of each id is fitted, so the bound holds
-    got = sorted({r["doc_id"]: r for r in rows.toLocalIterator()}.values(), key=lambda r: r["doc_id"])
+    # an id may repeat; the row with the least hash is fitted whatever the order of rows, and the bound holds
+    by_hash = F.struct(F.xxhash64("text", "n_chars").alias("h"), "text", "n_chars")
+    single = sample.groupBy("doc_id", "quality").agg(F.min(by_hash).alias("row"))
+    rows = single.select("doc_id", "quality", "row.text", "row.n_chars").mapInArrow(made, "doc_id bigint, quality int, ids binary, values binary")
+    got = sorted(rows.toLocalIterator(), key=lambda r: r["doc_id"])
     return fit(
         [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["values"], np.float32)) for r in got],
         np.array([r["quality"] for r in got], np.float32),
@@ -188,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, config: MachineConfig = MachineCon
 def scored(docs: DataFrame, machine: Machine, text: str = "text", n_chars: str = "n_chars", score: str = "score") -> DataFrame:
     """`docs` with a column `score` from 0 to 1 made of each whole text and its length; a column of that name is replaced.
 
-    Rows stay where they are. Null and empty texts get the score of the empty text.
+    Rows and all other columns stay as they are. Null and empty texts get the score of the empty text; an empty table
+    stays empty.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(machine)  # a few MB, fixed by the config

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.names import private
+
 #: Characters that part words, and the symbols that are counted.
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -61,6 +63,11 @@ def rules() -> list[Rule]:
     ]
 
 
+MEASURES = (
+    "n_words", "word_chars", "n_symbols", "n_upper", "n_exclaims", "n_digits", "n_short", "n_lines", "n_dup_lines", "n_repeat_words",
+)
+
+
 def text_measures(df: DataFrame, text: str = "text") -> DataFrame:
     """`df` without `text`, with counts over each whole text; null is the text without characters.
 
@@ -68,54 +75,54 @@ def text_measures(df: DataFrame, text: str = "text") -> DataFrame:
     those equal to an earlier one), n_repeat_words (words inside a window of three that occurs twice
     or more in the text), n_upper, n_exclaims, n_digits, n_short (words of up to three characters).
     Windows are told apart by their 64-bit hashes. Columns of those names are replaced. A text costs
-    n log n in its words; nothing leaves its row.
+    n log n in its words; nothing leaves its row. An empty table stays empty.
     """
-    rest = [c for c in df.columns if c != text]
-    w = "_words"
-    split = df.select(*rest, F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn(
-        w, F.array_remove(F.split("_text", SPACE), "")
+    rest = [c for c in df.columns if c.lower() not in (text.lower(), *MEASURES)]
+    w, whole, lined, windows, ordered, placed_at = private(df, "_words", "_text", "_lines", "_windows", "_sorted", "_placed")
+    split = df.select(*rest, F.coalesce(F.col(text), F.lit("")).alias(whole)).withColumn(
+        w, F.array_remove(F.split(whole, SPACE), "")
     )
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0)
-    left = lambda pattern: F.length("_text") - F.length(F.regexp_replace("_text", pattern, ""))
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0)
+    left = lambda pattern: F.length(whole) - F.length(F.regexp_replace(whole, pattern, ""))
     n = F.size(w)
     counted = split.select(
         *rest,
         w,
         n.cast("bigint").alias("n_words"),
-        F.length(F.regexp_replace("_text", SPACE, "")).cast("bigint").alias("word_chars"),
+        F.length(F.regexp_replace(whole, SPACE, "")).cast("bigint").alias("word_chars"),
         left("[#*$%&|<>]+").cast("bigint").alias("n_symbols"),
         left(r"\p{Lu}+").cast("bigint").alias("n_upper"),
         left("!+").cast("bigint").alias("n_exclaims"),
         left("[0-9]+").cast("bigint").alias("n_digits"),
-        lines.alias("_lines"),
+        lines.alias(lined),
         F.size(F.filter(w, lambda x: F.length(x) <= 3)).cast("bigint").alias("n_short"),
         F.when(
             n >= 3,
             F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))),
-        ).alias("_windows"),
-    ).withColumn("_sorted", F.sort_array("_windows"))
+        ).alias(windows),
+    ).withColumn(ordered, F.sort_array(windows))
     # Few texts repeat a window, so positions are sorted only where neighbours in the sorted hashes agree.
     repeats = F.exists(
-        F.sequence(F.lit(1), F.size("_sorted") - 1), lambda i: F.get("_sorted", i) == F.get("_sorted", i - 1)
+        F.sequence(F.lit(1), F.size(ordered) - 1), lambda i: F.get(ordered, i) == F.get(ordered, i - 1)
     )
     placed = counted.withColumn(
-        "_placed",
+        placed_at,
         F.when(
-            (F.size("_sorted") >= 2) & F.when(F.size("_sorted") >= 2, repeats).otherwise(False),
-            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+            (F.size(ordered) >= 2) & F.when(F.size(ordered) >= 2, repeats).otherwise(False),
+            F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
         ),
     )
     twice = F.filter(
-        "_placed",
-        lambda x, i: (x["h"] == F.get("_placed", i - 1)["h"]) | (x["h"] == F.get("_placed", i + 1)["h"]),
+        placed_at,
+        lambda x, i: (x["h"] == F.get(placed_at, i - 1)["h"]) | (x["h"] == F.get(placed_at, i + 1)["h"]),
     )
     covered = F.array_distinct(F.flatten(F.transform(twice, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
     return placed.select(
         *rest,
         "n_words", "word_chars", "n_symbols", "n_upper", "n_exclaims", "n_digits", "n_short",
-        F.size("_lines").cast("bigint").alias("n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-        F.when(F.col("_placed").isNotNull(), F.size(covered)).otherwise(0).cast("bigint").alias("n_repeat_words"),
+        F.size(lined).cast("bigint").alias("n_lines"),
+        (F.size(lined) - F.size(F.array_distinct(lined))).cast("bigint").alias("n_dup_lines"),
+        F.when(F.col(placed_at).isNotNull(), F.size(covered)).otherwise(0).cast("bigint").alias("n_repeat_words"),
     )
 
 

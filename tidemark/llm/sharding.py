@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.names import private
+
 #: Fixed values of the published algorithm: the generator's multiplier and its 31-bit divisor.
 MULTIPLIER = 2862933555777941757
 SPAN = float(1 << 31)
@@ -78,21 +80,23 @@ def with_slots(
 
     Each (shard, bucket) is numbered by itself and moved up by the rows of the buckets before it, so
     a task sorts one `buckets`-th of a shard and the table of offsets has shards * `buckets` rows.
-    Rows that agree in key and ties get consecutive slots in any order. `df` is read twice: pass a
+    Rows that agree in key and ties get consecutive slots in any order. A column named like `slot` is replaced, all
+    others stay; an empty table stays empty. `df` is read twice: pass a
     stored table.
     """
+    own, row, moved = private(df, "_cell", "_row", "_before")
+    names = [c for c in df.columns if c != slot]
     cell = F.pmod(stable_key(df[key], dict(df.dtypes)[key]), F.lit(buckets)).cast("int")
-    dealt = df.withColumn("_cell", cell)
-    before = Window.partitionBy(shard).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = df.withColumn(own, cell)
+    before = Window.partitionBy(shard).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        dealt.groupBy(shard, "_cell")
+        dealt.groupBy(shard, own)
         .agg(F.count("*").alias("_n"))
-        .select(shard, "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(shard, own, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(moved))
     )
-    inside = Window.partitionBy(shard, "_cell").orderBy(*[F.asc_nulls_first(c) for c in (key, *ties)])
+    inside = Window.partitionBy(shard, own).orderBy(*[F.asc_nulls_first(c) for c in (key, *ties)])
     return (
-        dealt.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, [shard, "_cell"])
-        .withColumn(slot, F.col("_before") + F.col("_row") - 1)
-        .drop("_cell", "_row", "_before")
+        dealt.withColumn(row, F.row_number().over(inside))
+        .join(offsets, [shard, own])
+        .select(*[F.col(f"`{c}`") for c in names], (F.col(moved) + F.col(row) - 1).alias(slot))
     )
