@@ -46,7 +46,7 @@ def test_vega_per_unit_of_vol_is_detected_and_rescaled(spark):
     raw = vendor(spark, chain)
     scale = canonical.vega_scale(raw)
     verdict = scale.collect()
-    assert [(v.symbol, v.year, v.scale, v.status) for v in verdict] == [("XYZ", 2024, 0.01, "ok")]
+    assert [(v.symbol, v.year, v.scale, v.status) for v in verdict] == [("QRS", 2024, 0.01, "ok")]
     out = canonical.canonical_chain(raw, scale)
     stored = [c for c in TABLES["option_greeks"].schema.names if c != "year"]
     assert out.columns[:15] == stored[:15]
