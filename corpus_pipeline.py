@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, line_dedup, near_dedup, quality_model
-from tidemark.session import materialize
+from tidemark.session import materialize, release, release_scratch, written_so_far
 
 #: A document stays if its quality score reaches this.
 KEPT_SCORE = 0.3
@@ -81,7 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in a row; once a stage is written, what it was made from goes, inner intermediates included."""
     docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir))
+        before = written_so_far()
+        done = materialize(stage(spark, docs, sf_dir))
+        release_scratch(spark, before, but=done)
+        release(docs)
+        docs = done
     return docs

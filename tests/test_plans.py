@@ -11,15 +11,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import reference_data, risk
+from tidemark.operators import forecast, reference_data, risk, signals, straddle, universe
 from tidemark.operators.forecast import HARConfig, fits_from_sums, har_coefficients, har_increments, har_rows
 from tidemark.plans import catalog, jobs
 from tidemark.plans.views import Views
 from tidemark.sources.buckets import read_bucketed, write_bucketed
 from tidemark.sources.landing import layouts, read_landed, relaxed_union
+from tidemark.session import materialize, release, release_scratch, written_so_far
 from tidemark.sources.store import Store
 
-from conftest import business_days
+from conftest import business_days, flat_chain
 
 SF = "/root/testdata/sf0.001"
 
@@ -210,3 +211,39 @@ def test_factor_pairs_come_off_one_list_per_date(spark):
     value = lambda d, f: 0.0 if (d, f) == (2, "b") else d * ("abc".index(f) + 1) + (10.0 if (d, f) == (3, "a") else 0.0)
     assert got == {(d, f, g): (value(d, f), value(d, g)) for d in (1, 2, 3) for f in "abc" for g in "abc" if f <= g}
     assert risk.factor_pairs(factors.limit(0)).count() == 0
+
+
+def test_operators_run_nothing_while_a_plan_is_built(spark):
+    day = dt.date(2024, 1, 2)
+    frame = lambda ddl: spark.createDataFrame([], ddl)
+    chain = spark.createDataFrame(flat_chain([day]))
+    sessions = spark.createDataFrame([(day,)], "date date")
+    panels = {name: frame(columns) for name, columns in PANELS.items()}
+    sectors = frame("symbol string, sector string")
+    changes = frame("effective_date date, ticker string, action string, security string, reason string")
+    spark.sparkContext.setJobGroup("planning", "no job is to run")
+    before = written_so_far()
+    straddle.reference_path(chain, sessions)
+    universe.build_universe(frame("ticker string"), changes, sessions)
+    risk.rolling_loadings(panels["reference_returns"], frame("date date, factor string, ret double"), sectors)
+    risk.rolling_covariances(frame("date date, factor string, ret double"))
+    forecast.har_forecast(panels["realized_vol"], panels["realized_vol"])
+    signals.vrp_signal(panels["surface"], panels["forecast"], panels["stock_features"], sectors)
+    signals.momentum_signal(panels["reference_returns"])
+    signals.iv_zscore_signal(panels["surface"])
+    assert written_so_far() == before
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_intermediates_are_released_one_by_one_or_together(spark):
+    first, second, third = (materialize(spark.range(n)) for n in (1, 2, 3))
+    before = written_so_far() - 2
+    release(first)
+    assert not Path(first._written_at.removeprefix("file:")).exists() and second.count() == 2
+    release_scratch(spark, before - 1, but=third)
+    assert not Path(second._written_at.removeprefix("file:")).exists() and third.count() == 3
+    assert written_so_far() == before
+    release(third)
+    release(third)
+    assert written_so_far() == before - 1

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import finite
 from tidemark.functions.groups import broadcast_daily
 from tidemark.functions.least_squares import fit, gram_columns
-from tidemark.session import materialize
+from tidemark.session import Keep, as_planned
 
 
 @dataclass(frozen=True)
@@ -112,7 +112,7 @@ def latest_fit(coefficients: DataFrame) -> DataFrame:
 
 
 def har_forecast(
-    panel: DataFrame, apply: DataFrame | None = None, config: HARConfig = HARConfig()
+    panel: DataFrame, apply: DataFrame | None = None, config: HARConfig = HARConfig(), keep: Keep = as_planned
 ) -> tuple[DataFrame, DataFrame]:
     """`(date, symbol, rv_fcst)` for every usable row, and the coefficient history.
 
@@ -124,7 +124,7 @@ def har_forecast(
     if apply is not None:
         both = both.unionByName(apply.select(*columns, F.lit(False).alias("in_fit")))
     rows = har_rows(both, config)
-    coefficients = materialize(har_coefficients(rows, config))
+    coefficients = keep(har_coefficients(rows, config))
     names = ["const", "residual_var", *[f"b_{f}" for f in config.features]]
     back = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # one row per session
     current = (

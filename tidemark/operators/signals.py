@@ -13,7 +13,7 @@ from tidemark.functions.frames import Stat, Trailing, rolled, spread
 from tidemark.functions.groups import attach_daily, broadcast_daily
 from tidemark.functions.least_squares import fit, gram_columns
 from tidemark.operators.risk import one_sector
-from tidemark.session import materialize
+from tidemark.session import Keep, as_planned
 
 MARKET_ROOT = "SPX"
 
@@ -90,6 +90,7 @@ def vrp_frame(
     features: DataFrame,
     sectors: DataFrame,
     config: SignalConfig = SignalConfig(),
+    keep: Keep = as_planned,
 ) -> DataFrame:
     """The premium of each name beside what it is regressed on.
 
@@ -99,7 +100,7 @@ def vrp_frame(
     vrp = variance_premium(surface, forecast, config.tenor)
     is_market = F.col("symbol") == MARKET_ROOT
     market = vrp.where(is_market).groupBy("date").agg(F.min("vrp").alias("market_vrp"))
-    names = materialize(
+    names = keep(
         vrp.where(~is_market)
         .join(features.select("date", "symbol", "beta", *config.controls), ["date", "symbol"], "left")
         .join(one_sector(sectors), "symbol", "left")
@@ -125,7 +126,7 @@ def vrp_frame(
             *config.controls,
         )
     )
-    return materialize(frame)
+    return keep(frame)
 
 
 def vrp_signal(
@@ -134,15 +135,16 @@ def vrp_signal(
     features: DataFrame,
     sectors: DataFrame,
     config: SignalConfig = SignalConfig(),
+    keep: Keep = as_planned,
 ) -> DataFrame:
     """`(date, symbol, score)`: the variance premium net of beta, sector and controls."""
     residuals = residualize_daily(
-        vrp_frame(surface, forecast, features, sectors, config),
+        vrp_frame(surface, forecast, features, sectors, config, keep),
         "vrp",
         ["market", "sector_median", *config.controls],
         config.min_names,
     )
-    smooth = materialize(
+    smooth = keep(
         residuals.select(
             "date",
             "symbol",
@@ -172,12 +174,14 @@ def iv_zscore_signal(surface: DataFrame, config: SignalConfig = SignalConfig())
     )
 
 
-def momentum_signal(reference: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:
+def momentum_signal(
+    reference: DataFrame, config: SignalConfig = SignalConfig(), keep: Keep = as_planned
+) -> DataFrame:
     """Past P&L over a window ending `momentum_skip` rows ago, z-scored by date, negated."""
     trail = Trailing(
         config.momentum_window, config.momentum_window // 2, skip=config.momentum_skip
     )
-    past = materialize(
+    past = keep(
         reference.where(F.col("symbol") != MARKET_ROOT)
         .transform(spread, "symbol")
         .transform(rolled, trail, past=Stat("sum", "pnl_per_vega"))

@@ -24,7 +24,7 @@ from tidemark.functions.groups import (
     by_price,
     first_row,
 )
-from tidemark.session import materialize
+from tidemark.session import Keep, as_planned
 
 CONTRACT_MULTIPLIER = 100
 
@@ -262,23 +262,23 @@ def _follow(entries: DataFrame) -> DataFrame:
 
 
 def reference_path(
-    chain: DataFrame, sessions: DataFrame, config: StraddleConfig = StraddleConfig()
+    chain: DataFrame, sessions: DataFrame, config: StraddleConfig = StraddleConfig(), keep: Keep = as_planned
 ) -> DataFrame:
     """Daily P&L and cost per dollar of inception vega for one unit per symbol.
 
     `chain` is canonical and unfiltered; `sessions` holds the dates of the path. One job
     covers all symbols.
     """
-    numbered = materialize(number_sessions(sessions))
-    units = materialize(
+    numbered = keep(number_sessions(sessions))
+    units = keep(
         unit_days(near_money(chain, config)).join(
             broadcast_daily(numbered.select("date")), "date", "left_semi"
         )
     )
-    picks = materialize(_picks(units, config))
+    picks = keep(_picks(units, config))
     # only a unit picked on some day can be held
     wanted = picks.select(*UNIT).distinct()
-    marks = materialize(
+    marks = keep(
         unit_exits(_marks(units).join(wanted, UNIT, "left_semi"), numbered, config)
     )
     day_spot = first_row(
@@ -287,7 +287,7 @@ def reference_path(
         [by_day("expiration"), by_price("strike")],
         keep=["day_spot"],
     )
-    entries = materialize(
+    entries = keep(
         _next_entries(
             picks.join(marks, ["date", *UNIT]).select(
                 "symbol", "pos", "last_pos", "expiration", "strike", "vega", "exit_pos", "exit_kind"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.groups import broadcast_daily
 from tidemark.operators.straddle import number_sessions
 from tidemark.operators.symbols import spelled
-from tidemark.session import materialize
+from tidemark.session import Keep, as_planned
 
 # How the change log writes dates, and the part of a cell that is a ticker.
 LOG_DATE = "MMMM d, yyyy"
@@ -93,13 +93,14 @@ def build_universe(
     changes: DataFrame,
     sessions: DataFrame,
     overrides: Mapping[str, Mapping[str, str]] | None = None,
+    keep: Keep = as_planned,
 ) -> DataFrame:
     """`(date, ticker, symbol)`: the members of every session.
 
     Spans of membership are found per ticker and laid out over their own sessions, so
     nothing larger than the result is built.
     """
-    numbered = materialize(number_sessions(sessions))
+    numbered = keep(number_sessions(sessions))
     days = membership_spans(current, changes, numbered).select(
         "ticker", F.explode(F.sequence("first_pos", F.col("end_pos") - 1)).alias("pos")
     )

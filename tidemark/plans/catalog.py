@@ -160,7 +160,7 @@ def straddle_exits(v: Views) -> DataFrame:
 
 @query
 def straddle_path(v: Views) -> DataFrame:
-    path = straddle.reference_path(v.chain, v.sessions)
+    path = straddle.reference_path(v.chain, v.sessions, keep=materialize)
     return rounded(path.withColumn("dte", F.col("dte").cast("double")))
 
 
@@ -264,6 +264,7 @@ def _universe(v: Views) -> DataFrame:
         universe.clean_constituents(v.current),
         universe.clean_changes(v.change_log),
         _calendar(v),
+        keep=materialize,
     )
 
 
@@ -373,7 +374,7 @@ QUERIES["factor_returns"] = lambda spark, sf: rounded(_factors(Views(spark, sf))
 
 
 def _loadings(v: Views) -> tuple[DataFrame, DataFrame]:
-    return risk.rolling_loadings(v.returns, materialize(_factors(v)), v.supplier_sectors, SPEC)
+    return risk.rolling_loadings(v.returns, materialize(_factors(v)), v.supplier_sectors, SPEC, materialize)
 
 
 QUERIES["factor_loadings"] = lambda spark, sf: rounded(_loadings(Views(spark, sf))[0])
@@ -433,7 +434,7 @@ QUERIES["latest_fit"] = QUERIES.pop("last_fit")
 
 def _forecast(v: Views) -> DataFrame:
     names, market = _rv(v)
-    return har_forecast(materialize(names), materialize(market), HAR)[0]
+    return har_forecast(materialize(names), materialize(market), HAR, materialize)[0]
 
 
 QUERIES["har_forecast"] = lambda spark, sf: rounded(_forecast(Views(spark, sf)))
@@ -461,7 +462,7 @@ def _features(v: Views) -> DataFrame:
 
 @query
 def vrp_residuals(v: Views) -> DataFrame:
-    frame = signals.vrp_frame(_surface(v), _forecast(v), _features(v), v.brand_sectors, SIGNALS)
+    frame = signals.vrp_frame(_surface(v), _forecast(v), _features(v), v.brand_sectors, SIGNALS, materialize)
     x = ["market", "sector_median", *SIGNALS.controls]
     return rounded(signals.residualize_daily(frame, "vrp", x, SIGNALS.min_names))
 
@@ -469,15 +470,15 @@ def vrp_residuals(v: Views) -> DataFrame:
 def _signal_pieces(v: Views) -> dict[str, DataFrame]:
     panel = materialize(_surface(v))
     return {
-        "vrp": signals.vrp_signal(panel, _forecast(v), _features(v), v.brand_sectors, SIGNALS),
+        "vrp": signals.vrp_signal(panel, _forecast(v), _features(v), v.brand_sectors, SIGNALS, materialize),
         "iv_zscore": signals.iv_zscore_signal(panel, SIGNALS),
-        "momentum": signals.momentum_signal(v.returns, SIGNALS),
+        "momentum": signals.momentum_signal(v.returns, SIGNALS, materialize),
     }
 
 
 @query
 def signal_vrp(v: Views) -> DataFrame:
-    score = signals.vrp_signal(_surface(v), _forecast(v), _features(v), v.brand_sectors, SIGNALS)
+    score = signals.vrp_signal(_surface(v), _forecast(v), _features(v), v.brand_sectors, SIGNALS, materialize)
     return rounded(score)
 
 
@@ -488,7 +489,7 @@ def signal_iv_zscore(v: Views) -> DataFrame:
 
 @query
 def signal_momentum(v: Views) -> DataFrame:
-    return rounded(signals.momentum_signal(v.returns, SIGNALS))
+    return rounded(signals.momentum_signal(v.returns, SIGNALS, materialize))
 
 
 QUERIES["signals"] = lambda spark, sf: rounded(
@@ -606,7 +607,7 @@ def pending_paths(v: Views) -> DataFrame:
     store.write("universe", v.universe.withColumn("symbol", F.replace("ticker", F.lit("."), F.lit(""))))
     store.write("calendar", v.sessions)
     days = v.sessions.agg(F.min("date"), F.max("date")).first()
-    done = straddle.reference_path(v.chain.where(F.col("symbol").endswith("1")), v.sessions)
+    done = straddle.reference_path(v.chain.where(F.col("symbol").endswith("1")), v.sessions, keep=materialize)
     # what is stored stays as it is
     store.write("reference_returns", done.withColumn("entry_vega", -F.col("entry_vega")))
     jobs.run_reference_returns(store, days[0], days[1])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return read
 
 
+#: What an operator does with a frame that feeds several branches of its plan.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_planned(df: DataFrame) -> DataFrame:
+    """The default of operators: nothing is run or written while a plan is built, branches share what Spark lets them.
+
+    Plans pass `materialize` instead, which runs and writes each shared frame once.
+    """
+    return df
+
+
 _written: list[str] = []
 
 
@@ -61,10 +74,16 @@ def written_so_far() -> int:
     return len(_written)
 
 
-def release_scratch(spark: SparkSession, since: int = 0) -> None:
-    """Delete what `materialize` wrote in this process after the first `since`; frames built on it are done with."""
-    while len(_written) > since:
-        _delete(spark, _written.pop())
+def release_scratch(spark: SparkSession, since: int = 0, but: DataFrame | None = None) -> None:
+    """Delete what `materialize` wrote in this process after the first `since`; frames built on it are done with.
+
+    The intermediate `but` itself stays.
+    """
+    left = [p for p in _written[since:] if p == getattr(but, "_written_at", None)]
+    gone = [p for p in _written[since:] if p not in left]
+    _written[since:] = left
+    for path in gone:
+        _delete(spark, path)
 
 
 def release(*frames: DataFrame) -> None:
