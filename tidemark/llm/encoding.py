@@ -16,7 +16,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Units a worker remembers; at this many it forgets those of more than SHORT_UNIT characters.
-REMEMBERED, SHORT_UNIT = 500_000, 9
+REMEMBERED, SHORT_UNIT = 1_000_000, 9
 #: Units longer than this are encoded and not remembered.
 LONGEST_UNIT = 48
 

@@ -202,7 +202,7 @@ def write_store(ids: DataFrame, keys: DataFrame, root: str) -> DataFrame:
             )
         close()
 
-    dealt = ids.mapInArrow(number, "doc_id bigint, ids binary, shard int").repartition(n, "shard")
+    dealt = ids.mapInArrow(number, "doc_id bigint, ids binary, shard int").repartitionById(n, "shard")
     manifest = dealt.sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids").mapInArrow(
         write, "doc_id bigint, copy bigint, shard int, offset bigint, length bigint"
     )
