@@ -1,6 +1,9 @@
 """The registered corpus queries beside their SQL, and the pipeline beside brute force, on the smallest tables."""
 
+import collections
 import hashlib
+import re
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -123,3 +126,32 @@ def test_one_row_of_each_group_stays_without_ids_too(spark):
     want = [(1, texts["a"]), (3, texts["b"]), (4, texts["d"]), (4, texts["e"]), (5, None), (6, ""), (7, ""), (None, None), (None, "")]
     assert sorted((x for x in left if x not in c), key=str) == sorted(want, key=str)
     assert corpus_pipeline.drop_copies(spark, frame.limit(0), SF).count() == 0
+
+
+def test_token_queries_agree_with_the_library_over_the_table(spark, docs):
+    got = {r["doc_id"]: r for r in queries.queries()["op9_token_store"](spark, SF).collect()}
+    tokenizer, start = encoding.load(queries.BYTE_LEVEL), 0
+    for i in sorted(docs):
+        ids = np.array([*tokenizer.encode(docs[i]["text"] or "", add_special_tokens=False).ids, queries.END_ID], "<u4")
+        assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    tokenizer = encoding.load(queries.WORDS)
+    for r in queries.queries()["op10_bpe"](spark, SF).collect():
+        ids = tokenizer.encode(docs[r["doc_id"]]["text"] or "", add_special_tokens=False).ids
+        said = tokenizer.decode(ids, skip_special_tokens=False)
+        want = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(said.encode()).hexdigest())
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == want
+    assert len(got) == len(docs)
+
+
+def test_quality_measures_agree_with_counting_over_the_table(spark, docs):
+    for r in queries.queries()["op7_quality_rules"](spark, SF).collect():
+        text = docs[r["doc_id"]]["text"] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        often = collections.Counter(windows)
+        repeated = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+        want = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated))
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == want
+        assert r["base_failed"] == (len(words) < 50 or 100 * len(repeated) > 50 * len(words)) and not (r["base_failed"] and r["kept"])
