@@ -39,7 +39,7 @@ def land_files(df: DataFrame, source: str, prefix: str) -> None:
     Spark writes a folder per symbol and year; its one file is then given the name.
     """
     staged = f"{source}/.staged-{uuid.uuid4().hex}"
-    df.repartition("year", "symbol").write.partitionBy("year", "symbol").parquet(staged)
+    df.repartition(64, "year", "symbol").write.partitionBy("year", "symbol").parquet(staged)
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     files = path(staged).getFileSystem(conf)
