@@ -2,11 +2,11 @@
 
 Texts with equal shingle sets are one node. Nodes that share a band of their signature are candidates:
 first each with a head of its bucket, the node with the smallest set, then with another, the one with the
-most links so far. A node that is apart from that head has too few shingles in common with it to be linked, through those
-alone, with another member; so in the last round only members that share a rare shingle outside the
-head's set are candidates, and a large group of near copies is never compared pair by pair. Candidates are compared a batch of signature places at
-a time and dropped as soon as the posterior probability of reaching the threshold is below `miss`;
-survivors are checked on their full shingle sets.
+most links so far. Candidates are compared a batch of signature places at a time and dropped as soon as the posterior
+probability of reaching the threshold is below `miss`; survivors are checked on their full shingle sets.
+What those rounds leave are nodes that are apart from their bucket's head while the bucket has several components. The members of
+such a head come together as rows, in blocks of bounded size; there each node apart is held, on full sets, against members
+whose component is still another, and only links that unite two components leave the block, never pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ class NearConfig:
 
     With `bands` bands of `rows` places, a pair at 0.8 shares none with probability (1 - 0.8 ** rows) ** bands,
     5e-8 by default; `miss` bounds the posterior at which a candidate is dropped after each `batch` places.
+    A block of a bucket's members has about `block` shingles.
     """
 
     words: int = 5
@@ -39,6 +40,7 @@ class NearConfig:
     rows: int = 4
     batch: int = 16
     miss: float = 1e-7
+    block: int = 1 << 20
 
     @property
     def places(self) -> int:
@@ -210,7 +212,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, config: NearConfig) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["id", "shingles"])
 
     # the same plan at every size: both sides by id
-    found = docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
+    found = docs.join(wanted.hint("merge"), "doc_id", "left_semi").select("doc_id", "text").distinct()
     return materialize(found.mapInArrow(sets, "id bigint, shingles binary"))
 
 
@@ -243,72 +245,96 @@ def _confirmed(pairs: DataFrame, full: DataFrame, config: NearConfig) -> DataFra
     return joined.mapInArrow(check, "a bigint, b bigint")
 
 
-#: The shingles whose frequency is told to all tasks; the others count as rare.
-FREQUENT = 100_000
+class _Overlaps:
+    """How many shingles each set of a block has in common with the others.
 
-
-def _frequent(full: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The commonest shingles of some sets, in order, and about how many sets have each.
-
-    They only settle an order, which may be any, so counts that are small within a slice are left out.
+    Shingles of one set alone are left out. One that more than a 64th of the sets have is a bit of every
+    set's row, so the rows take no more room than the sets; any other has a short list of the sets that have it.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            values = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
-            found, n = np.unique(np.concatenate(values), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found[n > 1]), pa.array(n[n > 1])], ["shingle", "n"])
-
-    counted = full.select("shingles").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
-    keys = np.array([r["shingle"] for r in top], np.int64)
-    order = np.argsort(keys)
-    return keys[order], np.array([r["n"] for r in top], np.int64)[order]
-
-
-def _outside(members: DataFrame, full: DataFrame, config: NearConfig) -> DataFrame:
-    """(a, b, apart, component, n, shingle): shingles of members b that their heads a do not have.
-
-    `low` is the smallest set among a head's members. A link of b with a member y takes
-    percent / (100 + percent) * (|b| + |y|) common shingles, |y| is at least `low` and percent / 100 * |b|, and of those in a's set no
-    more are common than b has there. What is missing must be common outside it. So of the shingles of a node
-    apart, rarest first in one order for all, those are enough that leave fewer than the missing number
-    behind; of other members all count. Where nothing is missing there is one row with a null shingle.
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.members = len(sets)
+        owner = np.repeat(np.arange(self.members), [len(s) for s in sets])
+        _, code, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        often = 64 * counts > self.members
+        heavy, light = (counts > 1) & often, (counts > 1) & ~often
+        self.words = -(-int(heavy.sum()) // 64)
+        self.rows = np.zeros((self.members, self.words), _U)
+        place = np.cumsum(heavy) - 1
+        at = heavy[code]
+        bit = place[code[at]]
+        np.bitwise_or.at(self.rows, (owner[at], bit >> 6), _U(1) << (bit & 63).astype(_U))
+        at = light[code]
+        place = np.cumsum(light) - 1
+        self.owner, self.code = owner[at], place[code[at]]
+        # the members that have each light code, and the light codes of each member
+        by_code = np.argsort(self.code, kind="stable")
+        self.having = self.owner[by_code]
+        self.ends = np.cumsum(counts[light])
+        self.starts = self.ends - counts[light]
+        self.own = np.searchsorted(self.owner, np.arange(self.members + 1))
+
+    def of(self, i: int, low: int, high: int) -> np.ndarray:
+        """What set i has in common with each of the sets from `low` to before `high`."""
+        found = np.bitwise_count(self.rows[low:high] & self.rows[i]).sum(1, dtype=np.int64)
+        codes = self.code[self.own[i] : self.own[i + 1]]
+        if len(codes):
+            lists = [self.having[self.starts[c] : self.ends[c]] for c in codes]
+            found += np.bincount(np.concatenate(lists), minlength=self.members)[low:high]
+        return found
+
+
+def spanning_links(sets: list[np.ndarray], component: np.ndarray, apart: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between members of a block that unite all components which links of its nodes apart connect.
+
+    Each node apart is held against the members of like size whose component is still another than its own;
+    a component that it has a link with is united with its own at once. So there are fewer links than members.
     """
-    share = config.percent / (100 + config.percent)
-    spark = members.sparkSession
-    known = spark.sparkContext.broadcast(_frequent(full))  # FREQUENT pairs of numbers at most
-
-    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "apart", "component", "n"]
-        keys, counts = known.value
-        for batch in _slices(batches, 256):
-            rows, found, loose = [], [], []
-            columns = (batch.column("x"), batch.column("y"), batch.column("apart").to_pylist(), batch.column("low").to_pylist())
-            for i, (x, y, apart, low) in enumerate(zip(*columns, strict=True)):
-                x, y = (np.frombuffer(s.as_buffer(), _U) for s in (x, y))
-                outside = np.setdiff1d(y, x, assume_unique=True).view(np.int64)
-                common = len(y) - len(outside)
-                if apart:
-                    other = max(low, int(np.ceil(len(y) * config.percent / 100 - 1e-9)))
-                    missing = int(np.ceil(share * (len(y) + other) - 1e-9)) - common
-                    if missing <= 0:
-                        loose.append(i)
-                    if len(keys):
-                        at = np.minimum(np.searchsorted(keys, outside), len(keys) - 1)
-                        often = np.where(keys[at] == outside, counts[at], 0)
-                        outside = outside[np.lexsort((outside, often))]
-                    outside = outside[: max(0, len(outside) - max(1, missing) + 1)]
-                rows += [i] * len(outside)
-                found.append(outside)
-            at = rows + loose
-            taken = batch.select(names).take(pa.array(at, pa.int64()))
-            values = np.concatenate(found) if found else np.zeros(0, np.int64)
-            values = pa.concat_arrays([pa.array(values, pa.int64()), pa.nulls(len(loose), pa.int64())])
-            yield pa.RecordBatch.from_arrays([*taken.columns, values], [*names, "shingle"])
-
-    joined = _beside(members, full).select("a", "b", "apart", "component", "n", "low", "x", "y")
-    return joined.mapInArrow(rest, "a bigint, b bigint, apart boolean, component bigint, n bigint, shingle bigint")
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    label = np.unique(component[order], return_inverse=True)[1]
+    overlaps = _Overlaps([sets[i] for i in order])
+    links = []
+    for i in np.flatnonzero(apart[order]):
+        low = np.searchsorted(100 * sizes, percent * sizes[i])
+        high = np.searchsorted(percent * sizes, 100 * sizes[i], side="right")
+        if (label[low:high] == label[i]).all():
+            continue
+        common = overlaps.of(i, low, high)
+        linked = 100 * common >= percent * (sizes[low:high] + sizes[i] - common)
+        linked &= label[low:high] != label[i]
+        for j in low + np.flatnonzero(linked):
+            if label[j] != label[i]:
+                links.append((int(order[i]), int(order[j])))
+                label[label == label[j]] = label[i]
+    return links
+
+
+def _spanning(active: DataFrame, full: DataFrame, config: NearConfig) -> DataFrame:
+    """Links (a, b) between members of one head, `active` (head, b, apart, component, all_parts, apart_parts).
+
+    The members of a head are dealt over `all_parts` parts, its nodes apart over `apart_parts` as well; each part of
+    nodes apart meets each part of all members in a cell of its own. Rows are as many as members where both
+    are one, and no pair of members is ever a row.
+    """
+
+    def cells(table: pa.Table) -> pa.Table:
+        rows = table.select(["b", "component", "probe", "apart"]).to_pydict()
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in table.column("shingles").combine_chunks()]
+        found = spanning_links(sets, np.array(rows["component"], np.int64), np.array(rows["probe"], bool), config.percent)
+        pairs = [(rows["b"][i], rows["b"][j]) for i, j in found]
+        return pa.table({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
+
+    own_all = F.pmod(F.xxhash64("b"), F.col("all_parts"))
+    own_apart = F.pmod(F.xxhash64("b", F.lit(1)), F.col("apart_parts"))
+    dealt = active.withColumn("own_all", own_all).withColumn("own_apart", F.when(F.col("apart"), own_apart))
+    members = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("apart_parts") - 1)).alias("of_apart"))
+    # a node apart is a probe in its own part's cells, and one of all members in the cells of the other parts
+    here = members.select("head", F.col("own_all").alias("of_all"), "of_apart", "b", "component", "apart", F.expr("apart and of_apart = own_apart").alias("probe"))
+    away = dealt.filter("apart and all_parts > 1").select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("all_parts") - 1)).alias("of_all"))
+    away = away.filter("of_all <> own_all").select("head", "of_all", F.col("own_apart").alias("of_apart"), "b", "component", "apart", F.lit(True).alias("probe"))
+    placed = here.unionByName(away).join(full.withColumnRenamed("id", "b").hint("merge"), "b")
+    return placed.groupBy("head", "of_all", "of_apart").applyInArrow(cells, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -409,23 +435,15 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
         "a", "b", "n", F.coalesce("component", "b").alias("component"), F.col("linked").isNull().alias("apart")
     )
     placed = materialize(placed)
+    parts = lambda of: F.ceil(F.sum(of) / config.block).cast("bigint")
     mixed = placed.groupBy("a").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("apart").alias("_some"),
-        F.min("n").alias("low"),
-    ).filter("_some and _low <> _high").select("a", "low")
-    active = materialize(placed.join(mixed, "a"))
-    outside = materialize(_outside(active, _sets(ids(active), docs, config), config))
-    one = outside.filter("apart").select("a", "shingle", F.col("b").alias("x"), F.col("component").alias("at_x"), F.col("n").alias("n_x"))
-    other = outside.filter("shingle is not null").select("a", "shingle", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"))
-    fits = f"at_x <> at_y and x <> y and 100 * least(n_x, n_y) >= {config.percent} * greatest(n_x, n_y)"
-    second = one.filter("shingle is not null").hint("merge").join(other, ["a", "shingle"]).filter(f"{fits} and (not apart_y or x < y)")
-    # a node that has enough in the head's set alone to be linked with a smaller member meets all of like size
-    loose = one.filter("shingle is null").select("a", "x", "at_x", "n_x")
-    smaller = active.select("a", F.col("b").alias("y"), F.col("component").alias("at_y"), F.col("n").alias("n_y"))
-    third = loose.join(smaller, "a").filter(fits)
-    met = second.select("x", "y").unionByName(third.select("x", "y"))
-    more = likely(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    rest = materialize(_confirmed(more, _sets(ids(more), docs, config), config).distinct())
+        parts("n").alias("all_parts"), parts(F.when(F.col("apart"), F.col("n"))).alias("apart_parts"),
+    ).filter("_some and _low <> _high").drop("_low", "_high", "_some")
+    active = placed.join(mixed, "a").withColumnRenamed("a", "head")
+    active = materialize(active.select("head", "b", "apart", "component", "all_parts", "apart_parts").distinct())
+    full = _sets(active.select(F.col("b").alias("doc_id")).distinct(), docs, config)
+    rest = materialize(_spanning(active, full, config).distinct())
     both = components(materialize(links.unionByName(rest)))
     place = nodes.join(both, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     return (
