@@ -35,9 +35,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.withColumn("n_chars", n_chars).select(*COLUMNS)
 
 
+def as_given(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows of `given` whose id is in `docs` and whose text is another there.
+
+    Of an id that has several texts in `docs` all rows of `given` count.
+    """
+    mark = F.xxhash64("text")
+    now = docs.groupBy("doc_id").agg(F.min(mark).alias("_least"), F.max(mark).alias("_most"))
+    both = given.select("doc_id", "text").join(now, "doc_id")
+    return both.filter((F.col("_least") != F.col("_most")) | (F.col("_least") != mark)).select("doc_id", "text")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the smallest id, of each group of near-duplicates.
 
+    A document has the links of its text here and those of its text in `documents`: the stage before takes the
+    lines that a near copy shares with its original, and what it leaves resembles the original no more.
+    A group has a document that stays among those of this stage.
     Rows equal in id and text are one document. Rows without an id are in groups by their texts, behind all
     ids; those without words either are no group's and stay.
     """
@@ -46,7 +60,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.xxhash64("text").bitwiseAND(F.lit(room)) + F.lit(after))
     told = docs.withColumn("_id", F.coalesce("doc_id", own))
     named = told.filter("_id is not null")
-    kept = near_dedup.near_duplicates(named, key="_id").filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    before = as_given(docs.filter("doc_id is not null"), _table(spark, sf_dir, "documents")).withColumnRenamed("doc_id", "_id")
+    texts = materialize(named.select("_id", "text").unionByName(before))
+    # an empty text is a group of its own: an id stays if all its texts do
+    found = near_dedup.near_duplicates(texts, key="_id").groupBy(F.col("doc_id").alias("_id")).agg(F.min("kept").alias("_kept"))
+    kept = found.filter("_kept").select("_id")
     others = [c for c in COLUMNS if c != "text"]
     firsts = named.join(kept, "_id", "left_semi").groupBy("_id", "text").agg(F.min(F.struct(*others)).alias("_first"))
     return firsts.select("text", "_first.*").select(*COLUMNS).unionByName(told.filter("_id is null").select(*COLUMNS))
