@@ -12,7 +12,7 @@ from oracle_check import compare, duck
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tidemark.llm import decontaminate, encoding, oracles, quality_model, queries
+from tidemark.llm import decontaminate, encoding, near_dedup, oracles, quality_model, queries
 from tidemark.session import materialize
 
 from .test_dedup_tokens import brute_components, brute_repeats
@@ -75,7 +75,7 @@ def test_pipeline_matches_brute_force_stage_by_stage(spark, docs):
             gone = brute_extended(list(want.items()), 8)
             want = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get((i, t), ())) for i, t in want.items()}
         if name == "near dedup":
-            of = brute_components(list(want.items()), 5)
+            of = brute_components([*want.items(), *((i, docs[i]["text"]) for i in want)], 5)
             want = {i: t for i, t in want.items() if of[i] == i}
         if name == "decontamination":
             config = decontaminate.AlignConfig()
@@ -112,6 +112,26 @@ def test_a_copy_with_a_short_last_line_leaves_no_text(spark):
     assert tokens[1] > 0 and tokens[9] > 0 and tokens[2] == tokens[3] == 0
 
 
+def test_near_copies_go_though_line_dedup_took_what_they_share(spark, tmp_path):
+    lines = [" ".join(f"line{k}word{j}" for j in range(12)) for k in range(20)]
+    near = [*lines[:9], lines[9].replace("word5", "edited"), *lines[10:]]
+    far = [*lines[:10], *(" ".join(f"other{k}word{j}" for j in range(12)) for k in range(10))]
+    rows = [(i, "\n".join(x), "en", "s", 1) for i, x in ((1, lines), (2, near), (3, far), (4, lines))]
+    rows.append((None, rows[0][1], "en", "s", 1))
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    given.write.parquet(f"{tmp_path}/documents.parquet")
+    cleaned = materialize(corpus_pipeline.drop_lines(spark, given, str(tmp_path)))
+    left = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    alone = near_dedup.near_duplicates(cleaned).filter("kept").select("doc_id").collect()
+    assert 2 in {r["doc_id"] for r in alone}
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_copies(spark, cleaned, str(tmp_path)).collect()}
+    assert {i for i in got if i is not None} == {1, 3}
+    assert all(got[i] == left[i] for i in got)
+    changed = corpus_pipeline.as_given(cleaned.filter("doc_id is not null"), given)
+    assert {r["doc_id"] for r in changed.collect()} == {i for i, t in left.items() if i is not None and t != rows[i - 1][1]}
+    assert corpus_pipeline.as_given(cleaned.limit(0), given).count() == 0
+
+
 def test_one_row_of_each_group_stays_without_ids_too(spark):
     texts = {name: " ".join(f"{name}{k}" for k in range(120)) for name in "abcde"}
     near = texts["a"].replace("a60 ", "edited ")
