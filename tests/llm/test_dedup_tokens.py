@@ -62,6 +62,57 @@ def test_components_match_brute_force(spark, odd_docs, no_docs):
     assert near_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_blocks_unite_what_brute_force_unites():
+    drawn = np.random.default_rng(8)
+    for trial in range(60):
+        base = drawn.integers(0, 1 << 62, 100, np.uint64)
+        sets = []
+        for _ in range(int(drawn.integers(1, 150))):
+            fresh = drawn.integers(0, 1 << 62, int(drawn.choice((0, 9, 11, 12, 25))), np.uint64)
+            sets.append(np.unique(np.concatenate((drawn.permutation(base)[: 100 - len(fresh)], fresh))))
+        start = drawn.integers(0, len(sets), len(sets))
+        apart = drawn.random(len(sets)) < (1.0, 0.4)[trial % 2]
+        label = start.copy()
+        for i in np.flatnonzero(apart):
+            for j in range(len(sets)):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                    label[label == label[j]] = label[i]
+        got, links = start.copy(), near_dedup.spanning_links(sets, start, apart, 80)
+        for i, j in links:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            assert 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common) and got[i] != got[j]
+            got[got == got[j]] = got[i]
+        assert len({*zip(got.tolist(), label.tolist(), strict=True)}) == len(set(got.tolist())) == len(set(label.tolist()))
+        assert len(links) < len(sets)
+
+
+@pytest.mark.parametrize("block", [300, 1 << 20])
+def test_heads_of_several_blocks_lose_no_link(spark, block):
+    drawn = random.Random(21)
+    sets = {i: np.array(sorted({*drawn.sample(range(60), 54), *(1000 * i + k for k in range(6))}), np.uint64) for i in range(1, 40)}
+    apart = {i: drawn.random() < 0.5 for i in sets}
+    parts = lambda ids: -(-sum(len(sets[i]) for i in ids) // block)
+    sizes = (parts(sets), parts([i for i in sets if apart[i]]))
+    active = spark.createDataFrame([(0, i, apart[i], i, *sizes) for i in sets], "head bigint, b bigint, apart boolean, component bigint, all_parts bigint, apart_parts bigint")
+    full = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "id bigint, shingles binary")
+    links = [tuple(r) for r in near_dedup._spanning(active, full, near_dedup.NearConfig(percent=75)).collect()]
+    want, got = {i: i for i in sets}, {i: i for i in sets}
+
+    def unite(of, a, b):
+        p, q = sorted((of[a], of[b]))
+        of.update({i: p for i in of if of[i] == q})
+
+    for i in sets:
+        for j in sets:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if apart[i] and 100 * common >= 75 * (len(sets[i]) + len(sets[j]) - common):
+                unite(want, i, j)
+    for a, b in links:
+        unite(got, a, b)
+    assert got == want and len(set(want.values())) < len(sets)
+
+
 def test_bayes_keeps_true_pairs_and_drops_far_ones():
     steps = near_dedup.least_matches(near_dedup.NearConfig())
     assert [n for n, _ in steps] == list(range(16, 129, 16)) and steps[-1][1] > 60
