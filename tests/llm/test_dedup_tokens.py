@@ -182,6 +182,37 @@ def test_byte_repeats_match_brute_force(spark, odd_docs, no_docs, split):
     assert suffix_dedup.without_repeats(no_docs).count() == 0
 
 
+def test_byte_repeats_shuffle_no_text_and_few_digests(spark, monkeypatch):
+    """Whole texts were joined with their twins by an exchange at size; copies of a split snippet were digested once a block."""
+    drawn = random.Random(11)
+    passage = "".join(drawn.choice("abcdefg ") for _ in range(400))
+    texts = ["".join(drawn.choice("stuvwxyz ") for _ in range(200)) + f"{i:04}" + passage for i in range(128)]
+    docs = [*enumerate(texts), (500, texts[7]), (501, texts[7]), (-3, texts[9]), (502, "short"), (503, "short"), (None, texts[20])]
+    kept = []
+    monkeypatch.setattr(suffix_dedup, "materialize", lambda df, made=suffix_dedup.materialize: kept.append(made(df)) or kept[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(2)
+        config = suffix_dedup.RepeatConfig(unit_bytes=1500, bucket_units=8, block_units=4, split_units=1)
+        found = suffix_dedup.without_repeats(frame, config)
+        rows = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found.collect()]
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(rows, key=str) == sorted(brute_repeats(docs, 50), key=str)
+    digests = next(df for df in kept if "digest" in df.columns).filter("digest is not null")
+    # the passage's own windows, and those of each text around its beginning
+    assert digests.count() < 40 * len(texts)
+
+
+def test_anchors_spread_evenly_over_buckets():
+    """Anchors are least hashes of their windows; a bucket of the smallest held fourteen times its share."""
+    text = np.random.default_rng(3).integers(97, 123, 400_000).astype(np.uint8)
+    anchors = suffix_dedup.owned_windows(text, np.array([len(text)]), 50).anchor
+    held = np.bincount((anchors >> np.uint64(56)).astype(int), minlength=256)
+    assert held.max() < 2 * held.mean()
+
+
 WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 

@@ -1,6 +1,7 @@
 """Byte-exact repeats across documents, by difference-cover suffix sorting of what can repeat at all.
 
-1. Texts are packed into units of some 100 kB, each a row, stored once; equal texts keep their first document.
+1. Texts are packed into units of some 100 kB, each a row, stored once, and no text is shuffled. Of equal texts, told
+   by digest, the first document's takes part in what follows; each unit gets back which of its documents are later ones.
 2. Every window of `length` bytes is owned by an anchor, its smallest gram of `GRAM` bytes (winnowing), so equal windows
    have equal anchors. Anchors are counted over all units; windows of an anchor that only one document
    has cannot repeat and are discarded.
@@ -9,7 +10,8 @@
    merge), and neighbours with `length` equal bytes share the smallest document.
 4. Each unit gets back which of its windows an earlier document has, and cuts the bytes they cover.
 
-An anchor that very many units have is dealt over several blocks, whose classes are then joined by digest.
+An anchor that very many units have is dealt over several blocks by its snippets, so equal ones still meet; the classes
+of the different ones are then joined by digest.
 Units read what comes back to them from files in the shared folder.
 """
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared_files import get, put
@@ -52,6 +55,8 @@ class RepeatConfig:
 
 #: Stands for a null id, before all others.
 NULL_ID = -(1 << 63)
+#: The mask of all windows of a snippet.
+EVERY = -1
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -115,7 +120,8 @@ def owned_windows(c: np.ndarray, ends: np.ndarray, length: int) -> Owned:
     new = np.concatenate(([True], (np.diff(owner) != 0) | (np.diff(valid) != 1)))
     heads = np.flatnonzero(new)
     tails = np.concatenate((heads[1:], [len(valid)])) - 1
-    return Owned(valid[heads], valid[tails], owner[heads], h[owner[heads]])
+    # owners are least hashes, so most of them are small: mixed once more, they fall into buckets of like size
+    return Owned(valid[heads], valid[tails], owner[heads], _mix(h[owner[heads]], np.zeros(1, _U)))
 
 
 def _stretches(text: bytes, ends: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -129,16 +135,19 @@ def _stretches(text: bytes, ends: np.ndarray, size: int) -> Iterator[tuple[int,
 
 
 def _packed(docs: DataFrame, config: RepeatConfig) -> DataFrame:
-    """(unit, ids, ends, text): texts one after the other, their ids (null: NULL_ID) and ends as 64-bit numbers."""
+    """(unit, ids, ends, digests, text): texts one after the other, their ids (null: NULL_ID) and ends as 64-bit numbers,
+    their digests of 16 bytes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, texts, held = TaskContext.get().partitionId() << 32, [], [], 0
 
         def made() -> pa.RecordBatch:
             ends = np.cumsum([len(t) for t in texts])
-            columns = [[number], [np.array(ids, np.int64).tobytes()], [ends.astype(np.int64).tobytes()], [b"".join(texts)]]
-            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["unit", "ids", "ends", "text"])
+            digests = b"".join(hashlib.md5(t).digest() for t in texts)
+            columns = [[number], [np.array(ids, np.int64).tobytes()], [ends.astype(np.int64).tobytes()], [digests], [b"".join(texts)]]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            names = ["unit", "ids", "ends", "digests", "text"]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -152,7 +161,34 @@ def _packed(docs: DataFrame, config: RepeatConfig) -> DataFrame:
         if texts:
             yield made()
 
-    return docs.select("doc_id", "text").mapInArrow(pack, "unit bigint, ids binary, ends binary, text binary")
+    return docs.select("doc_id", "text").mapInArrow(pack, "unit bigint, ids binary, ends binary, digests binary, text binary")
+
+
+def _find_late(units: DataFrame, root: str) -> None:
+    """Leave a file for each unit that has any: the places of documents whose whole text one with a smaller id has."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            ids = np.frombuffer(row["ids"], np.int64)
+            columns = [
+                pa.array(np.full(len(ids), row["unit"]), pa.int64()),
+                pa.array(np.arange(len(ids)), pa.int32()),
+                pa.array(ids, pa.int64()),
+                pa.array([row["digests"][16 * i : 16 * i + 16] for i in range(len(ids))], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["unit", "place", "doc", "same"])
+
+    def keep(group: pa.Table) -> pa.Table:
+        unit = group["unit"][0].as_py()
+        raw = np.sort(group["place"].to_numpy()).astype(np.int32).tobytes()
+        put(root, f"late-{unit}", lambda stream: stream.write(raw))
+        return pa.table({"unit": pa.array([unit], pa.int64())})
+
+    docs = units.select("unit", "ids", "digests").mapInArrow(digests, "unit bigint, place int, doc bigint, same binary")
+    twins = docs.groupBy("same").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first <> last")
+    # the same plan at every size
+    late = docs.join(twins.hint("merge"), "same").filter("doc > first").select("unit", "place")
+    late.groupBy("unit").applyInArrow(keep, "unit bigint").agg(F.count("*")).collect()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -162,6 +198,32 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
+def _late(row: dict, root: str) -> np.ndarray:
+    """Whether each document of a unit repeats the whole text of one with a smaller id."""
+    late = np.zeros(len(row["ids"]) // 8, bool)
+    late[np.frombuffer(get(root, f"late-{row['unit']}") or b"", np.int32)] = True
+    return late
+
+
+def _firsts(row: dict, late: np.ndarray) -> dict:
+    """A unit without its documents that repeat a whole text."""
+    if not late.any():
+        return row
+    ids, ends, text = _unit(row)
+    starts = np.concatenate(([0], ends[:-1]))
+    kept = np.flatnonzero(~late)
+    texts = b"".join([text[a:b] for a, b in zip(starts[kept].tolist(), ends[kept].tolist(), strict=True)])
+    return row | {"ids": ids[kept].tobytes(), "ends": np.cumsum((ends - starts)[kept]).astype(np.int64).tobytes(), "text": texts}
+
+
+def _first_rows(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[dict]:
+    """Units without their later documents of a text; those that have no others are left out."""
+    for row in _rows(batches):
+        row = _firsts(row, _late(row, root))
+        if row["ids"]:
+            yield row
+
+
 def _unit(row: dict) -> tuple[np.ndarray, np.ndarray, bytes]:
     return np.frombuffer(row["ids"], np.int64), np.frombuffer(row["ends"], np.int64), row["text"]
 
@@ -196,7 +258,7 @@ def _count_anchors(units: DataFrame, n_units: int, root: str, config: RepeatConf
     buckets = -(-n_units // config.bucket_units)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
+        for row in _first_rows(batches, root):
             anchors, several = _unit_anchors(row, config)
             # anchors are in order, so what a bucket sends back can be put together by place
             bucket = ((anchors >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
@@ -305,20 +367,19 @@ def _sorted_classes(snippets: list[bytes], length: int) -> list[np.ndarray]:
 
 
 def _matched(units: DataFrame, n_units: int, root: str, config: RepeatConfig) -> DataFrame:
-    """(unit, slot, mask): for the head of every snippet of a unit, the windows that an earlier document has."""
+    """(unit, slot, mask): for the heads of a unit's snippets, windows that an earlier document has; the masks of a slot add up."""
     blocks = max(1, n_units // config.block_units)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            # a split anchor goes to one of its blocks by unit
-            deal = int(hashlib.blake2b(str(row["unit"]).encode(), digest_size=4).hexdigest(), 16)
+        for row in _first_rows(batches, root):
             heads = list(_heads(_repeated_runs(row, root, config)).values())
             for at in range(0, len(heads), 4096):
                 part = heads[at : at + 4096]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([(h.anchor >> 8) % blocks for h in part], pa.int64()),
-                        pa.array([deal % (1 << (h.code - 1)) for h in part], pa.int64()),
+                        # a split anchor's snippet goes to one of its blocks, the same from all units
+                        pa.array([zlib.crc32(h.bytes) % (1 << (h.code - 1)) if h.code > 1 else 0 for h in part], pa.int64()),
                         pa.array([h.anchor for h in part], pa.int64()),
                         pa.array([h.code > 1 for h in part], pa.bool_()),
                         pa.array([row["unit"]] * len(part), pa.int64()),
@@ -384,14 +445,13 @@ def _matched(units: DataFrame, n_units: int, root: str, config: RepeatConfig) ->
                 now = anchor
             held = firsts.get(snippet)
             row = (snippet, doc, unit, slot, split)
-            everything = (1 << len(snippet) - config.length) - 1
             if held is None:
                 firsts[snippet] = row
             elif held[1] < doc:
-                say(unit, slot, doc, everything, None, None)
+                say(unit, slot, doc, EVERY, None, None)
             elif held[1] > doc:
                 firsts[snippet] = row
-                say(held[2], held[3], held[1], everything, None, None)
+                say(held[2], held[3], held[1], EVERY, None, None)
             else:  # the same id in two units: both are first
                 firsts[snippet, len(firsts)] = row
         close()
@@ -407,9 +467,10 @@ def _matched(units: DataFrame, n_units: int, root: str, config: RepeatConfig) ->
     )
     whole = found.filter("digest is null").select("unit", "slot", "mask")
     classes = found.filter("digest is not null")
-    first = classes.groupBy("digest").agg(F.min("doc").alias("first"))
-    late = classes.join(first, "digest").filter("first < doc").selectExpr("unit", "slot", "shiftleft(1L, bit) as mask")
-    return whole.unionByName(late).groupBy("unit", "slot").agg(F.bit_or("mask").alias("mask"))
+    # a block says a class once, for its first document, so a class has as many rows as its anchor has blocks
+    first = F.min("doc").over(Window.partitionBy("digest"))
+    late = classes.withColumn("first", first).filter("first < doc").selectExpr("unit", "slot", "shiftleft(1L, bit) as mask")
+    return whole.unionByName(late)
 
 
 def _keep_masks(masks: DataFrame, root: str) -> None:
@@ -417,7 +478,11 @@ def _keep_masks(masks: DataFrame, root: str) -> None:
 
     def keep(group: pa.Table) -> pa.Table:
         unit = group["unit"][0].as_py()
-        raw = group["slot"].to_numpy().astype(np.int64).tobytes() + group["mask"].to_numpy().astype(np.int64).tobytes()
+        slot, mask = group["slot"].to_numpy().astype(np.int64), group["mask"].to_numpy().astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        slot, mask = slot[order], mask[order]
+        heads = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+        raw = slot[heads].tobytes() + np.bitwise_or.reduceat(mask, heads).tobytes()
         put(root, f"masks-{unit}", lambda stream: stream.write(raw))
         return pa.table({"unit": pa.array([unit], pa.int64())})
 
@@ -425,12 +490,26 @@ def _keep_masks(masks: DataFrame, root: str) -> None:
 
 
 def _cut(units: DataFrame, root: str, config: RepeatConfig) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of the documents in units."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of the documents in units; whole repeats of `length` bytes go."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
+            late = _late(row, root)
+            ids, ends, text = _unit(row)
+            twins: list[list] = [[] for _ in names]
+            for i in np.flatnonzero(late).tolist():
+                body = text[int(ends[i - 1]) if i else 0 : int(ends[i])]
+                left = b"" if len(body) >= config.length else body
+                gone = len(body) - len(left)
+                values = (int(ids[i]), len(body), gone, int(gone > 0), hashlib.sha256(left).hexdigest(), left)
+                for column, value in zip(twins, values, strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(twins, kinds, strict=True)], names)
+            row = _firsts(row, late)
+            if not row["ids"]:
+                continue
             ids = np.frombuffer(row["ids"], np.int64)
             raw = get(root, f"masks-{row['unit']}") or b""
             table = np.frombuffer(raw, np.int64).reshape(2, -1)
@@ -441,7 +520,7 @@ def _cut(units: DataFrame, root: str, config: RepeatConfig) -> DataFrame:
                 covered = np.zeros(len(c) + 1, np.int32)
                 for run in runs:
                     head = heads[run.anchor, run.bytes]
-                    mask = (1 << run.windows) - 1 if head.doc < run.doc else masks.get(head.slot, 0)
+                    mask = (EVERY if head.doc < run.doc else masks.get(head.slot, 0)) & (1 << run.windows) - 1
                     at = 0
                     while mask >> at:
                         if mask >> at & 1:
@@ -481,28 +560,11 @@ def without_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig(), key:
     if config.length < GRAM or config.length - GRAM > 60:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 60}")
     given = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keyed = given.withColumn("same", F.md5(F.col("text").cast("binary")))
-    order = F.coalesce("doc_id", F.lit(NULL_ID))
-    twins = materialize(keyed.groupBy("same").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first <> last"))
-    repeats = keyed.join(twins, "same")
-    late = repeats.filter(order > F.col("first"))
-    # no text travels for this: only ids of documents that have a twin
-    late_ids = materialize(late.select("doc_id", "same").distinct())
-    firsts = keyed.join(late_ids, (keyed["doc_id"] == late_ids["doc_id"]) & (keyed["same"] == late_ids["same"]), "left_anti")
-    units = materialize(_packed(firsts, config))
+    units = materialize(_packed(given, config))
     root = f"{scratch_dir(spark)}/repeats-{uuid.uuid4().hex}"
     n_units = units.count()
     if n_units:
+        _find_late(units, root)
         _count_anchors(units, n_units, root, config)
         _keep_masks(_matched(units, n_units, root, config), root)
-    size = F.octet_length("text").cast("bigint")
-    long = size >= config.length
-    whole = late.select(
-        "doc_id",
-        size.alias("n_bytes"),
-        F.when(long, size).otherwise(0).alias("n_removed"),
-        F.when(long, 1).otherwise(0).cast("bigint").alias("n_spans"),
-        F.sha2(F.when(long, F.lit("")).otherwise(F.col("text")).cast("binary"), 256).alias("kept_sha256"),
-        F.when(long, F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"),
-    )
-    return _cut(units, root, config).unionByName(whole)
+    return _cut(units, root, config)
