@@ -5,8 +5,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
+from tidemark import session
 from tidemark.llm import bpe, encoding, near_dedup, suffix_array, suffix_dedup, token_store
 
 
@@ -205,6 +207,44 @@ def test_byte_repeats_shuffle_no_text_and_few_digests(spark, monkeypatch):
     assert digests.count() < 40 * len(texts)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def largest_batch(frame):
+    """Bytes of the largest batch that a Python worker gets of a frame."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_pydict({"size": [batch.nbytes]})
+
+    return frame.mapInArrow(sizes, "size bigint").agg({"size": "max"}).first()[0]
+
+
+def test_long_units_reach_readers_and_workers_a_few_at_once(spark, monkeypatch):
+    """All units of a task were one row group and one Arrow batch, in several copies outside the heap."""
+    stored = []
+    write = suffix_dedup.materialize_long_rows
+    monkeypatch.setattr(suffix_dedup, "materialize_long_rows", lambda df, n: stored.append(write(df, n)) or stored[-1])
+    spark.conf.unset(BATCH)
+    docs = spark.range(0, 60, 1, 1).selectExpr("id as doc_id", "repeat(concat(id, ' '), 300000 div length(concat(id, ' '))) as text")
+    assert suffix_dedup.without_repeats(docs).count() == 60
+    (units,) = stored
+    (file,) = [f.removeprefix("file:") for f in units.inputFiles()]
+    groups = pq.ParquetFile(file).metadata
+    assert max(groups.row_group(i).num_rows for i in range(groups.num_row_groups)) <= suffix_dedup.UNITS_AT_ONCE
+    assert largest_batch(units) < 6_000_000
+
+
+def test_a_smaller_batch_that_the_session_names_stays(spark):
+    try:
+        for named, kept in (("64k", "64k"), ("64m", "4194304b")):
+            spark.conf.set(BATCH, named)
+            session.bounded_batches(spark)
+            assert spark.conf.get(BATCH) == kept
+    finally:
+        spark.conf.unset(BATCH)
+
+
 def test_anchors_spread_evenly_over_buckets():
     """Anchors are least hashes of their windows; a bucket of the smallest held fourteen times its share."""
     text = np.random.default_rng(3).integers(97, 123, 400_000).astype(np.uint8)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared_files import get, put
 from tidemark.llm.suffix_array import equal_prefixes
-from tidemark.session import materialize, scratch_dir
+from tidemark.session import bounded_batches, materialize, materialize_long_rows, scratch_dir
 
 _U = np.uint64
 #: Bytes of an anchor.
@@ -57,6 +57,8 @@ class RepeatConfig:
 NULL_ID = -(1 << 63)
 #: The mask of all windows of a snippet.
 EVERY = -1
+#: Units of a row group.
+UNITS_AT_ONCE = 8
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -560,7 +562,8 @@ def without_repeats(docs: DataFrame, config: RepeatConfig = RepeatConfig(), key:
     if config.length < GRAM or config.length - GRAM > 60:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 60}")
     given = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    units = materialize(_packed(given, config))
+    bounded_batches(spark)
+    units = materialize_long_rows(_packed(given, config), UNITS_AT_ONCE)
     root = f"{scratch_dir(spark)}/repeats-{uuid.uuid4().hex}"
     n_units = units.count()
     if n_units:

@@ -37,6 +37,22 @@ def scratch_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """From now on at most about `most` bytes of rows make an Arrow batch of this session; results stay what they are.
+
+    An executor holds a batch in Arrow's buffers and once more as the stream it sends, both outside the heap and
+    doubled while they grow, for each task: with Spark's own 64 MB that is several hundred MB. A smaller
+    size that the session names stays.
+    """
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH)) > most:
+        spark.conf.set(_BATCH, f"{most}b")
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write `df` to the shared scratch folder and read it back.
 
@@ -45,10 +61,19 @@ def materialize(df: DataFrame) -> DataFrame:
     gives the optimizer a true size, so small results are broadcast and large ones
     are not.
     """
+    return _written_back(df, {})
+
+
+def materialize_long_rows(df: DataFrame, rows_at_once: int) -> DataFrame:
+    """`materialize` for rows of some hundred kB: so many make a row group, and a reader holds one row group at a time."""
+    return _written_back(df, {"parquet.block.row.count.limit": rows_at_once})
+
+
+def _written_back(df: DataFrame, options: dict[str, int]) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/tidemark-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     read = spark.read.schema(df.schema).parquet(path)
     read._written_at = path
     return read
