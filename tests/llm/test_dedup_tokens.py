@@ -293,6 +293,25 @@ def test_bpe_round_trip_over_rows(spark, odd_docs, no_docs):
     assert bpe.encode_documents(no_docs, WORDS).count() == 0
 
 
+def test_documents_reach_the_encoder_in_bounded_batches(spark):
+    """A batch was up to 64 MB of text, twice outside the heap of an executor for each of its tasks."""
+    docs = spark.range(0, 100, 1, 1).selectExpr("id as doc_id", "repeat('word ', 30000) as text")
+    spark.conf.unset(BATCH)
+    encoded = bpe.encode_documents(docs, WORDS)
+    assert largest_batch(docs) < 6_000_000
+    assert encoded.count() == 100
+
+
+def test_a_cut_at_white_space_needs_no_models_of_pieces():
+    """Every worker that cut a text loaded the vocabulary four times, 70 MB for a moment."""
+    own = bpe.Joiner(WORDS)
+    text = "some words of it " * 4000
+    ends = [0, *[at for at, _ in own.cuts(text, 1000)], len(text)]
+    parts = [own.stretch(text[a:b], False, False) for a, b in zip(ends, ends[1:], strict=False)]
+    assert own.tree(parts, [False] * (len(parts) - 1)).ids == encoding.load(WORDS).encode(text, add_special_tokens=False).ids
+    assert "pieces" not in vars(own) and own.tokenizer is own.units.tokenizer
+
+
 def test_perfect_hash_is_minimal_and_knows_strangers():
     keys = token_store.key_hash(np.arange(-500, 20000), np.zeros(20500, np.int64))
     made = token_store.PerfectHash.build(keys)

@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
-from tidemark.llm.encoding import encoder, load, word_units
+from tidemark.llm.encoding import encoder, word_units
+from tidemark.session import bounded_batches
 
 #: Characters of a stretch, and tokens taken from each side into the first window.
 STRETCH, WINDOW = 16_384, 4
@@ -52,16 +53,23 @@ class Joiner:
     """Encodes stretches with open ends and joins them."""
 
     def __init__(self, vocabulary: str) -> None:
-        self.tokenizer = load(vocabulary)
+        self.vocabulary = vocabulary
         self.units = encoder(vocabulary, "<u4")
-        with open(public_tokenizers.path(vocabulary)) as file:
-            model = json.load(file)["model"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.open = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges))
-        self.closed = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=WORD_END))
+        self.tokenizer = self.units.tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = token_names(vocabulary)
 
+    @cached_property
+    def pieces(self) -> tuple[Tokenizer, Tokenizer]:
+        """For pieces without and with a word end. Made once a cut runs through one, since they are large."""
+        with open(public_tokenizers.path(self.vocabulary)) as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        return (
+            Tokenizer(models.BPE(vocab=model["vocab"], merges=merges)),
+            Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, end_of_word_suffix=WORD_END)),
+        )
+
     def cuts(self, text: str, size: int) -> list[tuple[int, bool]]:
         """Places to cut, and whether a piece runs across; each at the first good place after `size` characters."""
         found, last = [], 0
@@ -83,9 +91,10 @@ class Joiner:
 
     def piece(self, name: str) -> list[int]:
         """The ids of a piece given in the vocabulary's characters, with or without its word end."""
+        opened, closed = self.pieces
         if name.endswith(WORD_END):
-            return self.closed.encode(name.removesuffix(WORD_END), add_special_tokens=False).ids
-        return self.open.encode(name, add_special_tokens=False).ids
+            return closed.encode(name.removesuffix(WORD_END), add_special_tokens=False).ids
+        return opened.encode(name, add_special_tokens=False).ids
 
     def stretch(self, text: str, open_left: bool, open_right: bool) -> Stretch:
         units = word_units(text)
@@ -154,7 +163,7 @@ def encode_whole(text: str, vocabulary: str, size: int = STRETCH) -> list[int]:
 
 @cache
 def token_names(vocabulary: str) -> list[str]:
-    tokenizer = load(vocabulary)
+    tokenizer = encoder(vocabulary, "<u4").tokenizer
     return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
 
 
@@ -188,6 +197,7 @@ def encode_documents(
     shuffle; longer ones are cut, their stretches dealt out, and brought together again by row, so
     rows that repeat a key or a text stay rows of their own. Other columns are not carried.
     """
+    bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
     given = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
 

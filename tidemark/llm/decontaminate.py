@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import bounded_batches
+
 
 @dataclass(frozen=True)
 class AlignConfig:
@@ -200,6 +202,7 @@ def copies(
     are read twice for every block of items and never shuffled.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     given = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     found = spark.createDataFrame([], _SCHEMA)
     for block in _blocks(benchmark, config, item_id, text):

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.names import private
-from tidemark.session import materialize
+from tidemark.session import bounded_batches, materialize
 
 #: The least words of a repeated run.
 RUN_WORDS = 8
@@ -92,6 +92,7 @@ def repeated_windows(
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
+    bounded_batches(docs.sparkSession)
     given = docs.select(F.col(key).cast("bigint"), row_key(text).alias("row"), F.col(text))
     found = materialize(given.mapInArrow(cut, "doc_id bigint, row bigint, line int, lines int, mark bigint, digest binary"))
     place = F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "row", "line")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import bounded_batches, materialize
 
 
 @dataclass(frozen=True)
@@ -374,6 +374,7 @@ def near_duplicates(docs: DataFrame, config: NearConfig = NearConfig(), key: str
     links with nothing, has a null component and is kept. Other columns are not read. Equal sets are
     joined by their 128-bit digest, never as pairs.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = materialize(sketched(docs, config))
     known = rows.filter("n_shingles > 0 and doc_id is not null")

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import bounded_batches
+
 
 @dataclass(frozen=True)
 class MachineConfig:
@@ -195,6 +197,7 @@ def scored(docs: DataFrame, machine: Machine, text: str = "text", n_chars: str =
     stays empty.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(machine)  # a few MB, fixed by the config
 
     @F.pandas_udf("double")
